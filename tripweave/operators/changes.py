@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripweave import model
+from tripweave.operators.documents import once_per_trip
 
 
 def upsert(
@@ -112,7 +113,9 @@ def modified_count(docs: DataFrame) -> DataFrame:
         old = e["battery_level"] if has_level else F.lit(None).cast("int")
         return (e["event_type"] == "BATTERY") & ~e["value"].cast("int").eqNullSafe(old)
 
-    return docs.where(F.exists("events", changes)).agg(F.count_distinct("trip_id").alias("n_trips"))
+    keep = [c for c in ("trip_id", "part", "parts") if c in docs.columns]
+    changed = docs.where(F.exists("events", changes)).select(keep)
+    return once_per_trip(changed).agg(F.count("*").alias("n_trips"))
 
 
 def sample_event(events: DataFrame, event_type: str = "BATTERY") -> DataFrame:

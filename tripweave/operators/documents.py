@@ -97,13 +97,16 @@ def has_event(event_type: str, column: str = "events") -> Column:
     return F.exists(column, lambda e: e["event_type"] == event_type)
 
 
-def _once_per_trip(docs: DataFrame) -> DataFrame:
+def once_per_trip(docs: DataFrame) -> DataFrame:
     """Document rows that passed a test, reduced to one row per trip.
 
     Only a trip in several parts can pass more than once.  Whole documents need
     no shuffle; where no document is in parts, the second branch is empty by
-    file statistics, or even at planning.
+    file statistics, or even at planning.  Documents without the columns ``part``
+    and ``parts`` are all whole.
     """
+    if "parts" not in docs.columns:
+        return docs
     whole = docs.where(F.col("parts") == 1).drop("part", "parts")
     cut = docs.where(F.col("parts") > 1).drop("part", "parts").dropDuplicates(["trip_id"])
     return whole.unionByName(cut)
@@ -112,7 +115,7 @@ def _once_per_trip(docs: DataFrame) -> DataFrame:
 def trips_with_embedded_event(docs: DataFrame, event_type: str = "ERROR") -> DataFrame:
     """Trips with at least one embedded event of the given type, each once."""
     matching = docs.where(has_event(event_type))
-    return _once_per_trip(
+    return once_per_trip(
         matching.select("trip_id", "user_id", "start_time", "end_time", "total_cost", "part", "parts")
     )
 

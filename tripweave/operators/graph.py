@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,18 +54,27 @@ def connected_trips(trips: DataFrame, users: DataFrame, stations: DataFrame) ->
 
 def edges(trips: DataFrame, users: DataFrame, stations: DataFrame) -> DataFrame:
     """Typed edges (src, dst, type), each once.  A trip with a missing rider or
-    station gets none."""
-    user, trip = _node("U:", "user_id"), _node("T:", "trip_id")
+    station gets none.
 
-    def edge(src: Column, dst: Column, kind: str) -> Column:
-        return F.struct(src.alias("src"), dst.alias("dst"), F.lit(kind).alias("type"))
+    Edges are made distinct as pairs of plain keys, and only then get the names
+    of their nodes, so the shuffle carries no text but the type.
+    """
+
+    def edge(src: str, dst: str, kind: str) -> Column:
+        return F.struct(F.lit(kind).alias("type"), F.col(src).alias("src"), F.col(dst).alias("dst"))
 
     per_trip = F.array(
-        edge(user, trip, "PERFORMED"),
-        edge(trip, _node("S:", "start_station"), "STARTS_AT"),
-        edge(trip, _node("S:", "end_station"), "ENDS_AT"),
+        edge("user_id", "trip_id", "PERFORMED"),
+        edge("trip_id", "start_station", "STARTS_AT"),
+        edge("trip_id", "end_station", "ENDS_AT"),
+    )
+    pairs = connected_trips(trips, users, stations).select(F.inline(per_trip)).distinct()
+    performed = F.col("type") == "PERFORMED"
+    return pairs.select(
+        F.when(performed, _node("U:", "src")).otherwise(_node("T:", "src")).alias("src"),
+        F.when(performed, _node("T:", "dst")).otherwise(_node("S:", "dst")).alias("dst"),
+        "type",
     )
-    return connected_trips(trips, users, stations).select(F.inline(per_trip)).distinct()
 
 
 def station_edges(trips: DataFrame) -> DataFrame:
@@ -145,7 +155,12 @@ def pagerank(
         .select("src", "dst", "weight")
     )
     own = nodes.select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(0.0).alias("weight"))
-    links = cut_lineage(known.unionByName(own).repartition("src"))
+    links = cut_lineage(known.unionByName(own))
+    # Cached in a fixed number of partitions, so that nothing coalesces them and
+    # they stay aligned with the ranks of each round.  A lost block is rebuilt
+    # from the checkpoint.
+    partitions = int(stations.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    links = links.repartition(partitions, "src").sortWithinPartitions("src").persist(StorageLevel.MEMORY_AND_DISK)
 
     ranks = nodes.select(F.col("id").alias("src"), F.lit(1.0 / n).alias("rank"))
     for i in range(1, rounds + 1):
@@ -156,8 +171,9 @@ def pagerank(
             .agg((F.lit(base) + F.lit(damping) * share).alias("rank"))
             .withColumnRenamed("dst", "src")
         )
-        if i % _ROUNDS_PER_PLAN == 0 and i < rounds:
+        if i % _ROUNDS_PER_PLAN == 0 or i == rounds:
             ranks = cut_lineage(ranks)
+    links.unpersist()
     return stations.select("station_id", "name").join(ranks.withColumnRenamed("src", "station_id"), "station_id")
 
 

@@ -49,7 +49,7 @@ VIEW = {
     "trips": """
         SELECT * FROM trips_raw
         WHERE start_station IS NOT NULL AND end_station IS NOT NULL AND end_time > start_time AND total_cost >= 0""",
-    "events_raw": f"""
+    "mobility_events": f"""
         SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-'
                  || strftime(l_shipdate, '%Y%m%d') AS event_id,
                l_orderkey AS trip_id, l_shipdate AS "timestamp",
@@ -62,8 +62,6 @@ VIEW = {
                     ELSE CASE l_linestatus WHEN 'O' THEN CAST(CAST(l_quantity*2 AS INTEGER) AS VARCHAR)
                                            ELSE CAST(1 + l_partkey % 60 AS VARCHAR) END END AS "value"
         FROM lineitem""",
-    "trip_events": """
-        SELECT * FROM events_raw WHERE trip_id IN (SELECT trip_id FROM trips)""",
     "cheap": f"""
         SELECT * FROM trips WHERE total_cost < {LOW_COST}""",
 }
@@ -150,7 +148,7 @@ def _count(rule: str, table: str, condition: str) -> str:
     return f"SELECT '{rule}' AS rule, count(*) AS n_violations FROM {table} WHERE {condition}"
 
 
-_TABLES = {"users": "users", "stations": "stations", "trips": "trips_raw", "events": "events_raw"}
+_TABLES = {"users": "users", "stations": "stations", "trips": "trips_raw", "events": "mobility_events"}
 _COLUMNS = {
     "users": ["user_id", "name", "surname", "birthdate", "country"],
     "stations": ["station_id", "name", "city", "capacity"],
@@ -167,7 +165,7 @@ _VALUES = [
     _count("trips.cost_not_negative", "trips_raw", "NOT total_cost >= 0"),
     _count("trips.ends_after_start", "trips_raw", "NOT end_time > start_time"),
 ]
-_ENUM = [_count("events.event_type.enum", "events_raw", f"event_type NOT IN {_KINDS}")]
+_ENUM = [_count("events.event_type.enum", "mobility_events", f"event_type NOT IN {_KINDS}")]
 _LENGTHS = [
     _count(f"{t}.{c}.length", _TABLES[t], f"length({c}) > {n}")
     for t, c, n in [
@@ -196,11 +194,11 @@ _FOREIGN = [
     _orphans("trips.user_id.foreign_key", "trips_raw", "user_id", "users", "user_id"),
     _orphans("trips.start_station.foreign_key", "trips_raw", "start_station", "stations", "station_id"),
     _orphans("trips.end_station.foreign_key", "trips_raw", "end_station", "stations", "station_id"),
-    _orphans("events.trip_id.foreign_key", "events_raw", "trip_id", "trips_raw", "trip_id"),
+    _orphans("events.trip_id.foreign_key", "mobility_events", "trip_id", "trips_raw", "trip_id"),
 ]
 
 # Documents: a rule about events counts the trips that have an offending event.
-_DOC_EVENTS = "(SELECT DISTINCT e.trip_id FROM events_raw e JOIN trips_raw t ON t.trip_id = e.trip_id WHERE {}) d"
+_DOC_EVENTS = "(SELECT DISTINCT e.trip_id FROM mobility_events e JOIN trips_raw t ON t.trip_id = e.trip_id WHERE {}) d"
 _LEVEL = """CASE WHEN event_type = 'BATTERY' THEN CAST("value" AS BIGINT) END"""
 _DOCUMENTS = (
     [
@@ -280,7 +278,7 @@ def _battery(rule: str, broken: str) -> str:
     before = broken.format(level="CAST(NULL AS BIGINT)")
     after = broken.format(level=f"({_LEVEL})")
     return _rules(
-        [_count(f"{rule}.before", "trip_events", before), _count(f"{rule}.after", "trip_events", after)]
+        [_count(f"{rule}.before", "mobility_events", before), _count(f"{rule}.after", "mobility_events", after)]
     )
 
 
@@ -374,13 +372,13 @@ def oracle_sql() -> dict[str, str]:
         "q3_active_station_counts_low_cost": _with(_active_counts("cheap")),
         "q4_error_trips": _with(f"""
             SELECT DISTINCT t.trip_id, t.user_id, t.start_time, t.end_time, {_COST}
-            FROM trips t JOIN trip_events e ON t.trip_id = e.trip_id WHERE e.event_type = 'ERROR'"""),
+            FROM trips t JOIN mobility_events e ON t.trip_id = e.trip_id WHERE e.event_type = 'ERROR'"""),
         "q4_error_trips_distinct": _with(f"""
             SELECT trip_id, user_id, start_time, end_time, {_COST} FROM trips t
-            WHERE EXISTS (SELECT 1 FROM trip_events e WHERE e.trip_id = t.trip_id AND e.event_type = 'ERROR')"""),
+            WHERE EXISTS (SELECT 1 FROM mobility_events e WHERE e.trip_id = t.trip_id AND e.event_type = 'ERROR')"""),
         "q4_error_trips_embedded": _with(f"""
             SELECT DISTINCT t.trip_id, t.user_id, t.start_time, t.end_time, {_COST}
-            FROM trips t JOIN trip_events e ON t.trip_id = e.trip_id WHERE e.event_type = 'ERROR'"""),
+            FROM trips t JOIN mobility_events e ON t.trip_id = e.trip_id WHERE e.event_type = 'ERROR'"""),
         "trips_sorted": _with("SELECT trip_id, user_id, start_time FROM trips ORDER BY trip_id"),
         "trips_latest": _with(f"""
             SELECT trip_id, user_id, start_time FROM trips ORDER BY trip_id DESC LIMIT {LATEST_TRIPS}"""),
@@ -391,9 +389,10 @@ def oracle_sql() -> dict[str, str]:
             SELECT t.trip_id, count(e.event_id) AS n_events,
                    count(CASE WHEN e.event_type = 'ERROR' THEN 1 END) AS n_error,
                    min(e.event_id) AS first_event_id, max(e.event_id) AS last_event_id
-            FROM trips t LEFT JOIN trip_events e ON t.trip_id = e.trip_id GROUP BY t.trip_id"""),
+            FROM trips t LEFT JOIN mobility_events e ON t.trip_id = e.trip_id GROUP BY t.trip_id"""),
         "doc_unwind_events": _with("""
-            SELECT trip_id, event_id, "timestamp", event_type, "value" FROM trip_events"""),
+            SELECT trip_id, event_id, "timestamp", event_type, "value" FROM mobility_events
+            WHERE trip_id IN (SELECT trip_id FROM trips)"""),
         "doc_lookup_user_trips": _with("""
             SELECT u.user_id, count(t.trip_id) AS n_trips, CAST(coalesce(sum(t.total_cost), 0) AS DOUBLE) AS total_cost
             FROM users u LEFT JOIN trips t ON u.user_id = t.user_id GROUP BY u.user_id"""),
@@ -405,7 +404,7 @@ def oracle_sql() -> dict[str, str]:
                    CASE WHEN event_type = 'ERROR' THEN split_part("value", ':', 2) END AS error_name,
                    CASE WHEN event_type = 'BATTERY' THEN CAST("value" AS BIGINT) END AS battery,
                    CASE WHEN event_type = 'DELAY' THEN CAST("value" AS BIGINT) END AS delay_min
-            FROM trip_events"""),
+            FROM mobility_events"""),
         "graph_vertices": _with("""
             SELECT 'U:' || user_id AS id, 'USER' AS label, name, surname, country, NULL::VARCHAR AS city,
                    NULL::BIGINT AS capacity, NULL::DOUBLE AS total_cost FROM users
@@ -451,7 +450,7 @@ def oracle_sql() -> dict[str, str]:
         "check_enum": _rules(_ENUM),
         "check_lengths": _rules(_LENGTHS),
         "check_foreign_keys": _rules(
-            _FOREIGN + [_orphans("events.trip_id.accepted_trip", "events_raw", "trip_id", "trips", "trip_id")]
+            _FOREIGN + [_orphans("events.trip_id.accepted_trip", "mobility_events", "trip_id", "trips", "trip_id")]
         ),
         "check_documents": _rules(_DOCUMENTS),
         "check_document_types": _rules(_DOCUMENT_TYPES),
@@ -463,11 +462,11 @@ def oracle_sql() -> dict[str, str]:
             SELECT 'users' AS table_name, count(*) AS n_remaining, min(CAST(user_id AS VARCHAR)) AS min_id,
                    max(CAST(user_id AS VARCHAR)) AS max_id FROM users WHERE country <> '{DELETED_COUNTRY}'
             UNION ALL
-            SELECT 'trips', count(*), min(CAST(trip_id AS VARCHAR)), max(CAST(trip_id AS VARCHAR)) FROM trips t
+            SELECT 'trips', count(*), min(CAST(trip_id AS VARCHAR)), max(CAST(trip_id AS VARCHAR)) FROM trips_raw t
             WHERE NOT EXISTS (SELECT 1 FROM doomed d WHERE d.user_id = t.user_id)
             UNION ALL
-            SELECT 'events', count(*), min(event_id), max(event_id) FROM trip_events e
-            WHERE NOT EXISTS (SELECT 1 FROM trips t JOIN doomed d ON d.user_id = t.user_id
+            SELECT 'events', count(*), min(event_id), max(event_id) FROM mobility_events e
+            WHERE NOT EXISTS (SELECT 1 FROM trips_raw t JOIN doomed d ON d.user_id = t.user_id
                               WHERE t.trip_id = e.trip_id)""",
             extra={"doomed": f"SELECT user_id FROM users WHERE country = '{DELETED_COUNTRY}'"}),
         "delete_stations_blocked": _with(f"""
@@ -480,13 +479,16 @@ def oracle_sql() -> dict[str, str]:
             SELECT user_id, name, NULL, length(surname) FROM users
             WHERE user_id NOT IN (SELECT station_id FROM stations)"""),
         "evolve_add_column": _with(f"""
-            SELECT {_EVENT_COLUMNS}, NULL::BIGINT AS battery_level FROM trip_events"""),
-        "evolve_backfill_table": _with(f"SELECT {_EVENT_COLUMNS}, {_LEVEL} AS battery_level FROM trip_events"),
-        "evolve_backfill_nested": _with(f"SELECT {_EVENT_COLUMNS}, {_LEVEL} AS battery_level FROM trip_events"),
+            SELECT {_EVENT_COLUMNS}, NULL::BIGINT AS battery_level FROM mobility_events"""),
+        "evolve_backfill_table": _with(f"SELECT {_EVENT_COLUMNS}, {_LEVEL} AS battery_level FROM mobility_events"),
+        "evolve_backfill_nested": _with(f"""
+            SELECT {_EVENT_COLUMNS}, {_LEVEL} AS battery_level FROM mobility_events
+            WHERE trip_id IN (SELECT trip_id FROM trips)"""),
         "evolve_modified_count": _with("""
-            SELECT count(DISTINCT trip_id) AS n_trips FROM trip_events WHERE event_type = 'BATTERY'"""),
+            SELECT count(DISTINCT trip_id) AS n_trips FROM mobility_events
+            WHERE event_type = 'BATTERY' AND trip_id IN (SELECT trip_id FROM trips)"""),
         "evolve_sample_event": _with(f"""
-            SELECT event_id, "value", {_LEVEL} AS battery_level FROM trip_events
+            SELECT event_id, "value", {_LEVEL} AS battery_level FROM mobility_events
             WHERE event_type = 'BATTERY' ORDER BY event_id LIMIT 1"""),
         "check_battery_range": _battery("events.battery_level.range", "NOT ({level} BETWEEN 0 AND 100)"),
         "check_battery_only": _battery(
@@ -524,5 +526,6 @@ def oracle_sql() -> dict[str, str]:
         "io_csv_roundtrip": _COST_TABLE,
         "io_append_overwrite": _COST_TABLE,
         "io_documents_roundtrip": _with("""
-            SELECT trip_id, event_id, "timestamp", event_type, "value" FROM trip_events"""),
+            SELECT trip_id, event_id, "timestamp", event_type, "value" FROM mobility_events
+            WHERE trip_id IN (SELECT trip_id FROM trips)"""),
     }

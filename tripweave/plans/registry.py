@@ -307,7 +307,7 @@ def _(t: Tables) -> DataFrame:
 
 
 def _raw(t: Tables) -> Tables:
-    return {"users": t["users"], "stations": t["stations"], "trips": t["trips_raw"], "events": t["events_raw"]}
+    return {"users": t["users"], "stations": t["stations"], "trips": t["trips_raw"], "events": t["events"]}
 
 
 @_query("check_unique")
@@ -339,7 +339,7 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     # Events against the accepted trips too, so that those of rejected trips show.
     return quality.check_foreign_keys(_raw(t)).unionByName(
-        quality.count_orphans(t["events_raw"], model.FOREIGN_KEYS[3], t["trips"]).withColumn(
+        quality.count_orphans(t["events"], model.FOREIGN_KEYS[3], t["trips"]).withColumn(
             "rule", F.lit("events.trip_id.accepted_trip")
         )
     )
@@ -347,7 +347,7 @@ def _(t: Tables) -> DataFrame:
 
 @_query("check_documents")
 def _(t: Tables) -> DataFrame:
-    docs = documents.embed_events(t["trips_raw"], t["events_raw"])
+    docs = documents.embed_events(t["trips_raw"], t["events"])
     docs = changes.backfill_battery_nested(docs)
     return quality.check_documents(docs, t["users"], t["stations"])
 
@@ -356,7 +356,7 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     """Documents as a careless producer writes them: with the text of every
     event, whatever its type, in the battery level as well."""
-    docs = documents.embed_events(t["trips_raw"], t["events_raw"].withColumn("battery_level", F.col("value")))
+    docs = documents.embed_events(t["trips_raw"], t["events"].withColumn("battery_level", F.col("value")))
     text = documents.documents_as_json(docs.drop("part", "parts"))
     return quality.check_document_types(text, "text", model.TRIP_DOCUMENT_V2, "trips")
 
@@ -384,7 +384,7 @@ def _(t: Tables) -> DataFrame:
 @_query("delete_users_cascade")
 def _(t: Tables) -> DataFrame:
     doomed = t["users"].where(F.col("country") == DELETED_COUNTRY)
-    left = changes.delete_cascade(t["users"], t["trips"], t["events"], doomed)
+    left = changes.delete_cascade(t["users"], t["trips_raw"], t["events"], doomed)
     parts = []
     for name in ("users", "trips", "events"):
         key = F.col(model.KEYS[name]).cast("string")

@@ -109,7 +109,7 @@ def _event_value() -> Column:
     )
 
 
-def events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One event per line item: a projection, without any shuffle.
 
     Number, part, supplier and day of a line make it unique within its order, so
@@ -126,15 +126,13 @@ def events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def star_schema_view(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All tables, lazily.  ``trips`` and ``events`` hold the rows that keep the
-    row rules; ``trips_raw`` and ``events_raw`` hold everything."""
-    raw_trips, raw_events = trips_raw(spark, sf_dir), events_raw(spark, sf_dir)
-    trips = keep_valid_rows(raw_trips, "trips")
+    """All tables, lazily.  ``trips_raw`` holds every trip, and ``events`` refers
+    to it; ``trips`` holds the trips that keep the row rules."""
+    raw = trips_raw(spark, sf_dir)
     return {
         "users": users(spark, sf_dir),
         "stations": stations(spark, sf_dir),
-        "trips_raw": raw_trips,
-        "trips": trips,
-        "events_raw": raw_events,
-        "events": raw_events.join(trips.select("trip_id"), "trip_id", "left_semi").select(raw_events.columns),
+        "trips_raw": raw,
+        "trips": keep_valid_rows(raw, "trips"),
+        "events": events(spark, sf_dir),
     }
