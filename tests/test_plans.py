@@ -1,0 +1,192 @@
+"""The shape of the plans, and what happens to keys that hold much of the data."""
+
+import random
+
+import helpers as h
+import pytest
+from pyspark.sql import functions as F
+
+from tripweave import model
+from tripweave.operators import changes, documents, graph, quality, relational
+from tripweave.plans import registry
+from tripweave.sources import tables
+
+
+@pytest.fixture(scope="module")
+def stored(spark, small, tmp_path_factory):
+    """The tables as a user has them: stored as Parquet."""
+    folder = str(tmp_path_factory.mktemp("tables"))
+    tables.save_tables({n: small[n] for n in ("users", "stations", "trips", "events")}, folder)
+    loaded = tables.load_tables(spark, folder)
+    return loaded | {"trips_raw": loaded["trips"]}
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+LAZY = [n for n in registry.on_tables() if not n.startswith("io_")]
+
+
+@pytest.mark.parametrize("name", LAZY)
+def test_no_python_and_no_cross_join(name, stored):
+    plan = h.plan_of(registry.on_tables()[name](stored))
+    for operator in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin", "Window"):
+        assert operator not in plan, plan
+
+
+def exchanges(df) -> int:
+    return sum("Exchange hashpartitioning" in line for line in h.plan_of(df).splitlines())
+
+
+def test_error_trips_use_a_semi_join_with_pushed_filter(stored, no_broadcast):
+    df = relational.trips_with_event(stored["trips"], stored["events"])
+    plan = h.plan_of(df)
+    assert "LeftSemi" in plan and "EqualTo(event_type,ERROR)" in plan
+    assert "ReadSchema: struct<trip_id:bigint,event_type:string>" in plan
+    # Events are reduced to keys before their only shuffle.
+    assert exchanges(df) == 2 and plan.count("HashAggregate") == 2
+
+
+def test_distinct_form_shuffles_no_more(stored, no_broadcast):
+    assert exchanges(relational.trips_with_event_distinct(stored["trips"], stored["events"])) == 2
+
+
+def test_station_counts_have_no_expand_and_read_two_columns(stored, no_broadcast):
+    df = relational.station_counts(stored["trips"], stored["stations"])
+    plan = h.plan_of(df)
+    assert "Expand" not in plan and "ReadSchema: struct<start_station:bigint,end_station:bigint>" in plan
+    assert exchanges(df) == 2  # counts and stations
+
+
+def test_user_stats_aggregate_before_the_join(stored, no_broadcast):
+    df = relational.user_stats(stored["trips"], stored["users"])
+    assert exchanges(df) == 2
+    assert "ReadSchema: struct<user_id:bigint,start_time:timestamp_ntz,end_time:timestamp_ntz>" in h.plan_of(df)
+
+
+def test_reachable_stations_push_the_rider_into_the_scan(stored):
+    assert "EqualTo(user_id,7)" in h.plan_of(graph.reachable_stations(stored["trips"], stored["stations"], 7))
+
+
+def test_top_k_needs_no_total_order(stored):
+    for name in ("graph_top_stations", "trips_latest", "evolve_sample_event", "graph_pagerank_top3"):
+        plan = h.plan_of(registry.on_tables()[name](stored))
+        assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan
+
+
+def test_row_rules_and_backfill_need_no_shuffle(stored):
+    assert "Exchange" not in h.plan_of(quality.keep_valid_rows(stored["trips"], "trips"))
+    assert "Exchange" not in h.plan_of(changes.backfill_battery(stored["events"]))
+
+
+def test_split_does_not_shuffle_the_rows(stored, no_broadcast):
+    """Offending keys are few, so they come to the rows, not the rows to them."""
+    orphaned = stored["trips"].withColumn("user_id", F.when(F.col("trip_id") < 40, -1).otherwise(F.col("user_id")))
+    _accepted, rejected = quality.split(orphaned, "trips", stored)
+    plan = h.plan_of(rejected)
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    assert rejected.count() > 0
+
+
+def test_whole_documents_need_no_shuffle(stored, spark, tmp_path):
+    docs = documents.embed_events(stored["trips"], stored["events"])
+    # Not stored: nothing is in parts, so the branch for parts is planned away.
+    assert "Union" not in h.plan_of(documents.trips_with_embedded_event(docs))
+    tables.write_table(docs, str(tmp_path / "docs"))
+    kept = spark.read.parquet(str(tmp_path / "docs"))
+    plan = h.plan_of(documents.trips_with_embedded_event(kept))
+    assert "GreaterThan(parts,1)" in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_rank_rounds_do_not_move_the_links(spark, stored, no_broadcast, monkeypatch):
+    """Two rounds in one plan: only the partial sums are shuffled."""
+    plans = []
+    cut = graph.cut_lineage
+
+    def watched(df):
+        plans.append(h.plan_of(df))
+        return cut(df)
+
+    monkeypatch.setattr(graph, "cut_lineage", watched)
+    graph.pagerank(graph.station_edges(stored["trips"]), stored["stations"], rounds=2)
+    rounds = plans[-1]
+    assert rounds.count("InMemoryTableScan") == 2
+    # One shuffle per round, and one that brings the first ranks to the links;
+    # the links were partitioned once, when they were cached.
+    assert rounds.count("ENSURE_REQUIREMENTS") == 3
+
+
+def test_plan_of_a_rank_does_not_grow_with_its_rounds(stored):
+    pairs = graph.station_edges(stored["trips"])
+    sizes = [len(h.plan_of(graph.pagerank(pairs, stored["stations"], rounds=n)).splitlines()) for n in (5, 30)]
+    assert sizes[0] == sizes[1]
+
+
+@pytest.fixture
+def eager_skew_handling(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10000",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.files.maxPartitionBytes": "16384",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@pytest.fixture
+def hot(spark, tmp_path):
+    """4000 trips, a third of which are by one rider, from one station."""
+    chance = random.Random(3)
+    rows = []
+    for i in range(4000):
+        heavy = i % 3 == 0
+        rows.append(h.trip(i, 1 if heavy else chance.randrange(200), 1 if heavy else chance.randrange(50), chance.randrange(50)))
+    tables.write_table(h.trips(spark, *rows).repartition(8), str(tmp_path / "trips"))
+    return (
+        tables.read_table(spark, str(tmp_path / "trips"), model.TRIPS),
+        h.users(spark, *range(200)),
+        h.stations(spark, *range(50)),
+    )
+
+
+def test_a_heavy_rider_is_split_over_tasks(hot, eager_skew_handling):
+    journeys, riders, places = hot
+    details = relational.trip_details(journeys, riders, places)
+    assert len(details.collect()) == 4000
+    assert "skew=true" in h.plan_of(details)
+
+
+def test_heavy_keys_give_whole_results(hot):
+    journeys, riders, places = hot
+    stats = {r.user_id: r.num_trips for r in relational.user_stats(journeys, riders).collect()}
+    assert sum(stats.values()) == 4000 and stats[1] >= 1334
+    nested = documents.user_stats_nested(riders, journeys, part_rows=100)
+    assert h.rows(nested) == h.rows(relational.user_stats(journeys, riders, empty="zero"))
+    counts = relational.station_counts(journeys, places)
+    assert counts.agg(F.sum("trips_starting") + F.sum("trips_ending")).first()[0] == 8000
+
+
+def test_no_array_grows_with_a_heavy_rider(hot):
+    journeys, riders, _places = hot
+    trips = journeys.select("trip_id", F.col("user_id").alias("rider"))
+    nested = documents.lookup(riders.select("user_id"), trips, "user_id", "rider", "trips", "trip_id", part_rows=100)
+    sizes = [(r.user_id, r.n) for r in nested.select("user_id", F.size("trips").alias("n")).collect()]
+    assert sum(n for _, n in sizes) == 4000 and max(n for _, n in sizes) < 200
+
+
+def test_many_heavy_keys_are_joined_without_a_broadcast(hot, monkeypatch):
+    journeys, riders, _places = hot
+    expected = h.rows(documents.user_stats_nested(riders, journeys))
+    monkeypatch.setattr(documents, "small_side", lambda keys: (keys, keys.count()))
+    assert h.rows(documents.user_stats_nested(riders, journeys, part_rows=5)) == expected

@@ -1,0 +1,115 @@
+import datetime as dt
+
+import helpers as h
+import pytest
+from pyspark.sql import functions as F
+
+from tripweave.functions.expressions import minutes_between, round_half_up
+from tripweave.operators import documents, relational
+
+
+@pytest.fixture
+def riders(spark):
+    return h.users(spark, 1, 2, 3)
+
+
+@pytest.fixture
+def places(spark):
+    return h.stations(spark, 10, 20, 30)
+
+
+@pytest.fixture
+def journeys(spark):
+    return h.trips(
+        spark,
+        h.trip(1, 1, 10, 20, minutes=10),
+        h.trip(2, 1, 20, 10, minutes=20.5),
+        h.trip(3, 2, 10, 10, minutes=7),
+        h.trip(4, 2, 10, 20, minutes=8),
+    )
+
+
+def test_rider_without_trips_is_null_zero_or_absent(journeys, riders):
+    null = h.rows(relational.user_stats(journeys, riders))
+    assert null == [(1, "N1", "S1", 2, 15.25), (2, "N2", "S2", 2, 7.5), (3, "N3", "S3", 0, None)]
+    zero = h.rows(relational.user_stats(journeys, riders, empty="zero"))
+    assert zero == null[:2] + [(3, "N3", "S3", 0, 0.0)]
+    assert h.rows(relational.user_stats(journeys, riders, empty="drop")) == null[:2]
+    assert h.rows(relational.active_user_stats(journeys)) == [(1, 2, 15.25), (2, 2, 7.5)]
+    assert h.rows(documents.user_stats_nested(riders, journeys)) == zero
+
+
+def test_unknown_choice_is_refused(journeys, riders):
+    with pytest.raises(ValueError):
+        relational.user_stats(journeys, riders, empty="maybe")
+
+
+def test_round_trip_counts_in_both_roles_and_unused_station_is_zero(journeys, places):
+    assert h.rows(relational.station_counts(journeys, places)) == [
+        (10, "Station 10", "Roma", 3, 2),
+        (20, "Station 20", "Roma", 1, 2),
+        (30, "Station 30", "Roma", 0, 0),
+    ]
+    assert [r[0] for r in h.rows(relational.station_counts(journeys, places, active_only=True))] == [10, 20]
+
+
+def test_trip_details_is_an_inner_join(spark, journeys, riders, places):
+    lost = journeys.unionByName(h.trips(spark, h.trip(5, 99, 10, 20), h.trip(6, 1, 10, 99), h.trip(7, 1, None, 20)))
+    details = relational.trip_details(lost, riders, places)
+    assert [r[0] for r in h.rows(details.select("trip_id"))] == [1, 2, 3, 4]
+    assert details.columns == [
+        "trip_id", "user_id", "user_name", "user_surname", "birthdate", "country",
+        "start_station", "end_station", "start_time", "end_time", "total_cost",
+    ]
+
+
+def test_three_forms_of_trips_with_an_event_agree(spark, journeys):
+    happened = h.events(
+        spark,
+        h.event("a", 1, "ERROR", "E001:BrakeFailure"),
+        h.event("b", 1, "ERROR", "E002:MotorOverheat"),
+        h.event("c", 2, "GPS", "40.0,9.0"),
+        h.event("d", 3, "ERROR", "E003:BatteryLow"),
+        h.event("e", 99, "ERROR", "E003:BatteryLow"),
+    )
+    semi = h.rows(relational.trips_with_event(journeys, happened))
+    assert [r[0] for r in semi] == [1, 3]
+    assert h.rows(relational.trips_with_event_distinct(journeys, happened)) == semi
+    for part_rows in (10_000, 1):
+        docs = documents.embed_events(journeys, happened, part_rows)
+        assert h.rows(documents.trips_with_embedded_event(docs)) == semi
+
+
+def test_duration_ignores_the_session_time_zone(spark):
+    df = spark.createDataFrame(
+        [(dt.datetime(2023, 3, 26, 1, 30), dt.datetime(2023, 3, 26, 3, 30, 30, 500000))],
+        "a timestamp_ntz, b timestamp_ntz",
+    )
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Rome")
+    try:
+        assert df.select(minutes_between("a", "b")).first()[0] == pytest.approx(120 + 30.5 / 60)
+        assert df.select(minutes_between("b", "a")).first()[0] == pytest.approx(-120 - 30.5 / 60)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_rounding_is_half_up(spark):
+    assert spark.range(1).select(round_half_up(F.lit(2.345))).first()[0] == 2.35
+
+
+def test_empty_tables_keep_their_columns(spark):
+    no_users, no_stations, no_trips, no_events = h.users(spark), h.stations(spark), h.trips(spark), h.events(spark)
+    for df in (
+        relational.trip_details(no_trips, no_users, no_stations),
+        relational.user_stats(no_trips, no_users),
+        relational.active_user_stats(no_trips),
+        relational.station_counts(no_trips, no_stations),
+        relational.trips_with_event(no_trips, no_events),
+        relational.trips_with_event_distinct(no_trips, no_events),
+        documents.trips_with_embedded_event(documents.embed_events(no_trips, no_events)),
+        documents.user_stats_nested(no_users, no_trips),
+        documents.active_station_counts(documents.embed_events(no_trips, no_events), no_stations),
+        documents.unwind_events(documents.embed_events(no_trips, no_events)),
+    ):
+        assert df.collect() == [] and len(df.columns) >= 3

@@ -97,6 +97,11 @@ def has_event(event_type: str, column: str = "events") -> Column:
     return F.exists(column, lambda e: e["event_type"] == event_type)
 
 
+def _first_parts(docs: DataFrame) -> DataFrame:
+    """One row per document, for questions that do not look into the array."""
+    return docs.where(F.col("part") == 0) if "part" in docs.columns else docs
+
+
 def once_per_trip(docs: DataFrame) -> DataFrame:
     """Document rows that passed a test, reduced to one row per trip.
 
@@ -114,10 +119,9 @@ def once_per_trip(docs: DataFrame) -> DataFrame:
 
 def trips_with_embedded_event(docs: DataFrame, event_type: str = "ERROR") -> DataFrame:
     """Trips with at least one embedded event of the given type, each once."""
-    matching = docs.where(has_event(event_type))
-    return once_per_trip(
-        matching.select("trip_id", "user_id", "start_time", "end_time", "total_cost", "part", "parts")
-    )
+    fields = ["trip_id", "user_id", "start_time", "end_time", "total_cost"]
+    parts = [c for c in ("part", "parts") if c in docs.columns]
+    return once_per_trip(docs.where(has_event(event_type)).select(*fields, *parts))
 
 
 def trip_documents_report(docs: DataFrame, users: DataFrame, stations: DataFrame) -> DataFrame:
@@ -134,7 +138,7 @@ def trip_documents_report(docs: DataFrame, users: DataFrame, stations: DataFrame
         return stations.select(F.col("station_id").alias(f"{role}_id"), F.col("name").alias(f"{role}_station_name"))
 
     return (
-        docs.where(F.col("part") == 0)
+        _first_parts(docs)
         .join(names("start"), F.col("start_station_id") == F.col("start_id"))
         .join(names("end"), F.col("end_station_id") == F.col("end_id"))
         .join(riders, F.col("user_id") == F.col("rider"))
@@ -195,8 +199,7 @@ def facet_counts(df: DataFrame, facets: dict[str, str], into: str) -> DataFrame:
 
 def facet_station_roles(docs: DataFrame) -> DataFrame:
     """Departures and arrivals per station as tagged facets."""
-    whole = docs.where(F.col("part") == 0) if "part" in docs.columns else docs
-    return facet_counts(whole, {"start": "start_station_id", "end": "end_station_id"}, "station_id")
+    return facet_counts(_first_parts(docs), {"start": "start_station_id", "end": "end_station_id"}, "station_id")
 
 
 def active_station_counts(docs: DataFrame, stations: DataFrame) -> DataFrame:

@@ -161,6 +161,7 @@ def pagerank(
     # from the checkpoint.
     partitions = int(stations.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     links = links.repartition(partitions, "src").sortWithinPartitions("src").persist(StorageLevel.MEMORY_AND_DISK)
+    links.count()  # fills the cache; a plan knows its partitioning only from then on
 
     ranks = nodes.select(F.col("id").alias("src"), F.lit(1.0 / n).alias("rank"))
     for i in range(1, rounds + 1):

@@ -128,9 +128,7 @@ def _docs(t: Tables) -> DataFrame:
 def _plain_docs(trips: DataFrame) -> DataFrame:
     """Trips in document naming, without their events: what is asked here does
     not look into them."""
-    return trips.withColumnsRenamed({"start_station": "start_station_id", "end_station": "end_station_id"}).withColumns(
-        {"part": F.lit(0), "parts": F.lit(1)}
-    )
+    return trips.withColumnsRenamed({"start_station": "start_station_id", "end_station": "end_station_id"})
 
 
 @_query("q1_trip_documents")
