@@ -57,6 +57,18 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def without_cached_plans(plan: str) -> str:
+    """The plan without what once filled the caches it reads."""
+    kept, depth = [], None
+    for line in plan.splitlines():
+        indent = len(line) - len(line.lstrip(" :+-"))
+        if depth is not None and indent > depth:
+            continue
+        depth = indent if "InMemoryRelation" in line else None
+        kept.append(line)
+    return "\n".join(kept)
+
+
 def counts(df) -> dict:
     """Rule -> number of violations, without the zeros."""
     return {r[0]: r[1] for r in df.collect() if r[1]}

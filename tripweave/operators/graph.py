@@ -147,6 +147,7 @@ def pagerank(
         return stations.select("station_id", "name", F.lit(0.0).alias("rank"))
 
     base = (1.0 - damping) / n
+    edges = cut_lineage(edges)  # used twice below; the trips are read once
     known = (
         edges.join(out_degree(edges), "src")
         .select("src", "dst", (F.col("n_trips") / F.col("out_degree")).alias("weight"))
@@ -155,23 +156,19 @@ def pagerank(
         .select("src", "dst", "weight")
     )
     own = nodes.select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(0.0).alias("weight"))
-    links = cut_lineage(known.unionByName(own))
     # Cached in a fixed number of partitions, so that nothing coalesces them and
     # they stay aligned with the ranks of each round.  A lost block is rebuilt
     # from the checkpoint.
     partitions = int(stations.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    links = links.repartition(partitions, "src").sortWithinPartitions("src").persist(StorageLevel.MEMORY_AND_DISK)
+    links = known.unionByName(own).repartition(partitions, "src").sortWithinPartitions("src")
+    links = links.persist(StorageLevel.MEMORY_AND_DISK)
     links.count()  # fills the cache; a plan knows its partitioning only from then on
 
     ranks = nodes.select(F.col("id").alias("src"), F.lit(1.0 / n).alias("rank"))
     for i in range(1, rounds + 1):
         share = F.sum(F.col("rank") * F.col("weight"))
-        ranks = (
-            links.join(ranks, "src")
-            .groupBy("dst")
-            .agg((F.lit(base) + F.lit(damping) * share).alias("rank"))
-            .withColumnRenamed("dst", "src")
-        )
+        shares = links.join(ranks, "src").groupBy(F.col("dst").alias("src"))
+        ranks = shares.agg((F.lit(base) + F.lit(damping) * share).alias("rank"))
         if i % _ROUNDS_PER_PLAN == 0 or i == rounds:
             ranks = cut_lineage(ranks)
     links.unpersist()

@@ -71,21 +71,58 @@ def count_duplicates(df: DataFrame, table: str, key: str | None = None) -> DataF
     )
 
 
-def orphan_keys(child: DataFrame, fk: ForeignKey, parent: DataFrame) -> DataFrame:
-    """(column, n): the foreign-key values without a parent, with their row count.
+def _key_usage(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(which, key, n): how many rows use a value as the key in ``columns[which]``.
 
-    The child side is counted per key first, so only distinct keys are joined.
+    One scan serves all key columns, and a value that fills a third of the rows
+    is one row per task by the time it is shuffled.  Keys of different types are
+    compared as text.
     """
-    per_key = child.where(F.col(fk.column).isNotNull()).groupBy(fk.column).agg(F.count("*").alias("n"))
-    known = parent.select(F.col(fk.parent_key).alias(fk.column))
-    return per_key.join(known, fk.column, "left_anti")
-
-
-def count_orphans(child: DataFrame, fk: ForeignKey, parent: DataFrame) -> DataFrame:
-    """(rule, n_violations): child rows whose parent is missing."""
-    return orphan_keys(child, fk, parent).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_violations")).select(
-        F.lit(fk.rule).alias("rule"), "n_violations"
-    )
+    mixed = len({df.schema[c].dataType for c in columns}) > 1
+    pairs = [
+        F.struct(F.lit(i).alias("which"), (F.col(c).cast("string") if mixed else F.col(c)).alias("key"))
+        for i, c in enumerate(columns)
+    ]
+    used = df.select(F.inline(F.array(*pairs))).where(F.col("key").isNotNull())
+    return used.groupBy("which", "key").agg(F.count("*").alias("n"))
+
+
+def _parent_keys(fks: list[ForeignKey], parents: dict[str, DataFrame], key_type: T.DataType) -> DataFrame:
+    """(which, key) of all keys that ``fks[which]`` may refer to."""
+    known = [
+        parents[fk.parent].select(F.lit(i).alias("which"), F.col(fk.parent_key).cast(key_type).alias("key"))
+        for i, fk in enumerate(fks)
+    ]
+    return reduce(DataFrame.unionByName, known)
+
+
+def orphan_keys(child: DataFrame, fks: list[ForeignKey], parents: dict[str, DataFrame]) -> DataFrame:
+    """(which, key, n): foreign-key values without a parent, and their row count."""
+    used = _key_usage(child, [fk.column for fk in fks])
+    return used.join(_parent_keys(fks, parents, used.schema["key"].dataType), ["which", "key"], "left_anti")
+
+
+def count_orphans(child: DataFrame, fks: list[ForeignKey], parents: dict[str, DataFrame]) -> DataFrame:
+    """(rule, n_violations): child rows whose parent is missing, per foreign key."""
+    orphans = orphan_keys(child, fks, parents)
+    sums = [
+        F.coalesce(F.sum(F.when(F.col("which") == i, F.col("n"))), F.lit(0)).alias(f"n{i}") for i in range(len(fks))
+    ]
+    pairs = [F.struct(F.lit(fk.rule).alias("rule"), F.col(f"n{i}").alias("n_violations")) for i, fk in enumerate(fks)]
+    return orphans.agg(*sums).select(F.inline(F.array(*pairs)))
+
+
+def _offending_keys(df: DataFrame, table: str, fks: list[ForeignKey], parents: dict[str, DataFrame]) -> DataFrame:
+    """(which, key): orphans of ``fks[which]``, and after them the repeated keys of
+    the table itself; from a single pass over the key columns."""
+    used = _key_usage(df, [fk.column for fk in fks] + [model.KEYS[table]])
+    repeated = F.col("n") > 1
+    if not fks:
+        return used.where(repeated).select("which", "key")
+    known = _parent_keys(fks, parents, used.schema["key"].dataType).distinct().withColumn("known", F.lit(True))
+    orphan = F.col("known").isNull()
+    bad = F.when(F.col("which") == len(fks), repeated).otherwise(orphan)
+    return used.join(known, ["which", "key"], "left").where(bad).select("which", "key")
 
 
 def check_rows(tables: dict[str, DataFrame], kinds: tuple[str, ...] = ROW_RULE_KINDS) -> DataFrame:
@@ -102,14 +139,14 @@ def check_unique(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [count_duplicates(df, name) for name, df in tables.items()])
 
 
+def _foreign_keys(table: str, parents: dict[str, DataFrame] | None) -> list[ForeignKey]:
+    return [fk for fk in model.FOREIGN_KEYS if fk.child == table and fk.parent in (parents or {})]
+
+
 def check_foreign_keys(tables: dict[str, DataFrame]) -> DataFrame:
+    checked = {name: _foreign_keys(name, tables) for name in tables}
     return reduce(
-        DataFrame.unionByName,
-        [
-            count_orphans(tables[fk.child], fk, tables[fk.parent])
-            for fk in model.FOREIGN_KEYS
-            if fk.child in tables and fk.parent in tables
-        ],
+        DataFrame.unionByName, [count_orphans(tables[name], fks, tables) for name, fks in checked.items() if fks]
     )
 
 
@@ -133,24 +170,18 @@ def broken_rules(df: DataFrame, table: str, parents: dict[str, DataFrame] | None
     key are marked, since an unordered table has no first one.
     """
     flags = [F.when(broken, F.lit(name)) for name, broken in row_rules(table).items()]
+    fks = _foreign_keys(table, parents)
+    columns = [fk.column for fk in fks] + [model.KEYS[table]]
+    names = [fk.rule for fk in fks] + [f"{table}.{model.KEYS[table]}.unique"]
+    offending, rows = small_side(_offending_keys(df, table, fks, parents or {}))
+
     marked = df
-    bad_keys: list[tuple[str, str, DataFrame]] = []
-    if parents is not None:
-        for fk in model.FOREIGN_KEYS:
-            if fk.child == table and fk.parent in parents:
-                bad_keys.append((fk.rule, fk.column, orphan_keys(df, fk, parents[fk.parent]).select(fk.column)))
-    key = model.KEYS[table]
-    repeated = df.groupBy(key).agg(F.count("*").alias("n")).where((F.col("n") > 1) & F.col(key).isNotNull())
-    bad_keys.append((f"{table}.{key}.unique", key, repeated.select(key)))
-
-    for i, (name, column, keys) in enumerate(bad_keys):
-        keys, rows = small_side(keys)
-        if rows == 0:
-            continue
-        mark = f"_bad{i}"
-        keys = keys.select(F.col(column).alias(mark))
-        marked = marked.join(keys, F.col(column) == F.col(mark), "left")
-        flags.append(F.when(F.col(mark).isNotNull(), F.lit(name)))
+    if rows:
+        key_type = offending.schema["key"].dataType
+        for i, (name, column) in enumerate(zip(names, columns, strict=True)):
+            keys = offending.where(F.col("which") == i).select(F.col("key").alias(f"_bad{i}"))
+            marked = marked.join(keys, F.col(column).cast(key_type) == F.col(f"_bad{i}"), "left")
+            flags.append(F.when(F.col(f"_bad{i}").isNotNull(), F.lit(name)))
     return marked.select(*df.columns, F.array_compact(F.array(*flags)).alias("broken_rules"))
 
 

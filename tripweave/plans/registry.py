@@ -336,10 +336,10 @@ def _(t: Tables) -> DataFrame:
 @_query("check_foreign_keys")
 def _(t: Tables) -> DataFrame:
     # Events against the accepted trips too, so that those of rejected trips show.
+    to_trips = [fk for fk in model.FOREIGN_KEYS if fk.child == "events"]
+    accepted = quality.count_orphans(t["events"], to_trips, {"trips": t["trips"]})
     return quality.check_foreign_keys(_raw(t)).unionByName(
-        quality.count_orphans(t["events"], model.FOREIGN_KEYS[3], t["trips"]).withColumn(
-            "rule", F.lit("events.trip_id.accepted_trip")
-        )
+        accepted.withColumn("rule", F.lit("events.trip_id.accepted_trip"))
     )
 
 
