@@ -70,6 +70,22 @@ def test_rank_on_random_graphs(spark):
         assert found == pytest.approx(plain_pagerank(pairs, list(range(n_nodes))))
 
 
+def test_rank_with_heavy_sources_in_pieces(spark, monkeypatch):
+    """Stations 0 and 1 have links to everywhere; a third of all links are theirs."""
+    chance = random.Random(6)
+    nodes = list(range(60))
+    pairs = [(hub, dst) for hub in (0, 1) for dst in nodes]
+    pairs += [(chance.randrange(63), chance.randrange(63)) for _ in range(240)]
+    expected = plain_pagerank(pairs, nodes)
+    for bound in (7, 50):
+        monkeypatch.setattr(graph, "_LINKS_PER_PIECE", bound)
+        ranked = graph.pagerank(edges_of(spark, pairs), h.stations(spark, *nodes))
+        assert {r.station_id: r["rank"] for r in ranked.collect()} == pytest.approx(expected)
+    monkeypatch.setattr(graph, "small_side", lambda keys: (keys, keys.count()))
+    ranked = graph.pagerank(edges_of(spark, pairs), h.stations(spark, *nodes))
+    assert {r.station_id: r["rank"] for r in ranked.collect()} == pytest.approx(expected)
+
+
 def test_rank_sums_to_one_without_sinks(spark):
     ranked = graph.pagerank(edges_of(spark, [(1, 2), (2, 3), (3, 1), (1, 3)]), h.stations(spark, 1, 2, 3))
     assert ranked.agg(F.sum("rank")).first()[0] == pytest.approx(1.0)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripweave.operators.relational import station_counts
-from tripweave.session import cut_lineage
+from tripweave.session import cut_lineage, small_side
 
 # ---- Fixed values of the ranking -------------------------------------------
 DAMPING = 0.85
@@ -19,6 +19,9 @@ ROUNDS = 20
 # Rounds of a rank that go into one plan before its lineage is cut.
 _ROUNDS_PER_PLAN = 5
 
+# Links of one source that may lie together in one partition.
+_LINKS_PER_PIECE = 1_000_000
+
 
 def _node(prefix: str, key: str) -> Column:
     return F.concat(F.lit(prefix), F.col(key).cast("string"))
@@ -140,6 +143,10 @@ def pagerank(
     shuffle, and leaves the new ranks partitioned like the edges, so neither
     side of the next join moves.  Every station has an edge of weight zero to
     itself, which keeps stations without arrivals among the targets.
+
+    A source with more than ``_LINKS_PER_PIECE`` targets, which only a graph with
+    more stations than that can have, is cut into pieces, and its rank goes to
+    each of them.
     """
     nodes = stations.select(F.col("station_id").alias("id"))
     n = nodes.count()
@@ -156,18 +163,31 @@ def pagerank(
         .select("src", "dst", "weight")
     )
     own = nodes.select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(0.0).alias("weight"))
+    links = known.unionByName(own)
+    key, heavy = ["src"], None
+    if n > _LINKS_PER_PIECE:
+        many = links.groupBy("src").agg(F.ceil(F.count("*") / _LINKS_PER_PIECE).cast("int").alias("pieces"))
+        heavy, n_heavy = small_side(many.where(F.col("pieces") > 1))
+        if n_heavy:
+            key = ["src", "piece"]
+            piece = F.coalesce(F.pmod(F.xxhash64("dst"), F.col("pieces")).cast("int"), F.lit(0))
+            links = links.join(heavy, "src", "left").select("src", piece.alias("piece"), "dst", "weight")
+
     # Cached in a fixed number of partitions, so that nothing coalesces them and
     # they stay aligned with the ranks of each round.  A lost block is rebuilt
     # from the checkpoint.
     partitions = int(stations.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    links = known.unionByName(own).repartition(partitions, "src").sortWithinPartitions("src")
+    links = links.repartition(partitions, *key).sortWithinPartitions(*key)
     links = links.persist(StorageLevel.MEMORY_AND_DISK)
     links.count()  # fills the cache; a plan knows its partitioning only from then on
 
     ranks = nodes.select(F.col("id").alias("src"), F.lit(1.0 / n).alias("rank"))
     for i in range(1, rounds + 1):
+        if "piece" in key:
+            pieces = F.sequence(F.lit(0), F.coalesce("pieces", F.lit(1)) - 1)
+            ranks = ranks.join(heavy, "src", "left").select("src", F.explode(pieces).alias("piece"), "rank")
         share = F.sum(F.col("rank") * F.col("weight"))
-        shares = links.join(ranks, "src").groupBy(F.col("dst").alias("src"))
+        shares = links.join(ranks, key).groupBy(F.col("dst").alias("src"))
         ranks = shares.agg((F.lit(base) + F.lit(damping) * share).alias("rank"))
         if i % _ROUNDS_PER_PLAN == 0 or i == rounds:
             ranks = cut_lineage(ranks)
