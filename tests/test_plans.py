@@ -112,6 +112,7 @@ def test_rank_rounds_do_not_move_the_links(spark, stored, no_broadcast, monkeypa
         return cut(df)
 
     monkeypatch.setattr(graph, "cut_lineage", watched)
+    monkeypatch.setattr(graph, "_LINKS_PER_PARTITION", 40)
     graph.pagerank(graph.station_edges(stored["trips"]), stored["stations"], rounds=2)
     rounds = h.without_cached_plans(plans[-1])
     assert rounds.count("InMemoryTableScan") == 2

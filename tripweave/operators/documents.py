@@ -30,6 +30,9 @@ def lookup(
 ) -> DataFrame:
     """Left nest-join: ``left`` with the matching ``right`` rows as an array.
 
+    Meant for one left row with many matches.  To fetch the one parent of many
+    rows, join instead: there a heavy key can be split at run time.
+
     A left row without matches gets an empty array.  Array elements carry
     ``fields`` (all columns of ``right`` if not given) and are ordered by
     ``order_by``, which must be unique among the matches of a key.  The result
@@ -57,7 +60,7 @@ def lookup(
         matches.select(F.col(right_key).alias("_key"), part.alias("_part"), item.alias("_item"))
         .repartition("_key", "_part")
         .groupBy("_key", "_part")
-        .agg(F.array_sort(F.collect_list("_item")).alias(into))
+        .agg(F.sort_array(F.collect_list("_item")).alias(into))
     )
     joined = base.join(arrays, (F.col(left_key) == F.col("_key")) & (F.col("part") == F.col("_part")), "left")
     return joined.select(*left.columns, "part", "parts", F.coalesce(F.col(into), F.array()).alias(into))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark import StorageLevel
@@ -9,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripweave.operators.relational import station_counts
-from tripweave.session import cut_lineage, small_side
+from tripweave.session import cut_lineage, shuffle_partitions, small_side
 
 # ---- Fixed values of the ranking -------------------------------------------
 DAMPING = 0.85
@@ -19,7 +20,8 @@ ROUNDS = 20
 # Rounds of a rank that go into one plan before its lineage is cut.
 _ROUNDS_PER_PLAN = 5
 
-# Links of one source that may lie together in one partition.
+# Links per partition of the rank, and links of one source that may lie together.
+_LINKS_PER_PARTITION = 500_000
 _LINKS_PER_PIECE = 1_000_000
 
 
@@ -173,24 +175,25 @@ def pagerank(
             piece = F.coalesce(F.pmod(F.xxhash64("dst"), F.col("pieces")).cast("int"), F.lit(0))
             links = links.join(heavy, "src", "left").select("src", piece.alias("piece"), "dst", "weight")
 
-    # Cached in a fixed number of partitions, so that nothing coalesces them and
-    # they stay aligned with the ranks of each round.  A lost block is rebuilt
-    # from the checkpoint.
-    partitions = int(stations.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # As many partitions as the links need, whatever the session is set up for, and
+    # fixed, so that the links stay aligned with the ranks of each round.  A lost
+    # block of the cache is rebuilt from the checkpoint.
+    partitions = math.ceil((edges.count() + n) / _LINKS_PER_PARTITION)
     links = links.repartition(partitions, *key).sortWithinPartitions(*key)
     links = links.persist(StorageLevel.MEMORY_AND_DISK)
     links.count()  # fills the cache; a plan knows its partitioning only from then on
 
     ranks = nodes.select(F.col("id").alias("src"), F.lit(1.0 / n).alias("rank"))
-    for i in range(1, rounds + 1):
-        if "piece" in key:
-            pieces = F.sequence(F.lit(0), F.coalesce("pieces", F.lit(1)) - 1)
-            ranks = ranks.join(heavy, "src", "left").select("src", F.explode(pieces).alias("piece"), "rank")
-        share = F.sum(F.col("rank") * F.col("weight"))
-        shares = links.join(ranks, key).groupBy(F.col("dst").alias("src"))
-        ranks = shares.agg((F.lit(base) + F.lit(damping) * share).alias("rank"))
-        if i % _ROUNDS_PER_PLAN == 0 or i == rounds:
-            ranks = cut_lineage(ranks)
+    with shuffle_partitions(stations.sparkSession, partitions):
+        for i in range(1, rounds + 1):
+            if "piece" in key:
+                pieces = F.sequence(F.lit(0), F.coalesce("pieces", F.lit(1)) - 1)
+                ranks = ranks.join(heavy, "src", "left").select("src", F.explode(pieces).alias("piece"), "rank")
+            share = F.sum(F.col("rank") * F.col("weight"))
+            shares = links.join(ranks, key).groupBy(F.col("dst").alias("src"))
+            ranks = shares.agg((F.lit(base) + F.lit(damping) * share).alias("rank"))
+            if i % _ROUNDS_PER_PLAN == 0 or i == rounds:
+                ranks = cut_lineage(ranks)
     links.unpersist()
     return stations.select("station_id", "name").join(ranks.withColumnRenamed("src", "station_id"), "station_id")
 
@@ -253,7 +256,7 @@ def connected_components(edges: DataFrame, stations: DataFrame) -> DataFrame:
     for move in reversed(moves[:-1]):
         later = roots.select(F.col("a").alias("root"), F.col("root").alias("last"))
         roots = move.join(later, "root", "left").select("a", F.coalesce("last", "root").alias("root"))
-    smallest = roots.groupBy("root").agg(F.min("a").alias("component"))
+    smallest, _ = small_side(roots.groupBy("root").agg(F.min("a").alias("component")))
     found = roots.join(smallest, "root").select(F.col("a").alias("station_id"), F.col("component").alias("found"))
     return labels.join(found, "station_id", "left").select(
         "station_id", F.coalesce("found", "component").alias("component")

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 
 # Key sets up to this many rows may be broadcast.  A row is one key and at most
 # one count, so the bound keeps a broadcast in the tens of megabytes.
@@ -65,6 +68,21 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+@contextmanager
+def shuffle_partitions(spark: SparkSession, n: int) -> Iterator[None]:
+    """Plan shuffles with ``n`` partitions inside the block.
+
+    For loops whose data is far smaller than what the session is set up for, and
+    whose partitions have to match so that adaptive execution cannot merge them.
+    """
+    before = spark.conf.get(SHUFFLE_PARTITIONS)
+    spark.conf.set(SHUFFLE_PARTITIONS, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_PARTITIONS, before)
+
+
 def small_side(keys: DataFrame, max_rows: int = SMALL_KEY_SET) -> tuple[DataFrame, int]:
     """Compute a key set that is expected to be small, and say how big it is.
 
