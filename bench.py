@@ -9,6 +9,8 @@ of ``BENCH_RUNS`` runs, and next to it the first run, which compiles its code.
     BENCH_SF_DIR  star-schema folder (default /root/testdata/sf0.1)
     BENCH_CPUS    local cores (default 8)
     BENCH_RUNS    runs per query (default 3)
+    BENCH_POINT   users,trips,events per trip: bench generated tables of this
+                  size instead, for instance 50000,100000,10
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripweave.operators import changes, documents, graph, quality, relational
+from tripweave.operators import changes, documents, graph, quality, relational, synth
 from tripweave.plans.registry import REACHABLE_FROM
 from tripweave.session import build_session, fresh_folder
 from tripweave.sources.star_view import star_schema_view
@@ -32,9 +34,13 @@ from tripweave.sources.tables import load_tables, save_tables, write_table
 Tables = dict[str, DataFrame]
 
 
-def load(spark: SparkSession, sf_dir: str) -> Tables:
+def load(spark: SparkSession, sf_dir: str, point: str) -> Tables:
     folder = fresh_folder(spark, "bench")
-    view = star_schema_view(spark, sf_dir)
+    if point:
+        view = synth.tables(spark, *[int(n) for n in point.split(",")])
+        view["events"] = view["events"].withColumn("event_id", view["events"].event_id.cast("string"))
+    else:
+        view = star_schema_view(spark, sf_dir)
     save_tables({name: view[name] for name in ("users", "stations", "trips", "events")}, folder)
     tables = load_tables(spark, folder)
     write_table(documents.embed_events(tables["trips"], tables["events"]), f"{folder}/trip_documents")
@@ -90,7 +96,8 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     start = time.perf_counter()
-    tables = load(spark, sf_dir)
+    point = os.environ.get("BENCH_POINT", "")
+    tables = load(spark, sf_dir, point)
     loaded = time.perf_counter() - start
 
     times = {name: [run(query, tables) for _ in range(runs)] for name, query in QUERIES.items()}
@@ -103,7 +110,7 @@ def main() -> None:
                 "value": round(sum(medians.values()), 4),
                 "unit": "sec",
                 "queries": medians,
-                "sf": float(scale.group(1)) if scale else sf_dir,
+                "sf": point or (float(scale.group(1)) if scale else sf_dir),
                 "first_run": {name: round(t[0], 4) for name, t in times.items()},
                 "load_sec": round(loaded, 4),
                 "trips": tables["trips"].count(),

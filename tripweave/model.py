@@ -110,6 +110,18 @@ LENGTHS = {
 BATTERY_RANGE = f"battery_level IS NULL OR battery_level BETWEEN {BATTERY_MIN} AND {BATTERY_MAX}"
 BATTERY_ONLY = "(event_type = 'BATTERY') = (battery_level IS NOT NULL)"
 
+# ---- Rider statistics staged as JSON lines, with text keys ---------------------
+STAGED_USERS = T.StructType(
+    [
+        T.StructField("user_id", T.StringType()),
+        T.StructField("name", T.StringType()),
+        T.StructField("surname", T.StringType()),
+    ]
+)
+STAGED_DURATIONS = T.StructType(
+    [T.StructField("user_id", T.StringType()), T.StructField("duration_min", T.DoubleType())]
+)
+
 # ---- Document shape: events are embedded in their trip ---------------------
 EMBEDDED_EVENT = T.StructType([f for f in EVENTS.fields if f.name != "trip_id"])
 

@@ -47,30 +47,32 @@ def trip_details(trips: DataFrame, users: DataFrame, stations: DataFrame) -> Dat
     )
 
 
-def active_user_stats(trips: DataFrame) -> DataFrame:
-    """(user_id, num_trips, avg_duration_minutes) of the riders that have trips."""
-    duration = minutes_between("start_time", "end_time")
+def trip_durations(trips: DataFrame) -> DataFrame:
+    """(user_id, duration_min): all that rider statistics need of a trip."""
+    return trips.select("user_id", minutes_between("start_time", "end_time").alias("duration_min"))
+
+
+def duration_stats(durations: DataFrame) -> DataFrame:
+    """(user_id, num_trips, avg_duration_minutes) of the riders in ``durations``."""
     return (
-        trips.where(F.col("user_id").isNotNull())
+        durations.where(F.col("user_id").isNotNull())
         .groupBy("user_id")
-        .agg(F.count("*").alias("num_trips"), round_half_up(F.avg(duration)).alias("avg_duration_minutes"))
+        .agg(F.count("*").alias("num_trips"), round_half_up(F.avg("duration_min")).alias("avg_duration_minutes"))
     )
 
 
-def user_stats(trips: DataFrame, users: DataFrame, empty: str = "null") -> DataFrame:
-    """Trip count and mean duration per rider.
+def active_user_stats(trips: DataFrame) -> DataFrame:
+    """The same of the riders that have trips."""
+    return duration_stats(trip_durations(trips))
 
-    ``empty`` says what a rider without trips gets as the mean: ``"null"``,
-    ``"zero"``, or ``"drop"`` to leave the rider out.  Trips are aggregated
-    before they meet the riders.
-    """
+
+def with_all_users(stats: DataFrame, users: DataFrame, empty: str) -> DataFrame:
+    """Rider statistics with names; ``empty`` as in :func:`user_stats`."""
     if empty not in ("null", "zero", "drop"):
         raise ValueError(f"empty must be null, zero or drop, not {empty!r}")
-    stats = users.select("user_id", "name", "surname").join(
-        active_user_stats(trips), "user_id", "inner" if empty == "drop" else "left"
-    )
     mean = F.col("avg_duration_minutes")
-    return stats.select(
+    joined = users.select("user_id", "name", "surname").join(stats, "user_id", "inner" if empty == "drop" else "left")
+    return joined.select(
         "user_id",
         "name",
         "surname",
@@ -79,6 +81,16 @@ def user_stats(trips: DataFrame, users: DataFrame, empty: str = "null") -> DataF
     )
 
 
+def user_stats(trips: DataFrame, users: DataFrame, empty: str = "null") -> DataFrame:
+    """Trip count and mean duration per rider.
+
+    ``empty`` says what a rider without trips gets as the mean: ``"null"``,
+    ``"zero"``, or ``"drop"`` to leave the rider out.  Trips are aggregated
+    before they meet the riders.
+    """
+    return with_all_users(active_user_stats(trips), users, empty)
+
+
 def station_role_counts(trips: DataFrame) -> DataFrame:
     """(station_id, trips_starting, trips_ending) of the stations with a trip.
 

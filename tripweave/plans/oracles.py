@@ -359,6 +359,9 @@ def oracle_sql() -> dict[str, str]:
         "q2_user_stats": _with(_user_stats(_AVERAGE)),
         "q2_user_stats_zero": _with(_user_stats(f"coalesce({_AVERAGE}, 0)")),
         "q2_user_stats_nested": _with(_user_stats(f"coalesce({_AVERAGE}, 0)")),
+        "q2_user_stats_staged": _with(f"""
+            SELECT CAST(user_id AS VARCHAR) AS user_id, name, surname, num_trips, avg_duration_minutes
+            FROM ({_user_stats(f"coalesce({_AVERAGE}, 0)")})"""),
         "q2_active_user_stats": _with(f"""
             SELECT user_id, count(*) AS num_trips, {_AVERAGE} AS avg_duration_minutes FROM trips t GROUP BY user_id"""),
         "q3_station_counts": _with("""

@@ -93,6 +93,21 @@ def _(t: Tables) -> DataFrame:
     return relational.active_user_stats(t["trips"])
 
 
+@_query("q2_user_stats_staged")
+def _(t: Tables) -> DataFrame:
+    """By way of JSON lines: riders and durations are written, read back with
+    their schema, and aggregated by text keys."""
+    spark = t["trips"].sparkSession
+    folder = fresh_folder(spark, "staged")
+    key = F.col("user_id").cast("string")
+    staged_users = t["users"].select("user_id", "name", "surname").withColumn("user_id", key)
+    write_table(staged_users, f"{folder}/users", "json")
+    write_table(relational.trip_durations(t["trips"]).withColumn("user_id", key), f"{folder}/trips", "json")
+    durations = read_table(spark, f"{folder}/trips", model.STAGED_DURATIONS, "json")
+    users = read_table(spark, f"{folder}/users", model.STAGED_USERS, "json")
+    return relational.with_all_users(relational.duration_stats(durations), users, empty="zero")
+
+
 @_query("q3_station_counts")
 def _(t: Tables) -> DataFrame:
     return relational.station_counts(t["trips"], t["stations"])
