@@ -75,13 +75,14 @@ class _Settings(dict):
 
 
 class _Session:
-    def __init__(self, master, **settings):
+    def __init__(self, master, checkpoints=None, **settings):
         self.conf = _Settings(settings)
-        self.sparkContext = type("Context", (), {"master": master})()
+        self.sparkContext = type("Context", (), {"master": master, "getCheckpointDir": lambda _: checkpoints})()
 
 
 def test_the_shared_folder_is_the_one_the_cluster_names():
     assert session.shared_folder(_Session("yarn", **{"spark.checkpoint.dir": "hdfs:///c/"})) == "hdfs:///c"
+    assert session.shared_folder(_Session("yarn", "hdfs:///d")) == "hdfs:///d"
     with pytest.raises(ValueError):
         session.shared_folder(_Session("yarn"))
     local = _Session("local[2]")

@@ -92,6 +92,17 @@ def test_split_does_not_shuffle_the_rows(stored, no_broadcast):
     assert rejected.count() > 0
 
 
+def test_embedding_shuffles_events_once(stored, no_broadcast):
+    docs = documents.embed_events(stored["trips"], stored["events"])
+    assert exchanges(docs) == 2  # events and trips
+
+
+def test_parts_are_shuffled_by_key_and_part(stored, no_broadcast):
+    docs = documents.embed_events(stored["trips"], stored["events"], part_rows=5)
+    # Events by key and part, trips by key and part; large keys come by broadcast.
+    assert exchanges(docs) == 2
+
+
 def test_whole_documents_need_no_shuffle(stored, spark, tmp_path):
     docs = documents.embed_events(stored["trips"], stored["events"])
     # Not stored: nothing is in parts, so the branch for parts is planned away.

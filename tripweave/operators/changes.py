@@ -74,7 +74,11 @@ def add_column(df: DataFrame, name: str, kind: T.DataType) -> DataFrame:
 
 
 def _level(value: Column, strict: bool) -> Column:
-    return value.cast("int") if strict else value.try_cast("int")
+    number = value.try_cast("int")
+    if not strict:
+        return number
+    complaint = F.raise_error(F.concat(F.lit("not a battery level: "), value)).cast("int")
+    return F.when(value.isNull() | number.isNotNull(), number).otherwise(complaint)
 
 
 def backfill_battery(events: DataFrame, overwrite: bool = False, strict: bool = True) -> DataFrame:
@@ -113,7 +117,7 @@ def modified_count(docs: DataFrame) -> DataFrame:
 
     def changes(e: Column) -> Column:
         old = e["battery_level"] if has_level else F.lit(None).cast("int")
-        return (e["event_type"] == "BATTERY") & ~e["value"].cast("int").eqNullSafe(old)
+        return (e["event_type"] == "BATTERY") & ~e["value"].try_cast("int").eqNullSafe(old)
 
     keep = [c for c in ("trip_id", "part", "parts") if c in docs.columns]
     changed = docs.where(F.exists("events", changes)).select(keep)

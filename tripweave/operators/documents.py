@@ -9,7 +9,7 @@ everything that reads documents puts the parts together again.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from tripweave.functions.expressions import minutes_between, null_as, round_half_up
@@ -44,28 +44,31 @@ def lookup(
         counts.select(F.col(right_key).alias("_key"), F.ceil(F.col("_n") / part_rows).cast("int").alias("_parts"))
     )
 
-    if n_large:
-        matches = matches.join(large, F.col(right_key) == F.col("_key"), "left")
-        part = F.when(
-            F.col("_parts").isNotNull(), F.pmod(F.xxhash64(order_by), F.col("_parts")).cast("int")
-        ).otherwise(0)
+    item = F.struct(order_by, *[c for c in fields or right.columns if c != order_by]).alias("_item")
+    if not n_large:
+        # The usual case: one shuffle of the matches, which the join uses as well.
+        arrays = matches.select(F.col(right_key).alias("_key"), item).repartition("_key").groupBy("_key")
+        joined = left.join(_sorted_items(arrays, into), F.col(left_key) == F.col("_key"), "left")
+        joined = joined.withColumn("part", F.lit(0)).withColumn("parts", F.lit(1))
+    else:
+        part = F.pmod(F.xxhash64(order_by), F.col("_parts")).cast("int")
+        arrays = (
+            matches.join(large, F.col(right_key) == F.col("_key"), "left")
+            .select(F.col(right_key).alias("_key"), null_as(part, 0).alias("_part"), item)
+            .repartition("_key", "_part")
+            .groupBy("_key", "_part")
+        )
         base = left.join(large, F.col(left_key) == F.col("_key"), "left").withColumn("parts", null_as("_parts", 1))
         base = base.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("_key", "_parts")
-    else:
-        part = F.lit(0)
-        base = left.withColumn("parts", F.lit(1)).withColumn("part", F.lit(0))
-
-    item = F.struct(order_by, *[c for c in fields or right.columns if c != order_by])
-    arrays = (
-        matches.select(F.col(right_key).alias("_key"), part.alias("_part"), item.alias("_item"))
-        .repartition("_key", "_part")
-        .groupBy("_key", "_part")
-        .agg(F.sort_array(F.collect_list("_item")).alias(into))
-    )
-    joined = base.join(arrays, (F.col(left_key) == F.col("_key")) & (F.col("part") == F.col("_part")), "left")
+        same = (F.col(left_key) == F.col("_key")) & (F.col("part") == F.col("_part"))
+        joined = base.join(_sorted_items(arrays, into), same, "left")
     return joined.select(*left.columns, "part", "parts", F.coalesce(F.col(into), F.array()).alias(into))
 
 
+def _sorted_items(grouped: GroupedData, into: str) -> DataFrame:
+    return grouped.agg(F.sort_array(F.collect_list("_item")).alias(into))
+
+
 def embed_events(trips: DataFrame, events: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
     """Trip documents: every trip with its events, ordered by event key."""
     fields = [c for c in events.columns if c != "trip_id"]

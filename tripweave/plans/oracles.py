@@ -10,7 +10,6 @@ from __future__ import annotations
 from tripweave.model import ERROR_VALUES, EVENT_TYPES
 from tripweave.operators import synth
 from tripweave.plans.registry import (
-    DELETED_CITY,
     DELETED_COUNTRY,
     EVENTS_PER_TRIP,
     LATEST_TRIPS,
@@ -472,10 +471,10 @@ def oracle_sql() -> dict[str, str]:
             WHERE NOT EXISTS (SELECT 1 FROM trips_raw t JOIN doomed d ON d.user_id = t.user_id
                               WHERE t.trip_id = e.trip_id)""",
             extra={"doomed": f"SELECT user_id FROM users WHERE country = '{DELETED_COUNTRY}'"}),
-        "delete_stations_blocked": _with(f"""
-            SELECT station_id FROM stations s WHERE city = '{DELETED_CITY}'
-              AND (EXISTS (SELECT 1 FROM cheap t WHERE t.start_station = s.station_id)
-                   OR EXISTS (SELECT 1 FROM cheap t WHERE t.end_station = s.station_id))"""),
+        "delete_stations_blocked": _with("""
+            SELECT station_id FROM stations s
+            WHERE EXISTS (SELECT 1 FROM trips t WHERE t.start_station = s.station_id)
+               OR EXISTS (SELECT 1 FROM trips t WHERE t.end_station = s.station_id)"""),
         "graph_upsert_stations": _with("""
             SELECT station_id, name || ' (closed)' AS name, city, NULL::BIGINT AS capacity FROM stations
             UNION ALL

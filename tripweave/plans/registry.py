@@ -25,7 +25,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 REACHABLE_FROM = 7
 LOW_COST = 5000
 DELETED_COUNTRY = "NATION_7"
-DELETED_CITY = "NATION_3"
 LATEST_TRIPS = 500
 SEED = 42
 EVENTS_PER_TRIP = 2
@@ -414,7 +413,7 @@ def _(t: Tables) -> DataFrame:
 
 @_query("delete_stations_blocked")
 def _(t: Tables) -> DataFrame:
-    return changes.delete_blocked(t["stations"].where(F.col("city") == DELETED_CITY), _low_cost(t))
+    return changes.delete_blocked(t["stations"], t["trips"])
 
 
 @_query("graph_upsert_stations")

@@ -39,13 +39,14 @@ def build_session(app: str, master: str | None = None, **settings: str) -> Spark
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster shares, as named in ``spark.checkpoint.dir``.
+    """The folder the cluster shares, as named in ``spark.checkpoint.dir``, or else
+    the checkpoint folder that was given to the context.
 
     Only a local session may go without the setting; it then gets a folder of
     its own.  On a cluster a machine-local folder would lose data together with
     the machine, so there a missing setting is an error.
     """
-    folder = spark.conf.get(CHECKPOINT_DIR, None)
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
