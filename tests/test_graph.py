@@ -61,6 +61,15 @@ def test_rank_of_multiple_edges_loops_and_lost_shares(spark):
     assert found[1] == pytest.approx(0.15 / 4)  # the unknown source gives nothing
 
 
+def test_rank_counts_trips_that_end_nowhere(spark):
+    """A trip without an end takes its share with it; one without a start gives none."""
+    pairs = [(1, 2), (1, None), (2, 1), (None, 2)]
+    ranked = graph.pagerank(edges_of(spark, pairs), h.stations(spark, 1, 2))
+    found = {r.station_id: r["rank"] for r in ranked.collect()}
+    assert found == pytest.approx(plain_pagerank(pairs, [1, 2]))
+    assert labels_of(graph.connected_components(edges_of(spark, pairs), h.stations(spark, 1, 2))) == {1: 1, 2: 1}
+
+
 def test_rank_on_random_graphs(spark):
     chance = random.Random(5)
     for n_nodes, n_edges in ((12, 30), (40, 60)):

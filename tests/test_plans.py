@@ -111,6 +111,10 @@ def test_whole_documents_need_no_shuffle(stored, spark, tmp_path):
     kept = spark.read.parquet(str(tmp_path / "docs"))
     plan = h.plan_of(documents.trips_with_embedded_event(kept))
     assert "GreaterThan(parts,1)" in plan and plan.count("Exchange hashpartitioning") == 1
+    scan = h.plan_of(kept.where(documents.has_event("ERROR")).select("trip_id"))
+    assert "events:array<struct<event_type:string>>" in scan  # one field of the elements
+    scan = h.plan_of(changes.modified_count(kept.select("trip_id", "events")))
+    assert "events:array<struct<event_type:string,value:string>>" in scan
 
 
 def test_rank_rounds_do_not_move_the_links(spark, stored, no_broadcast, monkeypatch):

@@ -17,7 +17,8 @@ def upsert(
     properties of the others.  A null property of the batch removes the value.
 
     A key that the batch repeats takes its last row by ``sequence``; the repeats
-    are reduced per task before they are shuffled.  Columns of ``base`` that are
+    are reduced per task before they are shuffled.  Without ``sequence`` the batch
+    must not repeat a key, since rows of a DataFrame have no order.  Columns of ``base`` that are
     not listed keep their value, and are null in inserted rows.
     """
     if properties is None:
@@ -112,15 +113,17 @@ def backfill_battery_nested(docs: DataFrame, strict: bool = True) -> DataFrame:
 
 def modified_count(docs: DataFrame) -> DataFrame:
     """(n_trips): how many trips :func:`backfill_battery_nested` would change."""
-    item = docs.schema["events"].dataType.elementType
-    has_level = "battery_level" in item.names
+    has_level = "battery_level" in docs.schema["events"].dataType.elementType.names
+    # Only the fields that matter, so that a scan reads no others.
+    needed = ["event_type", "value"] + (["battery_level"] if has_level else [])
+    events = F.arrays_zip(*[F.col(f"events.{name}") for name in needed])
 
     def changes(e: Column) -> Column:
         old = e["battery_level"] if has_level else F.lit(None).cast("int")
         return (e["event_type"] == "BATTERY") & ~e["value"].try_cast("int").eqNullSafe(old)
 
     keep = [c for c in ("trip_id", "part", "parts") if c in docs.columns]
-    changed = docs.where(F.exists("events", changes)).select(keep)
+    changed = docs.where(F.exists(events, changes)).select(keep)
     return once_per_trip(changed).agg(F.count("*").alias("n_trips"))
 
 

@@ -7,7 +7,6 @@ the rows is one row by the time it is shuffled.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -197,10 +196,6 @@ def split(
 # ---- Documents --------------------------------------------------------------
 
 
-def _lacks(field: str) -> Callable[[Column], Column]:
-    return lambda e: e[field].isNull()
-
-
 def document_rules(docs: DataFrame) -> dict[str, Column]:
     """The rules of trip documents: required fields, and per event its required
     fields, its type and its battery level.  A rule about events is broken once
@@ -213,13 +208,13 @@ def document_rules(docs: DataFrame) -> dict[str, Column]:
     }
     item_type = docs.schema["events"].dataType.elementType
     for name in ("timestamp", "event_type", "value"):
-        rules[f"trips.events.{name}.required"] = F.exists("events", _lacks(name))
+        rules[f"trips.events.{name}.required"] = F.exists(f"events.{name}", lambda v: v.isNull())
     rules["trips.events.event_type.enum"] = F.exists(
-        "events", lambda e: _broken(e["event_type"].isin(model.EVENT_TYPES))
+        "events.event_type", lambda v: _broken(v.isin(model.EVENT_TYPES))
     )
     if "battery_level" in item_type.names:
         rules["trips.events.battery_level.range"] = F.exists(
-            "events", lambda e: _broken(e["battery_level"].between(model.BATTERY_MIN, model.BATTERY_MAX))
+            "events.battery_level", lambda v: _broken(v.between(model.BATTERY_MIN, model.BATTERY_MAX))
         )
     return {name: F.coalesce(broken, F.lit(False)) for name, broken in rules.items()}
 
