@@ -18,7 +18,7 @@ ROUNDS = 20
 # ----------------------------------------------------------------------------
 
 # Rounds of a rank that go into one plan before its lineage is cut.
-_ROUNDS_PER_PLAN = 5
+_ROUNDS_PER_PLAN = 10
 
 # Links per partition of the rank, and links of one source that may lie together.
 _LINKS_PER_PARTITION = 500_000
