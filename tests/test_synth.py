@@ -95,3 +95,17 @@ def test_event_times(spark, made):
 def test_no_events_per_trip_gives_an_empty_table(made):
     none = synth.events(made["trips"], 0)
     assert none.columns == model.EVENTS.names and none.count() == 0
+
+
+def test_generated_folders(spark, tmp_path):
+    from tools.generate import generate, options
+
+    from tripweave.operators import documents
+
+    generate(spark, options(["--users", "100", "--trips", "300", "--events", "2", "--out", str(tmp_path)]))
+    counts = {n: spark.read.parquet(str(tmp_path / "tables" / n)).count() for n in model.SCHEMAS}
+    assert counts == {"users": 100, "stations": 20, "trips": 300, "events": 600}
+    docs = spark.read.parquet(str(tmp_path / "documents" / "trips"))
+    assert docs.count() == 300 and documents.unwind_events(docs).count() == 600
+    late = documents.unwind_events(docs).join(docs.select("trip_id", "start_time"), "trip_id")
+    assert late.where("timestamp < start_time").count() == 0
