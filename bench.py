@@ -38,7 +38,6 @@ def load(spark: SparkSession, sf_dir: str, point: str) -> Tables:
     folder = fresh_folder(spark, "bench")
     if point:
         view = synth.tables(spark, *[int(n) for n in point.split(",")])
-        view["events"] = view["events"].withColumn("event_id", view["events"].event_id.cast("string"))
     else:
         view = star_schema_view(spark, sf_dir)
     save_tables({name: view[name] for name in ("users", "stations", "trips", "events")}, folder)

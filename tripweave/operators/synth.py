@@ -160,6 +160,7 @@ def events(
         time = F.col("start_time") + _seconds(draw_below(_DAY_SECONDS, seed, "event:offset", key))
     made = base.select("event_id", "trip_id", time.alias("timestamp"), kind.alias("event_type"))
     made = made.withColumn("value", event_value(F.col("event_type"), seed, key))
+    made = made.withColumn("event_id", key.cast("string"))
     if with_battery_level:
         level = F.when(F.col("event_type") == "BATTERY", F.col("value").cast("int"))
         made = made.withColumn("battery_level", level)

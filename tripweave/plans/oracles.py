@@ -512,15 +512,15 @@ def oracle_sql() -> dict[str, str]:
         "gen_trips": _with(_MADE_TRIPS),
         "gen_events": _with(
             f"""
-            SELECT event_id, trip_id, {_in_year("event:time", "event_id")} AS "timestamp", event_type, {_MADE_VALUE}
+            SELECT CAST(event_id AS VARCHAR) AS event_id, trip_id, {_in_year("event:time", "event_id")} AS "timestamp", event_type, {_MADE_VALUE}
             FROM made_events""",
             extra=_MADE_EVENTS,
         ),
         "gen_events_in_trip": _with(
             f"""
             SELECT *, {_LEVEL} AS battery_level FROM (
-                SELECT event_id, trip_id, start_time + to_seconds({_below(86400, "event:offset", "event_id")})
-                       AS "timestamp", event_type, {_MADE_VALUE}
+                SELECT CAST(event_id AS VARCHAR) AS event_id, trip_id,
+                       start_time + to_seconds({_below(86400, "event:offset", "event_id")}) AS "timestamp", event_type, {_MADE_VALUE}
                 FROM made_events)""",
             extra=_MADE_EVENTS,
         ),
