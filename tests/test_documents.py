@@ -58,6 +58,15 @@ def test_a_large_group_is_cut_into_parts_and_stays_whole(spark):
     assert flagged == {}
 
 
+def test_parts_are_numbered_without_gaps(spark, monkeypatch):
+    monkeypatch.setattr(documents, "_PARTS_PER_BLOCK", 4)
+    df = spark.createDataFrame([(n, n) for n in (1, 3, 4, 5, 8, 9, 23)], "k int, parts int")
+    found: dict = {}
+    for row in documents._numbered_parts(df).collect():
+        found.setdefault(row.k, []).append(row.part)
+    assert {k: sorted(v) for k, v in found.items()} == {k: list(range(k)) for k in (1, 3, 4, 5, 8, 9, 23)}
+
+
 def test_statistics_over_parts_are_exact(spark):
     riders = h.users(spark, 1, 2)
     journeys = h.trips(spark, *[h.trip(i, 1, 10, 20, minutes=i) for i in range(1, 101)])

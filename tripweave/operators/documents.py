@@ -16,6 +16,7 @@ from tripweave.functions.expressions import minutes_between, null_as, round_half
 from tripweave.session import small_side
 
 PART_ROWS = 10_000
+_PARTS_PER_BLOCK = 10_000
 
 
 def lookup(
@@ -59,12 +60,22 @@ def lookup(
             .groupBy("_key", "_part")
         )
         base = left.join(large, F.col(left_key) == F.col("_key"), "left").withColumn("parts", null_as("_parts", 1))
-        base = base.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("_key", "_parts")
+        base = _numbered_parts(base).drop("_key", "_parts")
         same = (F.col(left_key) == F.col("_key")) & (F.col("part") == F.col("_part"))
         joined = base.join(_sorted_items(arrays, into), same, "left")
     return joined.select(*left.columns, "part", "parts", F.coalesce(F.col(into), F.array()).alias(into))
 
 
+def _numbered_parts(df: DataFrame) -> DataFrame:
+    """One row per ``part`` from 0 to ``parts`` - 1.  Counted out in two steps, so
+    that the numbers of a very large key are never one array."""
+    block = F.floor((F.col("parts") - 1) / _PARTS_PER_BLOCK).cast("int")
+    blocks = df.withColumn("_block", F.explode(F.sequence(F.lit(0), block)))
+    first = F.col("_block") * _PARTS_PER_BLOCK
+    last = F.least(first + _PARTS_PER_BLOCK, F.col("parts")) - 1
+    return blocks.withColumn("part", F.explode(F.sequence(first, last))).drop("_block")
+
+
 def _sorted_items(grouped: GroupedData, into: str) -> DataFrame:
     return grouped.agg(F.sort_array(F.collect_list("_item")).alias(into))
 
