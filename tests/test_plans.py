@@ -167,7 +167,8 @@ def hot(spark, tmp_path):
     rows = []
     for i in range(4000):
         heavy = i % 3 == 0
-        rows.append(h.trip(i, 1 if heavy else chance.randrange(200), 1 if heavy else chance.randrange(50), chance.randrange(50)))
+        rider, start = (1, 1) if heavy else (chance.randrange(200), chance.randrange(50))
+        rows.append(h.trip(i, rider, start, chance.randrange(50)))
     tables.write_table(h.trips(spark, *rows).repartition(8), str(tmp_path / "trips"))
     return (
         tables.read_table(spark, str(tmp_path / "trips"), model.TRIPS),

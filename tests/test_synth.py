@@ -40,7 +40,12 @@ def test_ranges(made):
     assert 5 <= low <= high <= 50
     minutes = minutes_between("start_time", "end_time")
     row = made["trips"].agg(
-        F.min(minutes), F.max(minutes), F.min("total_cost"), F.max("total_cost"), F.min("start_time"), F.max("start_time")
+        F.min(minutes),
+        F.max(minutes),
+        F.min("total_cost"),
+        F.max("total_cost"),
+        F.min("start_time"),
+        F.max("start_time"),
     ).first()
     assert (row[0], row[1]) == (5, 180) and row[2] >= 0.5 and row[3] <= 25
     assert row[4].isoformat() >= "2023-01-01" and row[5].isoformat() < "2024-01-02"
@@ -48,7 +53,8 @@ def test_ranges(made):
 
 
 def test_event_values_have_the_form_of_their_type(made):
-    typed = made["events"].select("event_type", typed_event_value("event_type", "value").alias("t")).select("event_type", "t.*")
+    value = typed_event_value("event_type", "value").alias("t")
+    typed = made["events"].select("event_type", value).select("event_type", "t.*")
     by_type = {r.event_type: r.asDict() for r in typed.groupBy("event_type").agg(
         F.count("*").alias("n"), F.min("lat").alias("lat0"), F.max("lat").alias("lat1"), F.min("lon").alias("lon0"),
         F.max("lon").alias("lon1"), F.count_distinct("error_code").alias("codes"), F.min("battery").alias("bat0"),

@@ -151,7 +151,8 @@ def events(
     numbers = F.sequence(F.lit(1), F.lit(max(per_trip, 1)))
     base = trips if per_trip > 0 else trips.where(F.lit(False))
     base = base.select("trip_id", "start_time", F.explode(numbers).alias("i"))
-    base = base.select("trip_id", "start_time", ((F.col("trip_id") - 1) * max(per_trip, 1) + F.col("i")).alias("event_id"))
+    number = (F.col("trip_id") - 1) * max(per_trip, 1) + F.col("i")
+    base = base.select("trip_id", "start_time", number.alias("event_id"))
     key = F.col("event_id")
     kind = draw_from(EVENT_TYPES, seed, "event:type", key)
     if event_time == "year":

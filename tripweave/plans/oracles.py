@@ -122,7 +122,8 @@ def _pagerank() -> dict[str, str]:
                 FROM trips t JOIN degree d ON d.src = t.start_station JOIN r{i - 1} p ON p.station_id = t.start_station
                 GROUP BY t.end_station) c ON c.station_id = s.station_id"""
     steps["ranked"] = """
-        SELECT s.station_id, s.name, round(r.rank, 8) AS rank FROM stations s JOIN r20 r ON r.station_id = s.station_id"""
+        SELECT s.station_id, s.name, round(r.rank, 8) AS rank
+        FROM stations s JOIN r20 r ON r.station_id = s.station_id"""
     return steps
 
 
@@ -184,9 +185,8 @@ _UNIQUE = [
 
 
 def _orphans(rule: str, child: str, column: str, parent: str, key: str) -> str:
-    return _count(
-        rule, f"{child} c", f"c.{column} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{key} = c.{column})"
-    )
+    missing = f"NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{key} = c.{column})"
+    return _count(rule, f"{child} c", f"c.{column} IS NOT NULL AND {missing}")
 
 
 _FOREIGN = [
@@ -512,7 +512,8 @@ def oracle_sql() -> dict[str, str]:
         "gen_trips": _with(_MADE_TRIPS),
         "gen_events": _with(
             f"""
-            SELECT CAST(event_id AS VARCHAR) AS event_id, trip_id, {_in_year("event:time", "event_id")} AS "timestamp", event_type, {_MADE_VALUE}
+            SELECT CAST(event_id AS VARCHAR) AS event_id, trip_id,
+                   {_in_year("event:time", "event_id")} AS "timestamp", event_type, {_MADE_VALUE}
             FROM made_events""",
             extra=_MADE_EVENTS,
         ),
@@ -520,7 +521,8 @@ def oracle_sql() -> dict[str, str]:
             f"""
             SELECT *, {_LEVEL} AS battery_level FROM (
                 SELECT CAST(event_id AS VARCHAR) AS event_id, trip_id,
-                       start_time + to_seconds({_below(86400, "event:offset", "event_id")}) AS "timestamp", event_type, {_MADE_VALUE}
+                       start_time + to_seconds({_below(86400, "event:offset", "event_id")}) AS "timestamp",
+                       event_type, {_MADE_VALUE}
                 FROM made_events)""",
             extra=_MADE_EVENTS,
         ),
