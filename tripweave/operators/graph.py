@@ -18,7 +18,7 @@ ROUNDS = 20
 # ----------------------------------------------------------------------------
 
 # Rounds of a rank that go into one plan before its lineage is cut.
-_ROUNDS_PER_PLAN = 10
+_ROUNDS_PER_PLAN = 5
 
 # Links per partition of the rank, and links of one source that may lie together.
 _LINKS_PER_PARTITION = 500_000
@@ -179,8 +179,7 @@ def pagerank(
     # fixed, so that the links stay aligned with the ranks of each round.  A lost
     # block of the cache is rebuilt from the checkpoint.
     partitions = math.ceil((edges.count() + n) / _LINKS_PER_PARTITION)
-    links = links.repartition(partitions, *key).sortWithinPartitions(*key)
-    links = links.persist(StorageLevel.MEMORY_AND_DISK)
+    links = links.repartition(partitions, *key).persist(StorageLevel.MEMORY_AND_DISK)
     links.count()  # fills the cache; a plan knows its partitioning only from then on
 
     ranks = nodes.select(F.col("id").alias("src"), F.lit(1.0 / n).alias("rank"))
@@ -190,7 +189,8 @@ def pagerank(
                 pieces = F.sequence(F.lit(0), F.coalesce("pieces", F.lit(1)) - 1)
                 ranks = ranks.join(heavy, "src", "left").select("src", F.explode(pieces).alias("piece"), "rank")
             share = F.sum(F.col("rank") * F.col("weight"))
-            shares = links.join(ranks, key).groupBy(F.col("dst").alias("src"))
+            # Links and ranks lie together: hash the few ranks of a partition.
+            shares = links.join(ranks.hint("shuffle_hash"), key).groupBy(F.col("dst").alias("src"))
             ranks = shares.agg((F.lit(base) + F.lit(damping) * share).alias("rank"))
             if i % _ROUNDS_PER_PLAN == 0 or i == rounds:
                 ranks = cut_lineage(ranks)
