@@ -4,15 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tripweave.llm import decontamination, secrets
+from tripweave.llm import bpe, decontamination, secrets
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+RANKS = "byte_bpe_50k.tiktoken"
+
+
+def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(RANKS)
+    return bpe.encode_texts(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, with_ids=False)
+
+
 def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -23,6 +32,7 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_byte_bpe": _op2,
         "op6_benchmark_decontamination": _op6,
         "op10_secret_scans": _op10,
     }
