@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tripweave.llm import bpe, decontamination, secrets
+from tripweave.llm import bpe, decontamination, secrets, sharding, token_files
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +15,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 RANKS = "byte_bpe_50k.tiktoken"
+TOKENIZER = "byte_bpe_50k.json"
+SHARDS = 24
 
 
 def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,10 +24,19 @@ def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_texts(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, with_ids=False)
 
 
+def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(TOKENIZER)
+    return token_files.read_tokens(spark, token_files.write_tokens(table(spark, sf_dir, "documents"), path))
+
+
 def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf_dir, "documents"), SHARDS)
+
+
 def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets(table(spark, sf_dir, "documents"))
 
@@ -33,7 +44,9 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_byte_bpe": _op2,
+        "op3_token_files": _op3,
         "op6_benchmark_decontamination": _op6,
+        "op9_sharding": _op9,
         "op10_secret_scans": _op10,
     }
 
