@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Bytes of text that a task works on at once.  A longer single text is a slice of its own.
@@ -47,3 +48,10 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = SL
 def ragged(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
     """A list column of slices of ``values``."""
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))
+
+
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One table of a folder; Python workers of the session will look for this package where the driver has it."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -7,11 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tripweave.llm import bpe, decontamination, secrets, sharding, token_files
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+from tripweave.llm import bpe, decontamination, secrets, sharding, token_files, toxicity
+from tripweave.llm.columns import read
 
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -21,30 +18,35 @@ SHARDS = 24
 
 def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(RANKS)
-    return bpe.encode_texts(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, with_ids=False)
+    return bpe.encode_texts(read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, with_ids=False)
 
 
 def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(TOKENIZER)
-    return token_files.read_tokens(spark, token_files.write_tokens(table(spark, sf_dir, "documents"), path))
+    return token_files.read_tokens(spark, token_files.write_tokens(read(spark, sf_dir, "documents"), path))
+
+
+def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
 def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontamination.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
 def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.shard_documents(table(spark, sf_dir, "documents"), SHARDS)
+    return sharding.shard_documents(read(spark, sf_dir, "documents"), SHARDS)
 
 
 def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.secrets(table(spark, sf_dir, "documents"))
+    return secrets.secrets(read(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_byte_bpe": _op2,
         "op3_token_files": _op3,
+        "op5_toxicity": _op5,
         "op6_benchmark_decontamination": _op6,
         "op9_sharding": _op9,
         "op10_secret_scans": _op10,
