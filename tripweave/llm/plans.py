@@ -7,10 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tripweave.llm import bpe, decontamination, secrets, sharding, token_files, toxicity
+from tripweave.llm import bpe, decontamination, quality, secrets, sharding, token_files, toxicity
 from tripweave.llm.columns import read
 
 
+def _op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 RANKS = "byte_bpe_50k.tiktoken"
 TOKENIZER = "byte_bpe_50k.json"
 SHARDS = 24
@@ -44,6 +48,7 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality_classifier": _op1,
         "op2_byte_bpe": _op2,
         "op3_token_files": _op3,
         "op5_toxicity": _op5,

@@ -203,7 +203,7 @@ def score(docs: DataFrame, model: Model, into: str = "score") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             values = known.value.scores(*text_buffers(batch.column("text")))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values)], schema=None, names=[*batch.schema.names, into])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values)], names=[*batch.schema.names, into])
 
     return docs.mapInArrow(run, schema)
 
