@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tripweave.llm import bpe, decontamination, quality, secrets, sharding, token_files, toxicity
+from tripweave.llm import bpe, decontamination, neighbours, quality, secrets, sharding, token_files, toxicity
 from tripweave.llm.columns import read
 
 
@@ -38,6 +39,10 @@ def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % neighbours.QUERY_EVERY == 0)
+
+
 def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read(spark, sf_dir, "documents"), SHARDS)
 
@@ -53,6 +58,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_token_files": _op3,
         "op5_toxicity": _op5,
         "op6_benchmark_decontamination": _op6,
+        "op8_nearest_neighbours": _op8,
         "op9_sharding": _op9,
         "op10_secret_scans": _op10,
     }
