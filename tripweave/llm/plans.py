@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripweave.llm import bpe, decontamination, neighbours, quality, secrets, sharding, token_files, toxicity
+from tripweave.llm import bpe, decontamination, near_duplicates, neighbours, quality, secrets, sharding, token_files, toxicity
 from tripweave.llm.columns import read
 
 
@@ -31,6 +31,10 @@ def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(spark, token_files.write_tokens(read(spark, sf_dir, "documents"), path))
 
 
+def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -56,6 +60,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_quality_classifier": _op1,
         "op2_byte_bpe": _op2,
         "op3_token_files": _op3,
+        "op4_ngram_jaccard_join": _op4,
         "op5_toxicity": _op5,
         "op6_benchmark_decontamination": _op6,
         "op8_nearest_neighbours": _op8,
