@@ -181,9 +181,11 @@ def secrets(docs: DataFrame) -> DataFrame:
     )
 
 
-def redact(docs: DataFrame, reach: int = REACH) -> DataFrame:
+def redact(docs: DataFrame, reach: int = REACH, length: str | None = None) -> DataFrame:
     """``docs`` with every reported span of ``text`` replaced by a mark; other documents pass unchanged.
 
+    A column named by ``length`` becomes the number of characters of the changed texts.
+
     Only documents in which some part was found are stored and joined to their spans.
     """
     names = docs.columns
@@ -205,4 +207,6 @@ def redact(docs: DataFrame, reach: int = REACH) -> DataFrame:
     tail = F.col("text").substr((F.col("last") + 1).cast("int"), F.length("text"))
     clean = F.array_join(F.concat(kept, F.array(tail)), _REDACTED)
     changed = held.join(pieces, "row", "left").withColumn("text", F.when(F.col("last").isNull(), F.col("text")).otherwise(clean))
+    if length:
+        changed = changed.withColumn(length, F.when(F.col("last").isNull(), F.col(length)).otherwise(F.length("text").cast("bigint")))
     return docs.where(~some).unionByName(changed.select(*names))
