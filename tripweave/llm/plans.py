@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripweave.llm import bpe, decontamination, near_duplicates, neighbours, quality, secrets, sharding, token_files, toxicity
+from tripweave.llm import bpe, decontamination, near_duplicates, neighbours, quality, repeats, secrets, sharding, token_files, toxicity
 from tripweave.llm.columns import read
 
 
@@ -43,6 +43,10 @@ def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(read(spark, sf_dir, "documents"), digest=True)
+
+
 def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % neighbours.QUERY_EVERY == 0)
 
@@ -63,6 +67,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_ngram_jaccard_join": _op4,
         "op5_toxicity": _op5,
         "op6_benchmark_decontamination": _op6,
+        "op7_repeated_passages": _op7,
         "op8_nearest_neighbours": _op8,
         "op9_sharding": _op9,
         "op10_secret_scans": _op10,
