@@ -64,8 +64,8 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "q2_user_stats_zero": lambda t: relational.user_stats(t["trips"], t["users"], empty="zero"),
     "q3_active_station_counts": lambda t: documents.active_station_counts(t["docs"], t["stations"]),
     "q4_error_trips_embedded": lambda t: documents.trips_with_embedded_event(t["docs"]),
-    "graph_reachable_stations": lambda t: graph.reachable_stations(t["trips"], t["stations"], REACHABLE_FROM),
-    "graph_top_stations": lambda t: graph.top_stations(t["trips"], t["stations"]),
+    "graph_reachable_stations": lambda t: graph.reachable_stations(t["trips"], t["users"], t["stations"], REACHABLE_FROM),
+    "graph_top_stations": lambda t: graph.top_stations(t["trips"], t["users"], t["stations"]),
     "graph_pagerank_top3": pagerank,
     "graph_component_sizes": components,
     "check_rows": lambda t: quality.check_rows({n: t[n] for n in ("users", "stations", "trips", "events")}),

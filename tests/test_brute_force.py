@@ -96,7 +96,7 @@ def test_graph(case):
 
     for user in (0, 3):
         visited = {s for j in journeys if j[1] == user for s in (j[2], j[3])} & places
-        rows = graph.reachable_stations(t["trips"], t["stations"], user).collect()
+        rows = graph.reachable_stations(t["trips"], t["users"], t["stations"], user).collect()
         assert sorted(r.station_id for r in rows) == sorted(visited)
 
 

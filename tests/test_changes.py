@@ -87,6 +87,20 @@ def test_upsert_leaves_properties_that_are_not_listed(spark):
     assert h.rows(changes.upsert(base, batch, "station_id")) == [(1, "one", "Roma", 10), (2, "two", None, None)]
 
 
+def test_upsert_with_null_sequences_keeps_the_row(spark):
+    base = h.stations(spark, 1)
+    shape = "station_id bigint, name string, capacity int, n int"
+    batch = spark.createDataFrame([(1, "a", 5, None), (2, "b", 6, None), (2, "c", 7, 0)], shape)
+    after = changes.upsert(base, batch, "station_id", ["name", "capacity"], sequence="n")
+    assert h.rows(after) == [(1, "a", "Roma", 5), (2, "c", None, 7)]
+
+
+def test_upsert_refuses_a_repeated_key_without_a_sequence(spark):
+    batch = spark.createDataFrame([(1, "a"), (1, "b")], "station_id bigint, name string")
+    with pytest.raises(PySparkException, match="repeats the key"):
+        changes.upsert(h.stations(spark, 1), batch, "station_id").collect()
+
+
 def test_upsert_same_batch_twice_is_the_same(spark):
     base, batch = h.stations(spark, 1, 2), h.stations(spark, 2, 3)
     once = changes.upsert(base, batch, "station_id")

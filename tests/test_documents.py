@@ -48,7 +48,10 @@ def test_a_large_group_is_cut_into_parts_and_stays_whole(spark):
     docs = documents.embed_events(journeys, happened, part_rows=50).cache()
     sizes = {(r.trip_id, r.part): len(r.events) for r in docs.collect()}
     assert sum(n for (t, _), n in sizes.items() if t == 1) == 1000
-    assert max(sizes.values()) < 150 and sizes[(2, 0)] == 1 and sizes[(3, 0)] == 0
+    assert max(sizes.values()) == 50 and sizes[(2, 0)] == 1 and sizes[(3, 0)] == 0
+    parts = sorted((r.part, [e.event_id for e in r.events]) for r in docs.where("trip_id = 1").collect())
+    together = [e for _, events in parts for e in events]
+    assert together == sorted(together)
     assert len([k for k in sizes if k[0] == 1]) == 20
     assert h.rows(documents.trips_with_embedded_event(docs).select("trip_id")) == [(1,)]
     assert documents.facet_station_roles(docs).agg(F.sum("n")).first()[0] == 6
@@ -116,20 +119,54 @@ def test_document_rules_fire(spark, journeys):
     }
 
 
-def test_type_rules_on_json_text(spark):
+def type_rules(spark, lines, name="trips", schema=None):
     from tripweave import model
 
+    raw = spark.createDataFrame([(line,) for line in lines], "text string")
+    return h.counts(quality.check_document_types(raw, "text", schema or model.TRIP_DOCUMENT_V2, name))
+
+
+def test_type_rules_on_json_text(spark):
     lines = [
         '{"trip_id": 1, "user_id": 1, "total_cost": 2.50, "start_time": "2023-01-01T00:00:00", "events": []}',
         '{"trip_id": "x", "user_id": 1, "total_cost": "free", "events": [{"event_id": "a", "battery_level": "full"}]}',
         '{"trip_id": 3, "start_time": "yesterday"}',
+        '{"trip_id": 4, "total_cost": null, "events": [{"battery_level": 50, "value": "12"}]}',
         "no json",
+        "[1]",
     ]
-    raw = spark.createDataFrame([(line,) for line in lines], "text string")
-    assert h.counts(quality.check_document_types(raw, "text", model.TRIP_DOCUMENT_V2, "trips")) == {
-        "trips.json": 1,
+    assert type_rules(spark, lines) == {
+        "trips.json": 2,
         "trips.trip_id.type": 1,
         "trips.total_cost.type": 1,
         "trips.start_time.type": 1,
         "trips.events.type": 1,
     }
+
+
+@pytest.mark.parametrize(
+    ("field", "rule"),
+    [
+        ('"events": 5', "events"),
+        ('"events": "x"', "events"),
+        ('"events": {"event_id": "a"}', "events"),
+        ('"events": [1, 2]', "events"),
+        ('"events": [{"battery_level": "50"}]', "events"),
+        ('"user_id": "7"', "user_id"),
+        ('"events": [{"value": 12}]', "events"),
+        ('"user_id": 1.5', "user_id"),
+        ('"start_time": 20230101', "start_time"),
+    ],
+)
+def test_each_wrong_shape_breaks_one_rule(spark, field, rule):
+    assert type_rules(spark, ['{"trip_id": 1, ' + field + "}"]) == {f"trips.{rule}.type": 1}
+
+
+def test_types_of_the_other_collections(spark):
+    from tripweave import model
+
+    assert type_rules(spark, ['{"user_id": "1", "birthdate": "1990-01-01"}'], "users", model.USERS) == {"users.user_id.type": 1}
+    assert type_rules(spark, ['{"station_id": 1, "capacity": true, "name": 3}'], "stations", model.STATIONS) == {
+        "stations.capacity.type": 1,
+        "stations.name.type": 1,
+    }

@@ -164,8 +164,8 @@ def test_empty_graph(spark):
     assert found.collect() == []
     assert graph.component_count(found).first()[0] == 0
     assert graph.component_sizes(found, nowhere).collect() == []
-    assert graph.top_stations(h.trips(spark), nowhere).collect() == []
-    assert graph.reachable_stations(h.trips(spark), nowhere, 1).collect() == []
+    assert graph.top_stations(h.trips(spark), h.users(spark), nowhere).collect() == []
+    assert graph.reachable_stations(h.trips(spark), h.users(spark), nowhere, 1).collect() == []
     assert graph.edges(h.trips(spark), h.users(spark), nowhere).collect() == []
     assert graph.vertices(h.users(spark), h.trips(spark), nowhere).collect() == []
 
@@ -194,12 +194,12 @@ def test_edges_need_all_three_ends_and_are_unique(spark):
 def test_a_round_trip_is_one_reachable_station(spark):
     journeys = h.trips(spark, h.trip(1, 1, 10, 10), h.trip(2, 1, 10, 20), h.trip(3, 2, 30, 30))
     places = h.stations(spark, 10, 20, 30)
-    assert [r[0] for r in h.rows(graph.reachable_stations(journeys, places, 1))] == [10, 20]
-    assert [r[0] for r in h.rows(graph.first_user_stations(journeys, places))] == [10, 20]
+    assert [r[0] for r in h.rows(graph.reachable_stations(journeys, h.users(spark, 1, 2), places, 1))] == [10, 20]
+    assert [r[0] for r in h.rows(graph.first_user_stations(journeys, h.users(spark, 1, 2), places))] == [10, 20]
 
 
 def test_degrees_agree_with_station_counts(small):
-    degrees = graph.station_degrees(small["trips"], small["stations"])
+    degrees = graph.station_degrees(small["trips"], small["users"], small["stations"])
     total = degrees.agg(F.sum("total_trips")).first()[0]
     assert total == 2 * small["trips"].count()
     counts = relational.station_counts(small["trips"], small["stations"])
@@ -211,3 +211,32 @@ def test_degrees_agree_with_station_counts(small):
 def test_graph_has_three_edges_per_accepted_trip(small):
     made = graph.edges(small["trips"], small["users"], small["stations"])
     assert made.count() == 3 * small["trips"].count()
+
+
+def test_trips_with_a_missing_end_do_not_count(spark):
+    riders, places = h.users(spark, 1), h.stations(spark, 10, 20)
+    journeys = h.trips(spark, h.trip(1, 1, 10, 99), h.trip(2, 1, 20, 20), h.trip(3, 0, 10, 20))
+    assert [r.station_id for r in graph.reachable_stations(journeys, riders, places, 1).collect()] == [20]
+    assert [r.sid for r in graph.first_user_stations(journeys, riders, places).collect()] == [20]
+    degrees = graph.station_degrees(journeys, riders, places)
+    assert h.rows(degrees.select("station_id", "outgoing_trips", "incoming_trips", "total_trips")) == [(10, 0, 0, 0), (20, 1, 1, 2)]
+    links, nodes = graph.edges(journeys, riders, places), graph.vertices(riders, journeys, places)
+    assert [r.id for r in graph.path_stations(links, nodes, "U:1").collect()] == ["S:20"]
+
+
+def test_paths_follow_labels_and_types(spark):
+    riders, places = h.users(spark, 1, 2), h.stations(spark, 10, 20, 30)
+    journeys = h.trips(spark, h.trip(1, 1, 10, 20), h.trip(2, 1, 10, 10), h.trip(3, 2, 30, 20))
+    links, nodes = graph.edges(journeys, riders, places), graph.vertices(riders, journeys, places)
+    found = h.rows(graph.paths(links, nodes, *graph.RIDER_TO_STATION, start="U:1"))
+    assert found == [
+        ("U:1", "PERFORMED", "T:1", "ENDS_AT", "S:20"),
+        ("U:1", "PERFORMED", "T:1", "STARTS_AT", "S:10"),
+        ("U:1", "PERFORMED", "T:2", "ENDS_AT", "S:10"),
+        ("U:1", "PERFORMED", "T:2", "STARTS_AT", "S:10"),
+    ]
+    ends = graph.paths(links, nodes, ["TRIP", "STATION"], [("ENDS_AT",)])
+    assert h.rows(ends.select("n0", "n1")) == [("T:1", "S:20"), ("T:2", "S:10"), ("T:3", "S:20")]
+    assert graph.paths(links, nodes, ["USER", "STATION"], [("PERFORMED",)]).collect() == []
+    with pytest.raises(ValueError):
+        graph.paths(links, nodes, ["USER"], [("PERFORMED",)])

@@ -1,9 +1,10 @@
 import helpers as h
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from tripweave import model, session
-from tripweave.operators import documents, relational
+from tripweave.operators import changes, documents, quality, relational
 from tripweave.sources import tables
 
 
@@ -21,14 +22,41 @@ def test_documents_survive_a_round_trip(small, spark, tmp_path):
     docs = documents.embed_events(small["trips"], small["events"])
     for fmt in ("parquet", "json"):
         path = str(tmp_path / fmt)
-        tables.write_table(docs.drop("part", "parts"), path, fmt)
+        tables.write_table(docs, path, fmt)
         back = tables.read_table(spark, path, model.TRIP_DOCUMENT, fmt)
         assert h.rows(documents.unwind_events(back)) == h.rows(documents.unwind_events(docs))
         assert h.rows(documents.trips_with_embedded_event(back)) == h.rows(documents.trips_with_embedded_event(docs))
 
 
-def test_first_version_documents_read_with_the_second_schema(small, spark, tmp_path):
+@pytest.mark.parametrize("fmt", ["parquet", "json"])
+def test_stored_parts_answer_like_whole_documents(small, spark, tmp_path, fmt):
+    whole = documents.embed_events(small["trips"], small["events"])
+    cut = documents.embed_events(small["trips"], small["events"], part_rows=2)
+    tables.write_table(cut, str(tmp_path / "cut"), fmt)
+    back = tables.read_table(spark, str(tmp_path / "cut"), model.TRIP_DOCUMENT, fmt)
+    assert back.count() > whole.count()
+    asked = [
+        documents.trips_with_embedded_event,
+        documents.facet_station_roles,
+        documents.unwind_events,
+        changes.modified_count,
+        lambda docs: documents.trip_documents_report(docs, small["users"], small["stations"]),
+        lambda docs: quality.check_documents(docs, small["users"], small["stations"]),
+        lambda docs: quality.check_document_types(documents.documents_as_json(docs.drop("user_id").withColumn("user_id", F.lit("x"))), "text", model.TRIP_DOCUMENT, "trips"),
+    ]
+    for question in asked:
+        assert h.rows(question(back)) == h.rows(question(whole))
+
+
+def test_documents_without_part_fields_are_refused(small):
     docs = documents.embed_events(small["trips"], small["events"]).drop("part", "parts")
+    for question in (documents.trips_with_embedded_event, documents.facet_station_roles):
+        with pytest.raises(ValueError, match="part"):
+            question(docs)
+
+
+def test_first_version_documents_read_with_the_second_schema(small, spark, tmp_path):
+    docs = documents.embed_events(small["trips"], small["events"])
     tables.write_table(docs, str(tmp_path / "v1"))
     back = tables.read_table(spark, str(tmp_path / "v1"), model.TRIP_DOCUMENT_V2)
     levels = documents.unwind_events(back).select("battery_level").distinct().collect()

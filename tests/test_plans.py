@@ -69,7 +69,7 @@ def test_user_stats_aggregate_before_the_join(stored, no_broadcast):
 
 
 def test_reachable_stations_push_the_rider_into_the_scan(stored):
-    assert "EqualTo(user_id,7)" in h.plan_of(graph.reachable_stations(stored["trips"], stored["stations"], 7))
+    assert "EqualTo(user_id,7)" in h.plan_of(graph.reachable_stations(stored["trips"], stored["users"], stored["stations"], 7))
 
 
 def test_top_k_needs_no_total_order(stored):
@@ -99,8 +99,9 @@ def test_embedding_shuffles_events_once(stored, no_broadcast):
 
 def test_parts_are_shuffled_by_key_and_part(stored, no_broadcast):
     docs = documents.embed_events(stored["trips"], stored["events"], part_rows=5)
-    # Events by key and part, trips by key and part; large keys come by broadcast.
-    assert exchanges(docs) == 2
+    # Large keys come by broadcast.  Their events are numbered per range and put with the others by
+    # key and part; ranges are counted, and the counts joined, by key and range.
+    assert exchanges(docs) <= 6 and "CartesianProduct" not in h.plan_of(docs)
 
 
 def test_whole_documents_need_no_shuffle(stored, spark, tmp_path):
@@ -113,7 +114,7 @@ def test_whole_documents_need_no_shuffle(stored, spark, tmp_path):
     assert "GreaterThan(parts,1)" in plan and plan.count("Exchange hashpartitioning") == 1
     scan = h.plan_of(kept.where(documents.has_event("ERROR")).select("trip_id"))
     assert "events:array<struct<event_type:string>>" in scan  # one field of the elements
-    scan = h.plan_of(changes.modified_count(kept.select("trip_id", "events")))
+    scan = h.plan_of(changes.modified_count(kept))
     assert "events:array<struct<event_type:string,value:string>>" in scan
 
 
@@ -207,3 +208,41 @@ def test_many_heavy_keys_are_joined_without_a_broadcast(hot, monkeypatch):
     expected = h.rows(documents.user_stats_nested(riders, journeys))
     monkeypatch.setattr(documents, "small_side", lambda keys: (keys, keys.count()))
     assert h.rows(documents.user_stats_nested(riders, journeys, part_rows=5)) == expected
+
+
+def scans(df, table: str) -> int:
+    return sum("FileScan" in line and f"/{table}]" in line for line in h.plan_of(df).splitlines())
+
+
+def test_a_summary_reads_each_table_twice(stored):
+    summary = quality.check_summary({n: stored[n] for n in ("users", "stations", "trips", "events")})
+    assert all(scans(summary, n) == 2 for n in ("users", "stations", "trips", "events"))
+
+
+def test_unique_keys_are_shuffled_as_hashes(stored):
+    plan = h.plan_of(quality.count_duplicates(stored["events"].union(stored["events"]), "events"))
+    assert "xxhash64(event_id" in plan
+
+
+def test_components_of_a_hub_without_broadcasts(spark, eager_skew_handling):
+    """A third of all links are those of one station; no key may need a broadcast."""
+    chance = random.Random(8)
+    pairs = [(0, i) for i in range(1, 1500)] + [(chance.randrange(1500, 4500), chance.randrange(1500, 4500)) for _ in range(3000)]
+    links = spark.createDataFrame(pairs, "src bigint, dst bigint").repartition(8)
+    places = spark.range(4500).select(F.col("id").alias("station_id"), F.lit("x").alias("name"))
+    found = {r.station_id: r.component for r in graph.connected_components(links, places).collect()}
+    assert len(found) == 4500 and all(found[i] == 0 for i in range(1500))
+    assert all(found[a] == found[b] for a, b in pairs)
+
+
+def test_components_compute_their_roots_once(spark, monkeypatch):
+    cuts = []
+    cut = graph.cut_lineage
+    monkeypatch.setattr(graph, "cut_lineage", lambda df: cuts.append(df.columns) or cut(df))
+    links = spark.createDataFrame([(i, i + 1) for i in range(40)], "src bigint, dst bigint")
+    places = spark.range(41).select(F.col("id").alias("station_id"))
+    found = graph.connected_components(links, places)
+    pairs, roots = cuts.count(["a", "b"]), cuts.count(["a", "root"])
+    # One cut for the pairs of each round, and the roots only every few rounds and at the end.
+    assert pairs + roots == len(cuts) and roots <= (pairs - 1) // 3 + 1
+    assert {r.component for r in found.collect()} == {0}

@@ -113,3 +113,10 @@ def test_empty_tables_keep_their_columns(spark):
         documents.unwind_events(documents.embed_events(no_trips, no_events)),
     ):
         assert df.collect() == [] and len(df.columns) >= 3
+
+
+def test_a_mean_is_the_same_in_any_partitions(spark):
+    journeys = h.trips(spark, *[h.trip(i, 1, 10, 20, minutes=0.1 * (i % 97) + 0.005) for i in range(1, 3000)])
+    means = {relational.active_user_stats(journeys.repartition(n)).first().avg_duration_minutes for n in (1, 8)}
+    exact = sum(round((0.1 * (i % 97) + 0.005) * 60_000_000) for i in range(1, 3000)) / (2999 * 60_000_000)
+    assert means == {round(exact, 2)}

@@ -106,7 +106,7 @@ LENGTHS = {
     "events": {"event_type": 10},
 }
 
-# Rules of the evolved events table.
+# ---- Fixed predicates of the evolved events table ------------------------
 BATTERY_RANGE = f"battery_level IS NULL OR battery_level BETWEEN {BATTERY_MIN} AND {BATTERY_MAX}"
 BATTERY_ONLY = "(event_type = 'BATTERY') = (battery_level IS NOT NULL)"
 
@@ -119,10 +119,12 @@ STAGED_USERS = T.StructType(
     ]
 )
 STAGED_DURATIONS = T.StructType(
-    [T.StructField("user_id", T.StringType()), T.StructField("duration_min", T.DoubleType())]
+    [T.StructField("user_id", T.StringType()), T.StructField("duration_us", T.DecimalType(18, 0))]
 )
 
 # ---- Document shape: events are embedded in their trip ---------------------
+# A trip with very many events is stored as several documents, numbered by ``part``
+# of ``parts``; both fields are always there, 0 and 1 for a whole document.
 EMBEDDED_EVENT = T.StructType([f for f in EVENTS.fields if f.name != "trip_id"])
 
 TRIP_DOCUMENT = T.StructType(
@@ -134,6 +136,8 @@ TRIP_DOCUMENT = T.StructType(
         _required("start_time", T.TimestampNTZType()),
         _required("end_time", T.TimestampNTZType()),
         _required("total_cost", T.DecimalType(8, 2)),
+        _required("part", T.IntegerType()),
+        _required("parts", T.IntegerType()),
         _required("events", T.ArrayType(EMBEDDED_EVENT, containsNull=False)),
     ]
 )

@@ -16,19 +16,22 @@ def upsert(
     """Insert the rows of ``batch`` whose key is new, and overwrite the listed
     properties of the others.  A null property of the batch removes the value.
 
-    A key that the batch repeats takes its last row by ``sequence``; the repeats
-    are reduced per task before they are shuffled.  Without ``sequence`` the batch
-    must not repeat a key, since rows of a DataFrame have no order.  Columns of ``base`` that are
-    not listed keep their value, and are null in inserted rows.
+    A key that the batch repeats takes its last row by ``sequence``, a null sequence
+    being before all others; the repeats are reduced per task before they are shuffled.
+    Without ``sequence`` a repeated key fails the job, since rows of a DataFrame have no
+    order.  Columns of ``base`` that are not listed keep their value, and are null in
+    inserted rows.
     """
     if properties is None:
         properties = [c for c in batch.columns if c in base.columns and c != key]
     rows = batch.where(F.col(key).isNotNull())
     if sequence:
-        last = F.max_by(F.struct(*properties), F.col(sequence))
-        rows = rows.groupBy(key).agg(last.alias("new"))
+        order = F.struct(F.col(sequence).isNotNull(), F.col(sequence))
+        rows = rows.groupBy(key).agg(F.max_by(F.struct(*properties), order).alias("new"))
     else:
-        rows = rows.select(key, F.struct(*properties).alias("new"))
+        complaint = F.raise_error(F.concat(F.lit("the batch repeats the key "), F.col(key).cast("string")))
+        rows = rows.groupBy(key).agg(F.first(F.struct(*properties)).alias("new"), F.count("*").alias("n"))
+        rows = rows.where(F.when(F.col("n") > 1, complaint.cast("boolean")).otherwise(F.lit(True))).drop("n")
     rows = rows.withColumnRenamed(key, "_key")
 
     joined = base.join(rows, F.col(key) == F.col("_key"), "full_outer")
@@ -122,8 +125,7 @@ def modified_count(docs: DataFrame) -> DataFrame:
         old = e["battery_level"] if has_level else F.lit(None).cast("int")
         return (e["event_type"] == "BATTERY") & ~e["value"].try_cast("int").eqNullSafe(old)
 
-    keep = [c for c in ("trip_id", "part", "parts") if c in docs.columns]
-    changed = docs.where(F.exists(events, changes)).select(keep)
+    changed = docs.where(F.exists(events, changes)).select("trip_id", "part", "parts")
     return once_per_trip(changed).agg(F.count("*").alias("n_trips"))
 
 

@@ -1,19 +1,20 @@
 """The document shape: nesting, unnesting, and the questions asked on documents.
 
 A nested array is one value in one row, so an unbounded group must never become
-one array.  Nesting therefore cuts the matches of a key into parts of about
+one array.  Nesting therefore cuts the matches of a key into parts of at most
 ``part_rows`` elements: the usual key has one part, a key with very many matches
-has several rows, numbered by ``part`` of ``parts``.  No match is dropped, and
-everything that reads documents puts the parts together again.
+has several rows, numbered by ``part`` of ``parts``, which hold its matches in
+order one after the other.  Both columns are fixed fields of every document, in
+memory, stored or as text, and everything that reads documents needs them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, GroupedData
+from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 
-from tripweave.functions.expressions import minutes_between, null_as, round_half_up
-from tripweave.session import small_side
+from tripweave.functions.expressions import mean_minutes, micros_between, null_as
+from tripweave.session import cut_lineage, small_side
 
 PART_ROWS = 10_000
 _PARTS_PER_BLOCK = 10_000
@@ -36,8 +37,9 @@ def lookup(
 
     A left row without matches gets an empty array.  Array elements carry
     ``fields`` (all columns of ``right`` if not given) and are ordered by
-    ``order_by``, which must be unique among the matches of a key.  The result
-    has the columns of ``left``, then ``part``, ``parts`` and ``into``.
+    ``order_by``, which must be unique among the matches of a key; the parts of
+    a key are in that order too.  The result has the columns of ``left``, then
+    ``part``, ``parts`` and ``into``.
     """
     matches = right.where(F.col(right_key).isNotNull())
     counts = matches.groupBy(right_key).agg(F.count("*").alias("_n")).where(F.col("_n") > part_rows)
@@ -46,19 +48,16 @@ def lookup(
     )
 
     item = F.struct(order_by, *[c for c in fields or right.columns if c != order_by]).alias("_item")
+    keyed = matches.select(F.col(right_key).alias("_key"), item)
     if not n_large:
         # The usual case: one shuffle of the matches, which the join uses as well.
-        arrays = matches.select(F.col(right_key).alias("_key"), item).repartition("_key").groupBy("_key")
+        arrays = keyed.repartition("_key").groupBy("_key")
         joined = left.join(_sorted_items(arrays, into), F.col(left_key) == F.col("_key"), "left")
         joined = joined.withColumn("part", F.lit(0)).withColumn("parts", F.lit(1))
     else:
-        part = F.pmod(F.xxhash64(order_by), F.col("_parts")).cast("int")
-        arrays = (
-            matches.join(large, F.col(right_key) == F.col("_key"), "left")
-            .select(F.col(right_key).alias("_key"), null_as(part, 0).alias("_part"), item)
-            .repartition("_key", "_part")
-            .groupBy("_key", "_part")
-        )
+        heavy = _in_parts(keyed.join(large.select("_key"), "_key", "left_semi"), f"_item.{order_by}", part_rows)
+        usual = keyed.join(large.select("_key"), "_key", "left_anti").withColumn("_part", F.lit(0))
+        arrays = usual.unionByName(heavy).repartition("_key", "_part").groupBy("_key", "_part")
         base = left.join(large, F.col(left_key) == F.col("_key"), "left").withColumn("parts", null_as("_parts", 1))
         base = _numbered_parts(base).drop("_key", "_parts")
         same = (F.col(left_key) == F.col("_key")) & (F.col("part") == F.col("_part"))
@@ -66,6 +65,22 @@ def lookup(
     return joined.select(*left.columns, "part", "parts", F.coalesce(F.col(into), F.array()).alias(into))
 
 
+def _in_parts(matches: DataFrame, order_by: str, part_rows: int) -> DataFrame:
+    """(_key, _item, _part): consecutive ranges of at most ``part_rows`` matches of each key.
+
+    The matches are range-partitioned by key and order, so a key spreads over tasks.  Numbered
+    within their partition, and by the counts of the partitions before it, no task sees a whole key.
+    """
+    ranged = matches.withColumn("_order", F.col(order_by)).repartitionByRange("_key", "_order")
+    placed = cut_lineage(ranged.withColumn("_slice", F.spark_partition_id()))
+    slices = placed.groupBy("_key", "_slice").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy("_key").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    starts = slices.select("_key", "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    here = Window.partitionBy("_key", "_slice").orderBy("_order")
+    number = F.row_number().over(here) - 1 + F.col("_before")
+    return placed.join(starts, ["_key", "_slice"]).select("_key", "_item", F.floor(number / part_rows).cast("int").alias("_part"))
+
+
 def _numbered_parts(df: DataFrame) -> DataFrame:
     """One row per ``part`` from 0 to ``parts`` - 1.  Counted out in two steps, so
     that the numbers of a very large key are never one array."""
@@ -115,9 +130,18 @@ def has_event(event_type: str, column: str = "events") -> Column:
     return F.array_contains(F.col(f"{column}.event_type"), event_type)
 
 
+def with_parts(docs: DataFrame) -> DataFrame:
+    """``docs``, if they say which part of which document they are; an error otherwise.  Documents
+    without these fields cannot be told from parts, and counting parts as documents would be wrong."""
+    missing = [c for c in ("part", "parts") if c not in docs.columns]
+    if missing:
+        raise ValueError(f"documents need the fields part and parts; missing: {', '.join(missing)}")
+    return docs
+
+
 def _first_parts(docs: DataFrame) -> DataFrame:
     """One row per document, for questions that do not look into the array."""
-    return docs.where(F.col("part") == 0) if "part" in docs.columns else docs
+    return with_parts(docs).where(F.col("part") == 0)
 
 
 def once_per_trip(docs: DataFrame) -> DataFrame:
@@ -125,21 +149,17 @@ def once_per_trip(docs: DataFrame) -> DataFrame:
 
     Only a trip in several parts can pass more than once.  Whole documents need
     no shuffle; where no document is in parts, the second branch is empty by
-    file statistics, or even at planning.  Documents without the columns ``part``
-    and ``parts`` are all whole.
+    file statistics, or even at planning.
     """
-    if "parts" not in docs.columns:
-        return docs
-    whole = docs.where(F.col("parts") == 1).drop("part", "parts")
+    whole = with_parts(docs).where(F.col("parts") == 1).drop("part", "parts")
     cut = docs.where(F.col("parts") > 1).drop("part", "parts").dropDuplicates(["trip_id"])
     return whole.unionByName(cut)
 
 
 def trips_with_embedded_event(docs: DataFrame, event_type: str = "ERROR") -> DataFrame:
     """Trips with at least one embedded event of the given type, each once."""
-    fields = ["trip_id", "user_id", "start_time", "end_time", "total_cost"]
-    parts = [c for c in ("part", "parts") if c in docs.columns]
-    return once_per_trip(docs.where(has_event(event_type)).select(*fields, *parts))
+    fields = ["trip_id", "user_id", "start_time", "end_time", "total_cost", "part", "parts"]
+    return once_per_trip(with_parts(docs).where(has_event(event_type)).select(*fields))
 
 
 def trip_documents_report(docs: DataFrame, users: DataFrame, stations: DataFrame) -> DataFrame:
@@ -190,18 +210,19 @@ def user_stats_nested(users: DataFrame, trips: DataFrame, part_rows: int = PART_
         ["start_time", "end_time"],
         part_rows,
     )
-    minutes = F.transform("trips", lambda t: minutes_between(t["start_time"], t["end_time"]))
+    micros = F.transform("trips", lambda t: micros_between(t["start_time"], t["end_time"]))
+    nothing = F.lit(0).cast("decimal(28,0)")
     per_part = nested.select(
         "user_id",
         "name",
         "surname",
         F.size("trips").alias("n"),
-        F.aggregate(minutes, F.lit(0.0), lambda total, m: total + m).alias("minutes"),
+        F.aggregate(micros, nothing, lambda total, m: (total + m).cast("decimal(28,0)")).alias("micros"),
     )
     per_user = per_part.groupBy("user_id", "name", "surname").agg(
-        F.sum("n").alias("num_trips"), F.sum("minutes").alias("minutes")
+        F.sum("n").alias("num_trips"), F.sum("micros").alias("micros")
     )
-    mean = F.when(F.col("num_trips") > 0, round_half_up(F.col("minutes") / F.col("num_trips"))).otherwise(0.0)
+    mean = F.when(F.col("num_trips") > 0, mean_minutes("micros", "num_trips")).otherwise(0.0)
     return per_user.select("user_id", "name", "surname", "num_trips", mean.alias("avg_duration_minutes"))
 
 

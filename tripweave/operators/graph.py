@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripweave.operators.relational import station_counts
-from tripweave.session import cut_lineage, shuffle_partitions, small_side
+from tripweave.session import cut_lineage, fixed_plan, small_side
 
 # ---- Fixed values of the ranking -------------------------------------------
 DAMPING = 0.85
@@ -18,7 +18,10 @@ ROUNDS = 20
 # ----------------------------------------------------------------------------
 
 # Rounds of a rank that go into one plan before its lineage is cut.
-_ROUNDS_PER_PLAN = 5
+_ROUNDS_PER_PLAN = 10
+
+# Rounds of the components whose moves go into one plan.
+_MOVES_PER_PLAN = 3
 
 # Links per partition of the rank, and links of one source that may lie together.
 _LINKS_PER_PARTITION = 500_000
@@ -94,28 +97,71 @@ def out_degree(edges: DataFrame) -> DataFrame:
     return edges.where(F.col("src").isNotNull()).groupBy("src").agg(F.sum("n_trips").alias("out_degree"))
 
 
+def vertices_of(vertices: DataFrame, *labels: str) -> DataFrame:
+    """The nodes with one of the labels."""
+    return vertices.where(F.col("label").isin(*labels))
+
+
+def edges_of(edges: DataFrame, *types: str) -> DataFrame:
+    """The edges with one of the types."""
+    return edges.where(F.col("type").isin(*types))
+
+
+def paths(
+    edges: DataFrame, vertices: DataFrame, labels: list[str], types: list[tuple[str, ...]], start: object = None
+) -> DataFrame:
+    """All directed paths over the property graph: (n0, type0, n1, type1, n2, ...), one row for each.
+
+    ``labels`` names the label of every node of the path, ``types`` for every step the edge types
+    that may be taken; ``start`` fixes the first node.  Each step is an equi-join on the node that the
+    path has reached, on edges of the wanted types only.
+    """
+    if len(labels) != len(types) + 1:
+        raise ValueError("a path has one node more than it has steps")
+    found = vertices_of(vertices, labels[0]).select(F.col("id").alias("n0"))
+    if start is not None:
+        found = found.where(F.col("n0") == F.lit(start))
+    for i, (label, kinds) in enumerate(zip(labels[1:], types, strict=True)):
+        here, there = f"n{i}", f"n{i + 1}"
+        step = edges_of(edges, *kinds).select(F.col("src").alias(here), F.col("type").alias(f"type{i}"), F.col("dst").alias(there))
+        ends = vertices_of(vertices, label).select(F.col("id").alias(there))
+        found = found.join(step, here).join(ends, there, "left_semi")
+    return found.select(*[c for i in range(len(types)) for c in (f"n{i}", f"type{i}")], f"n{len(types)}")
+
+
+RIDER_TO_STATION = (["USER", "TRIP", "STATION"], [("PERFORMED",), ("STARTS_AT", "ENDS_AT")])
+
+
+def path_stations(edges: DataFrame, vertices: DataFrame, rider: str) -> DataFrame:
+    """(id, name, city) of the stations that paths from one rider's node lead to."""
+    reached = paths(edges, vertices, *RIDER_TO_STATION, start=rider).select(F.col("n2").alias("id"))
+    return vertices_of(vertices, "STATION").join(reached, "id", "left_semi").select("id", "name", "city")
+
+
 def _stations_of(trips: DataFrame, stations: DataFrame) -> DataFrame:
     """Distinct stations at either end of the given trips."""
     ends = trips.select(F.explode(F.array("start_station", "end_station")).alias("station_id")).distinct()
     return ends.join(stations, "station_id")
 
 
-def reachable_stations(trips: DataFrame, stations: DataFrame, user_id: object) -> DataFrame:
-    """The stations at either end of any trip of one rider."""
-    visited = _stations_of(trips.where(F.col("user_id") == F.lit(user_id)), stations)
-    return visited.select("station_id", F.col("name").alias("station_name"), "city")
+def reachable_stations(trips: DataFrame, users: DataFrame, stations: DataFrame, user_id: object) -> DataFrame:
+    """The stations at either end of any trip of one rider.  As in all questions on the graph, a trip
+    with a missing rider or station has no edges and does not count."""
+    own = connected_trips(trips.where(F.col("user_id") == F.lit(user_id)), users, stations)
+    return _stations_of(own, stations).select("station_id", F.col("name").alias("station_name"), "city")
 
 
-def first_user_stations(trips: DataFrame, stations: DataFrame) -> DataFrame:
+def first_user_stations(trips: DataFrame, users: DataFrame, stations: DataFrame) -> DataFrame:
     """The same for one rider who has a trip: the one with the smallest key."""
-    first = trips.agg(F.min("user_id").alias("user_id"))
-    visited = _stations_of(trips.join(first, "user_id", "left_semi"), stations)
+    connected = connected_trips(trips, users, stations)
+    first = connected.agg(F.min("user_id").alias("user_id"))
+    visited = _stations_of(connected.join(first, "user_id", "left_semi"), stations)
     return visited.select(F.col("station_id").alias("sid"), "name")
 
 
-def station_degrees(trips: DataFrame, stations: DataFrame) -> DataFrame:
+def station_degrees(trips: DataFrame, users: DataFrame, stations: DataFrame) -> DataFrame:
     """Leaving, arriving and total trips of every station; a round trip adds two."""
-    return station_counts(trips, stations).select(
+    return station_counts(connected_trips(trips, users, stations), stations).select(
         "station_id",
         F.col("name").alias("station_name"),
         "city",
@@ -125,9 +171,9 @@ def station_degrees(trips: DataFrame, stations: DataFrame) -> DataFrame:
     )
 
 
-def top_stations(trips: DataFrame, stations: DataFrame, k: int = 3) -> DataFrame:
+def top_stations(trips: DataFrame, users: DataFrame, stations: DataFrame, k: int = 3) -> DataFrame:
     """The ``k`` busiest stations; the smaller key wins a tie."""
-    return station_degrees(trips, stations).orderBy(F.col("total_trips").desc(), "station_id").limit(k)
+    return station_degrees(trips, users, stations).orderBy(F.col("total_trips").desc(), "station_id").limit(k)
 
 
 def pagerank(
@@ -180,21 +226,22 @@ def pagerank(
     # block of the cache is rebuilt from the checkpoint.
     partitions = math.ceil((edges.count() + n) / _LINKS_PER_PARTITION)
     links = links.repartition(partitions, *key).persist(StorageLevel.MEMORY_AND_DISK)
-    links.count()  # fills the cache; a plan knows its partitioning only from then on
-
-    ranks = nodes.select(F.col("id").alias("src"), F.lit(1.0 / n).alias("rank"))
-    with shuffle_partitions(stations.sparkSession, partitions):
-        for i in range(1, rounds + 1):
-            if "piece" in key:
-                pieces = F.sequence(F.lit(0), F.coalesce("pieces", F.lit(1)) - 1)
-                ranks = ranks.join(heavy, "src", "left").select("src", F.explode(pieces).alias("piece"), "rank")
-            share = F.sum(F.col("rank") * F.col("weight"))
-            # Links and ranks lie together: hash the few ranks of a partition.
-            shares = links.join(ranks.hint("shuffle_hash"), key).groupBy(F.col("dst").alias("src"))
-            ranks = shares.agg((F.lit(base) + F.lit(damping) * share).alias("rank"))
-            if i % _ROUNDS_PER_PLAN == 0 or i == rounds:
-                ranks = cut_lineage(ranks)
-    links.unpersist()
+    try:
+        links.count()  # fills the cache; a plan knows its partitioning only from then on
+        ranks = nodes.select(F.col("id").alias("src"), F.lit(1.0 / n).alias("rank"))
+        with fixed_plan(stations.sparkSession, partitions):
+            for i in range(1, rounds + 1):
+                if "piece" in key:
+                    pieces = F.sequence(F.lit(0), F.coalesce("pieces", F.lit(1)) - 1)
+                    ranks = ranks.join(heavy, "src", "left").select("src", F.explode(pieces).alias("piece"), "rank")
+                share = F.sum(F.col("rank") * F.col("weight"))
+                # Links and ranks lie together: hash the few ranks of a partition.
+                shares = links.join(ranks.hint("shuffle_hash"), key).groupBy(F.col("dst").alias("src"))
+                ranks = shares.agg((F.lit(base) + F.lit(damping) * share).alias("rank"))
+                if i % _ROUNDS_PER_PLAN == 0 or i == rounds:
+                    ranks = cut_lineage(ranks)
+    finally:
+        links.unpersist()
     return stations.select("station_id", "name").join(ranks.withColumnRenamed("src", "station_id"), "station_id")
 
 
@@ -231,38 +278,43 @@ def connected_components(edges: DataFrame, stations: DataFrame) -> DataFrame:
     first.  There is no limit on rounds: in every round each linked group loses
     at least one station.
     """
+    labels = stations.select("station_id", F.col("station_id").alias("component"))
     pairs = cut_lineage(undirected_pairs(edges, stations))
-    moves: list[DataFrame] = []
+    roots, rounds = None, 0
     while not pairs.isEmpty():
-        seed = F.lit(len(moves))
-        both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        nearest = both.groupBy("a").agg(F.min_by("b", F.xxhash64("b", seed)).alias("b"))
-        stays = F.xxhash64("a", seed) <= F.xxhash64("b", seed)
-        move = cut_lineage(nearest.select("a", F.when(stays, F.col("a")).otherwise(F.col("b")).alias("root")))
-        moves.append(move)
-
+        move = _moves(pairs, rounds)
         to_a = move.select("a", F.col("root").alias("ra"))
         to_b = move.select(F.col("a").alias("b"), F.col("root").alias("rb"))
         moved = pairs.join(to_a, "a").join(to_b, "b").where(F.col("ra") != F.col("rb"))
-        pairs = cut_lineage(
-            moved.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct()
-        )
-
-    labels = stations.select("station_id", F.col("station_id").alias("component"))
-    if not moves:
+        # Every linked station moves or stays in the first round; later rounds move their roots on.
+        if roots is None:
+            roots = move
+        else:
+            further = move.select(F.col("a").alias("root"), F.col("root").alias("last"))
+            roots = roots.join(further, "root", "left").select("a", F.coalesce("last", "root").alias("root"))
+        rounds += 1
+        if rounds % _MOVES_PER_PLAN == 0:
+            roots = cut_lineage(roots)
+        pairs = cut_lineage(moved.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct())
+    if roots is None:
         return labels
-    # Follow the moves back from the last round, whose table is the smallest.
-    roots = moves[-1]
-    for move in reversed(moves[:-1]):
-        later = roots.select(F.col("a").alias("root"), F.col("root").alias("last"))
-        roots = move.join(later, "root", "left").select("a", F.coalesce("last", "root").alias("root"))
-    smallest, _ = small_side(roots.groupBy("root").agg(F.min("a").alias("component")))
+    roots = cut_lineage(roots)  # used twice below
+    smallest = roots.groupBy("root").agg(F.min("a").alias("component"))
     found = roots.join(smallest, "root").select(F.col("a").alias("station_id"), F.col("component").alias("found"))
     return labels.join(found, "station_id", "left").select(
         "station_id", F.coalesce("found", "component").alias("component")
     )
 
 
+def _moves(pairs: DataFrame, rounds: int) -> DataFrame:
+    """(a, root): where each linked station moves in this round, from the stored pairs alone."""
+    seed = F.lit(rounds)
+    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    nearest = both.groupBy("a").agg(F.min_by("b", F.xxhash64("b", seed)).alias("b"))
+    stays = F.xxhash64("a", seed) <= F.xxhash64("b", seed)
+    return nearest.select("a", F.when(stays, F.col("a")).otherwise(F.col("b")).alias("root"))
+
+
 def component_sizes(components: DataFrame, stations: DataFrame) -> DataFrame:
     """(component, root_name, size), largest first, the smaller key on a tie."""
     sizes = components.groupBy("component").agg(F.count("*").alias("size"))

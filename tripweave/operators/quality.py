@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from tripweave import model
 from tripweave.model import ForeignKey
+from tripweave.operators.documents import with_parts
 from tripweave.session import small_side
 
 ROW_RULE_KINDS = ("not_null", "value", "enum", "length")
@@ -62,12 +63,19 @@ def count_violations(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
 
 
 def count_duplicates(df: DataFrame, table: str, key: str | None = None) -> DataFrame:
-    """(rule, n_violations): rows beyond the first of their key."""
+    """(rule, n_violations): rows beyond the first of their key.
+
+    Keys are counted by a 64-bit hash first, eight bytes of shuffle each however long the key;
+    the keys themselves are compared only where a hash repeats.
+    """
     key = key or model.KEYS[table]
-    per_key = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
-    return per_key.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("n_violations")).select(
-        F.lit(f"{table}.{key}.unique").alias("rule"), "n_violations"
-    )
+    keys = df.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.xxhash64(key).alias("hash"))
+    repeated, rows = small_side(keys.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"))
+    rule = F.lit(f"{table}.{key}.unique").alias("rule")
+    if not rows:
+        return df.sparkSession.range(1).select(rule, F.lit(0).cast("bigint").alias("n_violations"))
+    per_key = keys.join(repeated, "hash", "left_semi").groupBy("key").agg(F.count("*").alias("n"))
+    return per_key.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("n_violations")).select(rule, "n_violations")
 
 
 def _key_usage(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -150,8 +158,50 @@ def check_foreign_keys(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def check_summary(tables: dict[str, DataFrame]) -> DataFrame:
-    """Every rule of the model with its number of violations."""
-    return check_rows(tables).unionByName(check_unique(tables)).unionByName(check_foreign_keys(tables))
+    """Every rule of the model with its number of violations.
+
+    Two passes over each table: one for all its row rules, and one over its key columns, which
+    serves its foreign keys, its own key, and the foreign keys of other tables that point to it.
+    """
+    return check_rows(tables).unionByName(_check_keys(tables))
+
+
+def _check_keys(tables: dict[str, DataFrame]) -> DataFrame:
+    """(rule, n_violations) of the unique and foreign-key rules of all tables.
+
+    Every key column of a table gives (relation, hash of the key, rows that are parents, rows that
+    are children); one aggregation per relation and key then tells repeated keys and missing
+    parents.  Keys are compared by two hashes, so texts are not shuffled.
+    """
+    fks = [fk for fk in model.FOREIGN_KEYS if fk.child in tables and fk.parent in tables]
+    sides = []
+    for name, df in tables.items():
+        own = model.KEYS[name]
+        uses = [(own, name, -1)] + [(fk.column, fk.parent, i) for i, fk in enumerate(fks) if fk.child == name]
+
+        def entry(column: str, parent: str, which: int) -> Column:
+            text = F.col(column).cast("string")
+            return F.struct(
+                F.lit(parent).alias("parent"),
+                F.lit(which).alias("which"),
+                F.xxhash64(text).alias("h1"),
+                F.xxhash64(F.lit(7), text).alias("h2"),
+                F.col(column).isNotNull().alias("known"),
+            )
+
+        pairs = F.array(*[entry(column, parent, which) for column, parent, which in uses])
+        sides.append(df.select(F.inline(pairs)).where("known").drop("known"))
+    used = reduce(DataFrame.unionByName, sides)
+    # Combined in each task first, so a key that fills a third of the rows is one row per task.
+    owned = F.sum(F.when(F.col("which") == -1, 1).otherwise(0)).alias("owned")
+    asked = [F.sum(F.when(F.col("which") == i, 1).otherwise(0)).alias(f"asked{i}") for i in range(len(fks))]
+    per_key = used.groupBy("parent", "h1", "h2").agg(owned, *asked)
+    found = per_key.agg(
+        *[F.coalesce(F.sum(F.when((F.col("parent") == t) & (F.col("owned") > 1), F.col("owned") - 1)), F.lit(0)).alias(f"u{i}") for i, t in enumerate(tables)],
+        *[F.coalesce(F.sum(F.when(F.col("owned") == 0, F.col(f"asked{i}"))), F.lit(0)).alias(f"f{i}") for i in range(len(fks))],
+    )
+    rules = [(f"{t}.{model.KEYS[t]}.unique", f"u{i}") for i, t in enumerate(tables)] + [(fk.rule, f"f{i}") for i, fk in enumerate(fks)]
+    return found.select(F.inline(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(c).alias("n_violations")) for r, c in rules])))
 
 
 def keep_valid_rows(df: DataFrame, table: str) -> DataFrame:
@@ -204,7 +254,7 @@ def document_rules(docs: DataFrame) -> dict[str, Column]:
     rules = {
         f"trips.{f.name}.required": F.col(f.name).isNull()
         for f in model.TRIP_DOCUMENT.fields
-        if f.name != "trip_id"
+        if f.name not in ("trip_id", "part", "parts")
     }
     item_type = docs.schema["events"].dataType.elementType
     for name in ("timestamp", "event_type", "value"):
@@ -231,6 +281,15 @@ def document_table_rules(table: str) -> dict[str, Column]:
     return rules
 
 
+def _once_per_document(flagged: DataFrame, key: str, n: int) -> DataFrame:
+    """Flags of documents from the flags f0, f1, ... of their parts; whole documents do not move.  A row
+    that does not say how many parts it has counts as a document."""
+    in_parts = F.coalesce(F.col("parts") > 1, F.lit(False))
+    whole = flagged.where(~in_parts).drop(key, "parts")
+    cut = flagged.where(in_parts).groupBy(key).agg(*[F.bool_or(f"f{i}").alias(f"f{i}") for i in range(n)]).drop(key)
+    return whole.unionByName(cut)
+
+
 def check_documents(docs: DataFrame, users: DataFrame, stations: DataFrame) -> DataFrame:
     """(rule, n_violations) for the documents of the three collections.
 
@@ -238,14 +297,7 @@ def check_documents(docs: DataFrame, users: DataFrame, stations: DataFrame) -> D
     """
     rules = document_rules(docs)
     flags = [broken.alias(f"f{i}") for i, broken in enumerate(rules.values())]
-    if "parts" in docs.columns:
-        flagged = docs.select("trip_id", "parts", *flags)
-        whole = flagged.where(F.col("parts") == 1).drop("trip_id", "parts")
-        cut = flagged.where(F.col("parts") > 1).groupBy("trip_id")
-        cut = cut.agg(*[F.bool_or(f"f{i}").alias(f"f{i}") for i in range(len(rules))]).drop("trip_id")
-        flagged = whole.unionByName(cut)
-    else:
-        flagged = docs.select(*flags)
+    flagged = _once_per_document(with_parts(docs).select("trip_id", "parts", *flags), "trip_id", len(rules))
     return (
         count_violations(flagged, {name: F.col(f"f{i}") for i, name in enumerate(rules)})
         .unionByName(count_violations(users, document_table_rules("users")))
@@ -253,30 +305,58 @@ def check_documents(docs: DataFrame, users: DataFrame, stations: DataFrame) -> D
     )
 
 
-def _as_text(kind: T.DataType) -> T.DataType:
-    if isinstance(kind, T.StructType):
-        return T.StructType([T.StructField(f.name, _as_text(f.dataType)) for f in kind.fields])
-    if isinstance(kind, T.ArrayType):
-        return T.ArrayType(_as_text(kind.elementType))
-    return T.StringType()
+def _json_shape(value: Column) -> Column:
+    """The JSON type of a variant: BIGINT, DECIMAL(..), DOUBLE, STRING, BOOLEAN, VOID, ARRAY<..> or OBJECT<..>."""
+    return F.schema_of_variant(value)
+
+
+def _fits(value: Column, kind: T.DataType) -> Column:
+    """True if the variant ``value`` has the JSON type of ``kind`` and converts to it.  Times and dates
+    are text in JSON, numbers are not."""
+    shape = _json_shape(value)
+    as_text = F.try_variant_get(value, "$", "string")
+    if isinstance(kind, T.StringType):
+        return shape == "STRING"
+    if isinstance(kind, T.IntegralType):
+        return (shape == "BIGINT") & as_text.try_cast(kind).isNotNull()
+    if isinstance(kind, T.NumericType):
+        number = (shape == "BIGINT") | (shape == "DOUBLE") | shape.startswith("DECIMAL")
+        return number & as_text.try_cast(kind).isNotNull()
+    return (shape == "STRING") & as_text.try_cast(kind).isNotNull()
 
 
 def _type_broken(value: Column, kind: T.DataType) -> Column:
-    """True if the text leaves below ``value`` do not all convert to ``kind``."""
+    """True if the variant ``value`` is there, is not null, and has not the type of ``kind`` throughout."""
+    there = value.isNotNull() & (_json_shape(value) != "VOID")
     if isinstance(kind, T.StructType):
-        return reduce(lambda a, b: a | b, [_type_broken(value[f.name], f.dataType) for f in kind.fields])
-    if isinstance(kind, T.ArrayType):
-        return F.coalesce(F.exists(value, lambda e: _type_broken(e, kind.elementType)), F.lit(False))
-    return value.isNotNull() & value.try_cast(kind).isNull()
+        inside = [_type_broken(F.try_variant_get(value, f"$.{f.name}", "variant"), f.dataType) for f in kind.fields]
+        broken = ~_json_shape(value).startswith("OBJECT") | reduce(lambda a, b: a | b, inside)
+    elif isinstance(kind, T.ArrayType):
+        items = F.try_variant_get(value, "$", "array<variant>")
+        wrong = F.exists(items, lambda e: e.isNull() | (_json_shape(e) == "VOID") | _type_broken(e, kind.elementType))
+        broken = ~_json_shape(value).startswith("ARRAY") | F.coalesce(wrong, F.lit(True))
+    else:
+        broken = ~_fits(value, kind)
+    return there & F.coalesce(broken, F.lit(True))
 
 
 def check_document_types(raw: DataFrame, text: str, schema: T.StructType, name: str) -> DataFrame:
-    """(rule, n_violations): documents, given as JSON text, with a field that
-    does not convert to its type.  Text that is no JSON object breaks
-    ``<name>.json``; absent fields are the business of the required rules."""
-    document = raw.select(F.col(text).alias("text"), F.from_json(text, _as_text(schema)).alias("d"))
-    keys = F.json_object_keys("text")
-    rules = {f"{name}.json": F.col("text").isNotNull() & keys.isNull()}
+    """(rule, n_violations): documents, given as JSON text, with a field that has not the JSON type and
+    shape of its type.  Text that is no JSON object breaks ``<name>.json``; fields that are absent or
+    null are the business of the required rules.  A document in parts counts once per rule.
+    """
+    document = F.try_parse_json(text)
+    is_object = F.coalesce(_json_shape(document).startswith("OBJECT"), F.lit(False))
+    rules = {f"{name}.json": F.col("text").isNotNull() & ~F.col("is_object")}
     for f in schema.fields:
-        rules[f"{name}.{f.name}.type"] = F.coalesce(_type_broken(F.col("d")[f.name], f.dataType), F.lit(False))
-    return count_violations(document, rules)
+        value = F.try_variant_get("d", f"$.{f.name}", "variant")
+        rules[f"{name}.{f.name}.type"] = F.coalesce(F.col("is_object") & _type_broken(value, f.dataType), F.lit(False))
+    parsed = raw.select(F.col(text).alias("text"), document.alias("d"), is_object.alias("is_object"))
+    flags = [broken.alias(f"f{i}") for i, broken in enumerate(rules.values())]
+    if "parts" in schema.names:
+        key = F.get_json_object("text", f"$.{model.KEYS[name]}").alias("key")
+        parts = F.try_variant_get("d", "$.parts", "int").alias("parts")
+        flagged = _once_per_document(parsed.select(key, parts, *flags), "key", len(rules))
+    else:
+        flagged = parsed.select(*flags)
+    return count_violations(flagged, {rule: F.col(f"f{i}") for i, rule in enumerate(rules)})

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.functions.expressions import minutes_between, null_as, round_half_up
+from tripweave.functions.expressions import mean_minutes, micros_between, null_as
 
 
 def trip_details(trips: DataFrame, users: DataFrame, stations: DataFrame) -> DataFrame:
@@ -48,16 +48,21 @@ def trip_details(trips: DataFrame, users: DataFrame, stations: DataFrame) -> Dat
 
 
 def trip_durations(trips: DataFrame) -> DataFrame:
-    """(user_id, duration_min): all that rider statistics need of a trip."""
-    return trips.select("user_id", minutes_between("start_time", "end_time").alias("duration_min"))
+    """(user_id, duration_us): all that rider statistics need of a trip."""
+    return trips.select("user_id", micros_between("start_time", "end_time").alias("duration_us"))
 
 
 def duration_stats(durations: DataFrame) -> DataFrame:
-    """(user_id, num_trips, avg_duration_minutes) of the riders in ``durations``."""
+    """(user_id, num_trips, avg_duration_minutes) of the riders in ``durations``.
+
+    Whole microseconds are added, so a mean does not depend on the order of tasks.  Unknown
+    durations count as trips but not in the mean.
+    """
+    mean = mean_minutes(F.sum("duration_us"), F.count("duration_us"))
     return (
         durations.where(F.col("user_id").isNotNull())
         .groupBy("user_id")
-        .agg(F.count("*").alias("num_trips"), round_half_up(F.avg("duration_min")).alias("avg_duration_minutes"))
+        .agg(F.count("*").alias("num_trips"), mean.alias("avg_duration_minutes"))
     )
 
 

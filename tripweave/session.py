@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 
-# Key sets up to this many rows may be broadcast.  A row is one key and at most
-# one count, so the bound keeps a broadcast in the tens of megabytes.
+# Key sets up to this many rows and bytes may be broadcast.
 SMALL_KEY_SET = 1_000_000
+SMALL_KEY_BYTES = 32 << 20
 
 # What the operators rely on.  All of these may be overridden by the caller.
 RECOMMENDED = {
@@ -49,7 +49,8 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="tripweave-")
     spark.conf.set(CHECKPOINT_DIR, folder)
@@ -70,29 +71,35 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 @contextmanager
-def shuffle_partitions(spark: SparkSession, n: int) -> Iterator[None]:
-    """Plan shuffles with ``n`` partitions inside the block.
+def fixed_plan(spark: SparkSession, partitions: int) -> Iterator[None]:
+    """Plan shuffles with so many partitions inside the block, once and for all.
 
     For loops whose data is far smaller than what the session is set up for, and
-    whose partitions have to match so that adaptive execution cannot merge them.
+    whose partitions have to match.  Without adaptive execution several rounds are one
+    job, instead of one for each shuffle.
     """
-    before = spark.conf.get(SHUFFLE_PARTITIONS)
-    spark.conf.set(SHUFFLE_PARTITIONS, str(n))
+    wanted = {SHUFFLE_PARTITIONS: str(partitions), "spark.sql.adaptive.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(SHUFFLE_PARTITIONS, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
-def small_side(keys: DataFrame, max_rows: int = SMALL_KEY_SET) -> tuple[DataFrame, int]:
-    """Compute a key set that is expected to be small, and say how big it is.
+def small_side(keys: DataFrame, max_rows: int = SMALL_KEY_SET, max_bytes: int = SMALL_KEY_BYTES) -> tuple[DataFrame, int]:
+    """Compute a key set that is expected to be small, and say how many rows it has.
 
-    The set gets a broadcast hint only if its counted size is within
-    ``max_rows``; a larger one is returned without a hint and is joined by
-    shuffle.  Knowing the size up front spares the large side the shuffle that
+    The set gets a broadcast hint only if its rows, and the bytes of its texts, have been
+    counted and are within the bounds; a larger one is returned without a hint and is joined
+    by shuffle.  Knowing the size up front spares the large side the shuffle that
     adaptive execution would already have written before it could change its
     mind.
     """
     stored = cut_lineage(keys)
-    rows = stored.count()
-    return (F.broadcast(stored) if rows <= max_rows else stored), rows
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in stored.schema.fields if f.dataType.typeName() in ("string", "binary")]
+    width = F.lit(8 * len(stored.columns)) + sum(texts, F.lit(0))
+    size = stored.agg(F.count("*").alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
+    return (F.broadcast(stored) if size.rows <= max_rows and size.bytes <= max_bytes else stored), size.rows

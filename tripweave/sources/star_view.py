@@ -50,7 +50,10 @@ def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One trip per order: from the supplier of its first line to that of its
     last line, and until its last shipment.  An order without lines has neither
     stations nor an end, and is left for the checks to find."""
-    line = F.col("l_linenumber").cast("bigint") * _SUPPLIER_SPACE + F.col("l_suppkey")
+    supplier = F.col("l_suppkey").cast("bigint")
+    fits = supplier.isNull() | supplier.between(0, _SUPPLIER_SPACE - 1)
+    complaint = F.raise_error(F.concat(F.lit("no station can have the key "), supplier.cast("string"))).cast("bigint")
+    line = F.col("l_linenumber").cast("bigint") * _SUPPLIER_SPACE + F.when(fits, supplier).otherwise(complaint)
     ends = (
         _scan(spark, sf_dir, "lineitem")
         .groupBy(F.col("l_orderkey").alias("trip_id"))
