@@ -94,3 +94,12 @@ def test_no_rows(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF)
     assert docs.count() == 0
+
+
+def test_stages_keep_columns_with_clashing_names(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(30)
+    names = ["score", "n_words", "hit_words", "row", "spans", "d1", "k", "rows", "class_id", "Text2"]
+    more = docs.selectExpr("*", *[f"doc_id AS `{n}`" for n in names])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, more, SF)
+        assert out.columns == more.columns and all(r[n] == r.doc_id for r in out.collect() for n in names), name

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +21,14 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
     return numbered.select(*[F.col(f"c{columns.index(name)}").alias(name) for name in names])
 
 
+def in_plain_names(docs: DataFrame, used: tuple[str, ...], change: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``change`` of ``docs``, with the columns and names of ``docs``, while all columns but the used
+    ones have names that clash with nothing."""
+    names = docs.columns
+    plain = [n if n in used else f"_column{i}" for i, n in enumerate(names)]
+    return change(docs.toDF(*plain)).select(*plain).toDF(*names)
+
+
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a text column; a null text is empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripweave.llm.columns import pick, slices, text_buffers
+from tripweave.llm.columns import in_plain_names, pick, slices, text_buffers
 from tripweave.llm.words import LOWER, windows, words
 from tripweave.session import cut_lineage
 
@@ -22,13 +22,6 @@ SET_WORDS = 1_000_000
 # Windows of an item that are kept together.
 PIECE_WINDOWS = 10_000
 
-_FOUND = T.StructType(
-    [
-        T.StructField("hit_words", T.ArrayType(T.IntegerType())),
-        T.StructField("hit_items", T.ArrayType(T.StringType())),
-    ]
-)
-
 
 def _pieces(benchmark: DataFrame, n: int) -> DataFrame:
     """(item_id, words) of item parts that overlap by n - 1 words, so that each window is in one part."""
@@ -146,8 +139,7 @@ def contaminated(n_words: str = "n_words", hit_words: str = "hit_words"):
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW) -> DataFrame:
     """``docs`` without its contaminated documents; all others are kept as they are."""
-    marked = mark_contamination(docs, benchmark, n)
-    return marked.where(~contaminated()).select(*docs.columns)
+    return in_plain_names(docs, ("text",), lambda d: mark_contamination(d, benchmark, n).where(~contaminated()))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripweave.llm.columns import pick, slices, text_buffers
+from tripweave.llm.columns import in_plain_names, pick, slices, text_buffers
 from tripweave.llm.words import mix, powers, windows, words
 from tripweave.operators.graph import connected_components
 from tripweave.session import cut_lineage
@@ -361,6 +361,10 @@ def remove_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> Dat
     Ids that are null or occur more than once cannot tell rows apart, so those rows are matched to
     their classes by the digest of their text and numbered; all others are kept or dropped by id.
     """
+    return in_plain_names(docs, ("doc_id", "text"), lambda d: _one_of_each(d, threshold))
+
+
+def _one_of_each(docs: DataFrame, threshold: float) -> DataFrame:
     picked = pick(docs, "doc_id", "text")
     grouped = cut_lineage(_grouped(picked, threshold))
     counted = grouped.groupBy("doc_id").agg(F.count("*").alias("rows"))

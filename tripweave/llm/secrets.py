@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripweave.llm.columns import pick
+from tripweave.llm.columns import in_plain_names, pick
 from tripweave.session import cut_lineage
 
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -41,7 +41,7 @@ COMPLEMENTS = {"key": (IDENTIFIERS,), "login": (SECRETS,), "endpoint": (IDENTIFI
 # Code points between the starts of two parts that belong together.
 REACH = 400
 
-_REDACTED = "[SECRET]"
+_MARK = "[SECRET]"
 
 
 def _matches(text: Column, kind: str, pattern: str) -> Column:
@@ -188,6 +188,10 @@ def redact(docs: DataFrame, reach: int = REACH, length: str | None = None) -> Da
 
     Only documents in which some part was found are stored and joined to their spans.
     """
+    return in_plain_names(docs, ("text", length or "text"), lambda d: _redacted(d, reach, length))
+
+
+def _redacted(docs: DataFrame, reach: int, length: str | None) -> DataFrame:
     names = docs.columns
     text = F.coalesce(F.col("text"), F.lit(""))
     some = _any(text, [*BASE.values(), *WEAK.values()])
@@ -205,7 +209,7 @@ def redact(docs: DataFrame, reach: int = REACH, length: str | None = None) -> Da
     )
     kept = F.transform("pieces", lambda p: F.col("text").substr((p["from"] + 1).cast("int"), (p["to"] - p["from"]).cast("int")))
     tail = F.col("text").substr((F.col("last") + 1).cast("int"), F.length("text"))
-    clean = F.array_join(F.concat(kept, F.array(tail)), _REDACTED)
+    clean = F.array_join(F.concat(kept, F.array(tail)), _MARK)
     changed = held.join(pieces, "row", "left").withColumn("text", F.when(F.col("last").isNull(), F.col("text")).otherwise(clean))
     if length:
         changed = changed.withColumn(length, F.when(F.col("last").isNull(), F.col(length)).otherwise(F.length("text").cast("bigint")))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripweave.llm.boosting import boost, isotonic
-from tripweave.llm.columns import pick, ragged, slices, text_buffers
+from tripweave.llm.columns import in_plain_names, pick, ragged, slices, text_buffers
 from tripweave.llm.labelled import remainder, training_rows
 from tripweave.llm.words import Words, words
 from tripweave.session import cut_lineage
@@ -225,4 +225,5 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def remove_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without the documents that the model rejects."""
-    return score(docs, fit(docs, labels), "toxic_score").where(F.col("toxic_score") < THRESHOLD).select(*docs.columns)
+    model = fit(docs, labels)
+    return in_plain_names(docs, ("text",), lambda d: score(d, model).where(F.col("score") < THRESHOLD))
