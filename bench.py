@@ -24,6 +24,7 @@ import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripweave.operators import changes, documents, graph, quality, relational, synth
 from tripweave.plans.registry import REACHABLE_FROM
@@ -68,6 +69,17 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "graph_top_stations": lambda t: graph.top_stations(t["trips"], t["users"], t["stations"]),
     "graph_pagerank_top3": pagerank,
     "graph_component_sizes": components,
+    "q2_user_stats_nested": lambda t: documents.user_stats_nested(t["users"], t["trips"]),
+    "doc_lookup_user_trips": lambda t: documents.lookup(
+        t["users"].select("user_id"),
+        t["trips"].select("trip_id", F.col("user_id").alias("rider"), "total_cost"),
+        "user_id",
+        "rider",
+        "trips",
+        "trip_id",
+    ),
+    "trips_rejected": lambda t: quality.split(t["trips"], "trips", t)[1],
+    "check_summary": lambda t: quality.check_summary({n: t[n] for n in ("users", "stations", "trips", "events")}),
     "check_rows": lambda t: quality.check_rows({n: t[n] for n in ("users", "stations", "trips", "events")}),
     "evolve_backfill_table": lambda t: changes.backfill_battery(t["events"]),
     "evolve_backfill_nested": lambda t: changes.backfill_battery_nested(t["docs"]),

@@ -130,7 +130,8 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def star_schema_view(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """All tables, lazily.  ``trips_raw`` holds every trip, and ``events`` refers
-    to it; ``trips`` holds the trips that keep the row rules."""
+    to it; ``trips`` holds the trips that keep the row rules.  Key rules (unique, known rider and
+    stations) are not part of that; :func:`tripweave.operators.quality.split` applies them too."""
     raw = trips_raw(spark, sf_dir)
     return {
         "users": users(spark, sf_dir),
