@@ -10,7 +10,7 @@ import tiktoken
 from conftest import SMALL
 
 from tripweave.llm import bpe
-from tripweave.llm.chunks import chunks_of
+from tripweave.llm.chunks import Memory, chunks_of, text_of
 
 PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -35,7 +35,7 @@ def test_odd_texts(library):
         ids = b"".join(c[0] for c in coded)
         assert list(struct.unpack(f"<{len(ids) // 4}I", ids)) == library.encode_ordinary(text), text
         assert b"".join(c[1] for c in coded) == text.encode()
-        assert chunks_of(text) is None or "".join(chunks_of(text)) == text
+        assert "".join(map(text_of, chunks_of(text))) == text
 
 
 def test_whole_table(spark, library):
@@ -55,3 +55,11 @@ def test_nulls_repeats_and_other_columns(spark, library):
     got = bpe.encode_texts(docs, PATH, public_tokenizers.PATTERN, with_ids=False).collect()
     assert sorted(map(tuple, got), key=str) == sorted([(i, *digests(library, t)) for i, t in rows], key=str)
     assert bpe.encode_texts(docs.limit(0), PATH, public_tokenizers.PATTERN).count() == 0
+
+
+def test_memory_forgets_and_keeps():
+    memory = Memory(6)
+    for keys in ({1, 2}, {2, 3}, {4, 5}, {2, 6}, {1}, set(range(10))):
+        new = memory.missing(keys)
+        memory.add(new, [k * k for k in new])
+        assert all(memory.young[k] == k * k for k in keys)

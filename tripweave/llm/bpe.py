@@ -22,14 +22,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tripweave.llm.chunks import Encoder
+from tripweave.llm.chunks import Encoder, Memory
 from tripweave.llm.columns import pick, ragged, slices
 
 # Bytes of words in one recursive query.
 BATCH_BYTES = 400_000
 # Different chunks, and different words, that a worker remembers.
-REMEMBERED_CHUNKS = 250_000
-REMEMBERED_WORDS = 600_000
+REMEMBERED_CHUNKS = 500_000
+REMEMBERED_WORDS = 900_000
 # Words up to this many bytes contract one pair a round; longer ones all places of their least pair.
 SHORT = 64
 
@@ -42,13 +42,18 @@ _PLACED = """
 """
 
 # Every state has, for each word, its least pair: rank, left place and right place in one number.
+_LEAST = """(
+  WITH placed AS MATERIALIZED ({placed})
+  SELECT placed.*, l.least FROM placed JOIN (SELECT word, min(pair) AS least FROM placed GROUP BY word) l USING (word))
+"""
+
 _CONTRACT = f"""
 WITH RECURSIVE state AS (
-  SELECT *, min(pair) OVER (PARTITION BY word) AS least FROM ({_PLACED.format(tokens="SELECT word, pos, tok FROM start")})
+  {_LEAST.format(placed=_PLACED.format(tokens="SELECT word, pos, tok FROM start"))}
   UNION ALL
-  SELECT *, min(pair) OVER (PARTITION BY word) AS least FROM ({_PLACED.format(tokens='''
+  {_LEAST.format(placed=_PLACED.format(tokens='''
     SELECT word, pos, CASE WHEN pair = least THEN (least // 1048576)::INT ELSE tok END AS tok
-    FROM state WHERE least IS NOT NULL AND pos <> least % 1024''')})
+    FROM state WHERE least IS NOT NULL AND pos <> least % 1024'''))}
 )
 SELECT word, pos, tok FROM state WHERE least IS NULL ORDER BY word, pos
 """
@@ -184,16 +189,14 @@ def text_encoder(path: str, pattern: str) -> Encoder:
     if (path, pattern) in _ENCODERS:
         return _ENCODERS[path, pattern]
     split, words = regex.compile(pattern).findall, coder(path)
-    known: dict[str, tuple[bytes, bytes]] = {}
+    memory = Memory(REMEMBERED_WORDS)
 
     def encode(chunks: list[str]) -> list[tuple[bytes, bytes]]:
         pieces = [split(c) for c in chunks]
-        wanted = {w for p in pieces for w in p}
-        if len(known) + len(wanted) > REMEMBERED_WORDS:
-            known.clear()
-        new = [w for w in wanted if w not in known]
+        new = memory.missing({w for p in pieces for w in p})
         ids = words.encode([w.encode() for w in new])
-        known.update(zip(new, zip([i.astype("<u4").tobytes() for i in ids], words.decode(ids), strict=True), strict=True))
+        memory.add(new, zip([i.astype("<u4").tobytes() for i in ids], words.decode(ids), strict=True))
+        known = memory.young
         # Most chunks are one word, or a word and a sign.
         return [known[p[0]] if len(p) == 1 else (b"".join([known[w][0] for w in p]), b"".join([known[w][1] for w in p])) for p in pieces]
 

@@ -3,45 +3,67 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 # A space between two other white spaces is the one kind of space that may end up inside a match.
 _INNER_SPACE = re.compile(r"\s \s")
 
 
-def chunks_of(text: str) -> list[str] | None:
-    """Parts of ``text`` cut before each space, if no match of the public split pattern can cross such
-    a cut.
+def chunks_of(text: str) -> list[str | tuple[str]]:
+    """Keys of parts of ``text`` that can be encoded alone: ``x`` stands for a space and x, ``(x,)`` for x.
 
     The pattern takes a space either first in a match (before letters, digits or signs), or in a run
     of white space, which gives its last character to a following word.  So a cut before a space that
-    has something else on one side at least never changes the matches.  None if some space has white
-    space on both sides: such a text has to be split as a whole.
+    has something else on one side at least never changes the matches.  If some space has white
+    space on both sides, the text is one part.
     """
     if _INNER_SPACE.search(text):
-        return None
-    head, *rest = text.split(" ")
-    return [head, *[" " + x for x in rest]] if head else [" " + x for x in rest]
+        return [(text,)]
+    parts = text.split(" ")
+    parts[0] = (parts[0],)
+    return parts
+
+
+def text_of(key: str | tuple[str]) -> str:
+    return " " + key if isinstance(key, str) else key[0]
+
+
+class Memory:
+    """What is known of some keys, in two generations of at most half of ``most`` entries each.
+
+    What is asked for moves to the young one.  When that is full, it becomes the old one and the old
+    one is forgotten, so frequent keys stay.  The bound costs time and never changes a result.
+    """
+
+    def __init__(self, most: int):
+        self.half, self.young, self.old = most // 2, {}, {}
+
+    def missing(self, wanted: set) -> list:
+        """The keys that are not known; all others are then in ``young``."""
+        if len(self.young) + len(wanted) > self.half:
+            self.young, self.old = {}, self.young
+        away = [k for k in wanted if k not in self.young]
+        self.young.update((k, self.old[k]) for k in away if k in self.old)
+        return [k for k in away if k not in self.old]
+
+    def add(self, keys: list, values: Iterable) -> None:
+        self.young.update(zip(keys, values, strict=True))
 
 
 class Encoder:
-    """text -> list of encoded chunks, whose concatenation is the encoded text.
+    """texts -> lists of encoded chunks, whose concatenation is the encoded text.
 
-    ``encode`` turns different chunks (or whole texts) into bytes each.  What it gave is kept for
-    later texts, in at most ``most`` entries; then the memory is emptied and filled anew, so the
-    bound costs time and never changes a result.
+    ``encode`` gives a value for each of different chunks; it is asked once for a chunk as long as
+    that is remembered.
     """
 
     def __init__(self, encode: Callable[[list[str]], list], most: int):
-        self.encode, self.most, self.known = encode, most, {}
+        self.encode, self.memory = encode, Memory(most)
 
     def __call__(self, texts: Sequence[str]) -> list[list]:
         parts = [chunks_of(t) for t in texts]
-        parts = [[t] if p is None else p for t, p in zip(texts, parts, strict=True)]
-        wanted = {c for p in parts for c in p}
-        if len(self.known) + len(wanted) > self.most:
-            self.known = {c: self.known[c] for c in wanted if c in self.known}
-        new = [c for c in wanted if c not in self.known]
+        new = self.memory.missing(set().union(*parts))
         if new:
-            self.known.update(zip(new, self.encode(new), strict=True))
-        return [[self.known[c] for c in p] for p in parts]
+            self.memory.add(new, self.encode([text_of(c) for c in new]))
+        known = self.memory.young
+        return [[known[c] for c in p] for p in parts]
