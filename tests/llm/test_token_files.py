@@ -40,6 +40,7 @@ def test_random_access():
 
 def expected(rows):
     tokenizer = Tokenizer.from_file(PATH)
+    tokenizer.encode_special_tokens = True  # the names of special tokens in a text are ordinary text
     out, start = [], 0
     for doc_id, text in rows:
         ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [2]
@@ -57,7 +58,7 @@ def test_whole_table(spark):
 
 
 def test_nulls_and_repeats(spark):
-    rows = [(3, "b"), (1, None), (2, ""), (3, "b"), (None, "x  \n y")]
+    rows = [(3, "b"), (1, None), (2, ""), (3, "b"), (None, "x  \n y"), (5, "naïve <|endoftext|> 漢字 ñu 😀 it's \u1c80x")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("doc_id", "text", "1 as tie", "2 as ROW")
     got = sorted(map(tuple, tf.read_tokens(spark, tf.write_tokens(docs, PATH)).collect()), key=lambda r: r[1])
     assert got == expected(sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)))

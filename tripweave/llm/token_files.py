@@ -11,15 +11,18 @@ block starts on a byte, so that any block can be read alone and unpacked by nump
 
 from __future__ import annotations
 
+import json
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from typing import NamedTuple
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
+import regex
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -27,15 +30,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from tripweave.llm.chunks import Encoder
+from tripweave.llm.chunks import Encoder, Memory
 from tripweave.llm.columns import pick, slices
 from tripweave.session import cut_lineage, fresh_folder
 
 MAGIC = b"TIDS"
 BLOCK_IDS = 1 << 16
 END_ID = 2
-# Different chunks of text that a worker remembers.
-REMEMBERED = 900_000
+# Different chunks of text, and different words, that a worker remembers.
+REMEMBERED_CHUNKS = 700_000
+REMEMBERED_WORDS = 900_000
 
 _FOOTER = struct.Struct("<IIQQ")
 
@@ -139,23 +143,59 @@ class Reader:
             at += 1
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[str, Callable[[list[str]], list[list[bytes]]]] = {}
 
 
-def _encoder(path: str) -> Encoder:
-    """texts -> chunks of ids as bytes, by the tokenizers library; one for each worker process."""
-    if path not in _ENCODERS:
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
+def _splits_like_the_pattern(path: str) -> bool:
+    """Whether the file's tokenizer cuts texts by the public pattern and merges each match alone."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    cut, model = spec.get("pre_tokenizer") or {}, spec["model"]
+    plain = not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
+    own = cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space", True)
+    return own and plain and model.get("type") == "BPE" and spec.get("normalizer") is None
 
-        def encode(chunks: list[str]) -> list[bytes]:
-            out = []
-            for at in range(0, len(chunks), 20_000):
-                coded = tokenizer.encode_batch_fast(chunks[at : at + 20_000], add_special_tokens=False)
-                out += [np.array(c.ids, "<u4").tobytes() for c in coded]
-            return out
 
-        _ENCODERS[path] = Encoder(encode, REMEMBERED)
+def _encoder(path: str) -> Callable[[list[str]], list[list[bytes]]]:
+    """texts -> chunks of ids as bytes, by the tokenizers library; one for each worker process.
+
+    Where the tokenizer merges each match of the public pattern alone, each different match goes
+    through the library's model once.  Characters beyond the Latin letters, on which two
+    libraries might differ in what a letter is, and other tokenizers, go through the whole library.
+    """
+    if path in _ENCODERS:
+        return _ENCODERS[path]
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+
+    def whole(texts: list[str]) -> list[bytes]:
+        out = []
+        for at in range(0, len(texts), 20_000):
+            coded = tokenizer.encode_batch_fast(texts[at : at + 20_000], add_special_tokens=False)
+            out += [np.array(c.ids, "<u4").tobytes() for c in coded]
+        return out
+
+    if not _splits_like_the_pattern(path):
+        _ENCODERS[path] = lambda texts: [[x] for x in whole(texts)]
+        return _ENCODERS[path]
+
+    split, words, tokenize = regex.compile(public_tokenizers.PATTERN).findall, Memory(REMEMBERED_WORDS), tokenizer.model.tokenize
+    # The library's names of bytes: printable ones are themselves, the others follow from 256.
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    names = {**{b: chr(b) for b in printable}, **{b: chr(256 + k) for k, b in enumerate(others)}}
+
+    def encode(chunks: list[str]) -> list[bytes]:
+        latin = [c.isascii() or max(c) < "\u0250" for c in chunks]
+        rest = iter(whole([c for c, ok in zip(chunks, latin, strict=True) if not ok]))
+        pieces = [split(c) if ok else None for c, ok in zip(chunks, latin, strict=True)]
+        new = words.missing({w for p in pieces if p is not None for w in p})
+        named = [w.encode().decode("latin-1").translate(names) for w in new]
+        words.add(new, [struct.pack(f"<{len(ids)}I", *ids) for ids in ([t.id for t in tokenize(w)] for w in named)])
+        known = words.young
+        return [next(rest) if p is None else known[p[0]] if len(p) == 1 else b"".join([known[w] for w in p]) for p in pieces]
+
+    _ENCODERS[path] = Encoder(encode, REMEMBERED_CHUNKS)
     return _ENCODERS[path]
 
 
@@ -195,7 +235,8 @@ def write_tokens(docs: DataFrame, path: str, end_id: int = END_ID, folder: str |
     """Encode every text, append ``end_id``, and write the ids in ascending doc_id order.
 
     Rows are ordered by doc_id (nulls first), then by a hash of the text; rows equal in both are
-    equal.  A null or empty text has the end id alone.  Other columns of ``docs`` are not read.
+    equal.  A null or empty text has the end id alone.  The names of special
+    tokens in a text are ordinary text.  Other columns of ``docs`` are not read.
 
     Texts are range-partitioned before they are encoded, so sampling the ranges costs a scan and no
     encoding; a row number breaks ties, so that many equal rows do not share a task.  A task
