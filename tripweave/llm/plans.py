@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripweave.llm import bpe, decontamination, near_duplicates, neighbours, quality, repeats, secrets, sharding, token_files, toxicity
+from tripweave.llm import bpe, decontamination, licenses, near_duplicates, neighbours, quality, repeats, secrets, sharding, token_files, toxicity
 from tripweave.llm.columns import read
 
 
@@ -59,6 +59,10 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets(read(spark, sf_dir, "documents"))
 
 
+def _op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.licenses(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_classifier": _op1,
@@ -71,6 +75,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_nearest_neighbours": _op8,
         "op9_sharding": _op9,
         "op10_secret_scans": _op10,
+        "op11_license_scans": _op11,
     }
 
 
@@ -100,5 +105,49 @@ FROM doc_words d LEFT JOIN hit_words h USING (doc_id) LEFT JOIN hit_items t USIN
 """
 
 
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+
+def _rows(rows: list[tuple]) -> str:
+    """A list of tuples of texts and numbers as SQL."""
+    return ", ".join("(" + ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in row) + ")" for row in rows)
+
+
+def _op11_sql() -> str:
+    """Every block against every template, by counting common words."""
+    index = licenses.entries(licenses.TEMPLATES, licenses.THRESHOLD)
+    words = [(e.template.name, e.step, w) for e in index for w in sorted(e.words)]
+    marks = {e.template.name: set(licenses.words_of(e.template.marks)) for e in index}
+    marked = [(name, w) for name, some in marks.items() for w in sorted(some)]
+    about = [(e.template.name, e.template.label, len(e.words), e.need, len(marks[e.template.name])) for e in index]
+    phrases = [(phrase, label, len(phrase.split())) for phrase, label in licenses.PHRASES.items()]
+    return f"""
+WITH template_words(name, step, word) AS (VALUES {_rows(words)}),
+template_marks(name, word) AS (VALUES {_rows(marked)}),
+templates(name, label, size, need, n_marks) AS (VALUES {_rows(about)}),
+phrases(phrase, label, m) AS (VALUES {_rows(phrases)}),
+d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+each AS (SELECT r, unnest(w) AS word, unnest(range(len(w))) AS p FROM d),
+held AS (SELECT DISTINCT r, name, b, word FROM
+  (SELECT r, name, word, unnest([p // step, p // step - 1]) AS b FROM each JOIN template_words USING (word)) WHERE b >= 0),
+counted AS (SELECT r, name, b, count(*) AS common, count(m.word) AS told
+  FROM held LEFT JOIN template_marks m USING (name, word) GROUP BY ALL),
+found AS (SELECT r, CASE WHEN told = n_marks THEN label END AS label, common / size AS share
+  FROM counted JOIN templates USING (name) WHERE common >= need),
+starts AS (SELECT r, w, m, phrase, label, unnest(range(len(w) - m + 1)) AS p FROM d, phrases WHERE len(w) >= m),
+places AS (SELECT r, p, label FROM starts WHERE array_to_string(w[p + 1 : p + m], ' ') = phrase),
+base AS (SELECT r, count(*) AS n, min(p) AS first_p, max(p) AS last_p, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+  FROM places GROUP BY 1),
+every AS (SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+  FROM (SELECT r, label FROM found UNION ALL SELECT r, label FROM places) GROUP BY 1),
+best AS (SELECT r, max(share) AS share FROM found GROUP BY 1)
+SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_base, first_p AS first_word, last_p AS last_word,
+       coalesce(base.labels, '') AS base_labels, coalesce(every.labels, '') AS labels,
+       CASE WHEN n > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0)::DOUBLE END AS score
+FROM d LEFT JOIN base USING (r) LEFT JOIN every USING (r) LEFT JOIN best USING (r)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_benchmark_decontamination": _OP6}
+    return {"op6_benchmark_decontamination": _OP6, "op11_license_scans": _op11_sql()}
