@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripweave.llm import bpe, decontamination, licenses, near_duplicates, neighbours, quality, repeats, secrets, sharding, token_files, toxicity
+from tripweave.llm import bpe, collocations, decontamination, licenses, near_duplicates, neighbours, quality, repair, repeats, secrets, sharding, token_files, toxicity
 from tripweave.llm.columns import read
 
 
@@ -63,6 +63,14 @@ def _op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.licenses(read(spark, sf_dir, "documents"))
 
 
+def _op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
+def _op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(read(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_classifier": _op1,
@@ -76,6 +84,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_sharding": _op9,
         "op10_secret_scans": _op10,
         "op11_license_scans": _op11,
+        "op12_collocations": _op12,
+        "op13_conversation_repair": _op13,
     }
 
 
@@ -149,5 +159,35 @@ FROM d LEFT JOIN base USING (r) LEFT JOIN every USING (r) LEFT JOIN best USING (
 """
 
 
+# Every phrase of every piece counted by its text, and every cut of every candidate looked up.
+_OP12 = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang,
+  unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+pieces AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM d),
+totals AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM pieces GROUP BY 1),
+placed AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM pieces, range(1, 6) AS t(k) WHERE len(w) >= k),
+counts AS (SELECT lang, k AS m, array_to_string(w[i : i + k - 1], ' ') AS phrase, count(*)::HUGEINT AS f
+  FROM placed GROUP BY ALL HAVING count(*) >= 100),
+candidates AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE m > 1),
+cuts AS (SELECT lang, phrase, a, w, m, unnest(range(1, m)) AS k FROM candidates),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, l.f AS l, r.f AS r, n, (1000 * a * n) // (l.f * r.f) AS score,
+         row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY (1000 * a * n) // (l.f * r.f), k) AS nth
+  FROM cuts c JOIN totals USING (lang)
+  JOIN counts l ON l.lang = c.lang AND l.phrase = array_to_string(w[1 : k], ' ')
+  JOIN counts r ON r.lang = c.lang AND r.phrase = array_to_string(w[k + 1 : c.m], ' ')),
+lengths AS (SELECT lang, w, a, m, unnest(range(2, m)) AS k FROM candidates),
+spans AS (SELECT lang, w, a, k, unnest(range(1, m - k + 2)) AS i FROM lengths),
+inside AS (SELECT lang, array_to_string(w[i : i + k - 1], ' ') AS phrase, max(a) AS most FROM spans GROUP BY ALL),
+ranked AS (
+  SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank
+  FROM scored s LEFT JOIN inside i ON i.lang = s.lang AND i.phrase = s.phrase
+  WHERE nth = 1 AND (most IS NULL OR 100 * most < 100 * a))
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM ranked WHERE rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_benchmark_decontamination": _OP6, "op11_license_scans": _op11_sql()}
+    return {"op6_benchmark_decontamination": _OP6, "op11_license_scans": _op11_sql(), "op12_collocations": _OP12}
