@@ -20,7 +20,7 @@ def test_empty_tables(name, nothing, small):
     rows = df.collect()
     if name.startswith("check_") or name.endswith(("_count", "_modified", "_types")):
         assert rows and all(value == 0 for row in rows for value in row if isinstance(value, int))
-    elif name == "delete_users_cascade":
+    elif name in ("delete_users_cascade", "stored_delete_users"):
         assert [tuple(r)[1:] for r in rows] == [(0, None, None)] * 3
     else:
         assert rows == []

@@ -15,6 +15,7 @@ from tripweave.plans.registry import (
     LARGE_STATION,
     LATEST_TRIPS,
     REACHABLE_FROM,
+    REPEATED_BELOW,
     SEED,
 )
 
@@ -122,6 +123,8 @@ _REACHED = """
             SELECT dst FROM edge_set WHERE type <> 'PERFORMED' AND src IN (
                 SELECT dst FROM edge_set WHERE type = 'PERFORMED' AND src = {rider}))"""
 
+_REACHABLE = "SELECT station_id, name AS station_name, city FROM (" + _REACHED.format(rider=f"'U:{REACHABLE_FROM}'") + ")"
+
 _WITH_ERROR = "trip_id IN (SELECT trip_id FROM mobility_events WHERE event_type = 'ERROR' GROUP BY trip_id)"
 _STATION_NAME = "(SELECT name FROM stations WHERE station_id = t.{}_station)"
 _BOTH_STATIONS = f"{_STATION_NAME.format('start')} IS NOT NULL AND {_STATION_NAME.format('end')} IS NOT NULL"
@@ -321,6 +324,20 @@ def _battery(rule: str, broken: str) -> str:
     )
 
 
+# Riders of one country, their trips and their events are gone.
+_DELETED_USERS = _with(f"""
+    SELECT 'users' AS table_name, count(*) AS n_remaining, min(CAST(user_id AS VARCHAR)) AS min_id,
+           max(CAST(user_id AS VARCHAR)) AS max_id FROM users WHERE country <> '{DELETED_COUNTRY}'
+    UNION ALL
+    SELECT 'trips', count(*), min(CAST(trip_id AS VARCHAR)), max(CAST(trip_id AS VARCHAR)) FROM trips_raw t
+    WHERE NOT EXISTS (SELECT 1 FROM doomed d WHERE d.user_id = t.user_id)
+    UNION ALL
+    SELECT 'events', count(*), min(event_id), max(event_id) FROM mobility_events e
+    WHERE NOT EXISTS (SELECT 1 FROM trips_raw t JOIN doomed d ON d.user_id = t.user_id
+                      WHERE t.trip_id = e.trip_id)""",
+    extra={"doomed": f"SELECT user_id FROM users WHERE country = '{DELETED_COUNTRY}'"})
+
+
 # ---- Generator: the same draws --------------------------------------------------
 
 
@@ -456,9 +473,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT start_station AS src, end_station AS dst, count(*) AS n_trips FROM trips GROUP BY 1, 2"""),
         "graph_out_degree": _with("""
             SELECT start_station AS src, count(*) AS out_degree FROM trips GROUP BY 1"""),
-        "graph_reachable_stations": _with(
-            "SELECT station_id, name AS station_name, city FROM ("
-            + _REACHED.format(rider=f"'U:{REACHABLE_FROM}'") + ")", extra=_EDGE_SET),
+        "graph_reachable_stations": _with(_REACHABLE, extra=_EDGE_SET),
         "graph_path_stations": _with(
             "SELECT 'S:' || station_id AS id, name, city FROM ("
             + _REACHED.format(rider=f"'U:{REACHABLE_FROM}'") + ")", extra=_EDGE_SET),
@@ -497,23 +512,36 @@ def oracle_sql() -> dict[str, str]:
         "trips_accepted": _with(f"""
             SELECT trip_id FROM trips_raw WHERE trip_id NOT IN (SELECT trip_id FROM ({_REJECTED}))"""),
         "trips_rejected": _with(_REJECTED),
-        "delete_users_cascade": _with(f"""
-            SELECT 'users' AS table_name, count(*) AS n_remaining, min(CAST(user_id AS VARCHAR)) AS min_id,
-                   max(CAST(user_id AS VARCHAR)) AS max_id FROM users WHERE country <> '{DELETED_COUNTRY}'
-            UNION ALL
-            SELECT 'trips', count(*), min(CAST(trip_id AS VARCHAR)), max(CAST(trip_id AS VARCHAR)) FROM trips_raw t
-            WHERE NOT EXISTS (SELECT 1 FROM doomed d WHERE d.user_id = t.user_id)
-            UNION ALL
-            SELECT 'events', count(*), min(event_id), max(event_id) FROM mobility_events e
-            WHERE NOT EXISTS (SELECT 1 FROM trips_raw t JOIN doomed d ON d.user_id = t.user_id
-                              WHERE t.trip_id = e.trip_id)""",
-            extra={"doomed": f"SELECT user_id FROM users WHERE country = '{DELETED_COUNTRY}'"}),
+        "delete_users_cascade": _DELETED_USERS,
+        "stored_delete_users": _DELETED_USERS,
         "delete_stations_blocked": _with("""
             SELECT station_id FROM all_stations s
             WHERE EXISTS (SELECT 1 FROM trips t WHERE t.start_station = s.station_id)
                OR EXISTS (SELECT 1 FROM trips t WHERE t.end_station = s.station_id)""",
             extra={"all_stations": _ALL_STATIONS}),
         "graph_upsert_stations": _with(_ALL_STATIONS),
+        "stored_upsert_stations": _with(_ALL_STATIONS),
+        "stored_merge_edges": _with("SELECT src, dst, type FROM raw_edges", extra=_spread(0)),
+        "stored_delete_stations": _with("""
+            SELECT * FROM all_stations WHERE station_id IN
+                (SELECT start_station FROM trips UNION ALL SELECT end_station FROM trips)""",
+            extra={"all_stations": _ALL_STATIONS}),
+        "stored_backfill_events": _with(f"SELECT {_EVENT_COLUMNS}, {_LEVEL} AS battery_level FROM mobility_events"),
+        "stored_backfill_documents": _with(f"""
+            SELECT {_EVENT_COLUMNS}, {_LEVEL} AS battery_level FROM mobility_events
+            WHERE trip_id IN (SELECT trip_id FROM trips)"""),
+        "stored_backfill_count": _with("""
+            SELECT count(DISTINCT trip_id) AS n_trips FROM mobility_events
+            WHERE event_type = 'BATTERY' AND trip_id IN (SELECT trip_id FROM trips)"""),
+        "stored_insert_trips": _with(f"""
+            SELECT trip_id, rule, count(*) AS n FROM (
+                SELECT trip_id, rule FROM rejected JOIN trips_raw USING (trip_id)
+                UNION ALL SELECT trip_id, rule FROM rejected JOIN trips_raw USING (trip_id) WHERE total_cost < {REPEATED_BELOW}
+                UNION ALL SELECT trip_id, 'accepted' FROM good
+                UNION ALL SELECT trip_id, 'trips.trip_id.unique' FROM good WHERE total_cost < {REPEATED_BELOW})
+            GROUP BY trip_id, rule""",
+            extra={"rejected": _REJECTED, "good": "SELECT * FROM trips_raw WHERE trip_id NOT IN (SELECT trip_id FROM rejected)"}),
+        "stored_reachable_stations": _with(_REACHABLE, extra=_EDGE_SET),
         "evolve_add_column": _with(f"""
             SELECT {_EVENT_COLUMNS}, NULL::BIGINT AS battery_level FROM mobility_events"""),
         "evolve_backfill_table": _with(f"SELECT {_EVENT_COLUMNS}, {_LEVEL} AS battery_level FROM mobility_events"),

@@ -15,9 +15,10 @@ from pyspark.sql import types as T
 
 from tripweave import model
 from tripweave.functions.expressions import typed_event_value
-from tripweave.operators import changes, documents, graph, quality, relational, synth
+from tripweave.operators import changes, documents, graph, quality, relational, stored, synth
 from tripweave.session import fresh_folder
 from tripweave.sources.star_view import star_schema_view
+from tripweave.sources.store import Store
 from tripweave.sources.tables import read_table, write_table
 
 Tables = dict[str, DataFrame]
@@ -430,19 +431,23 @@ def _(t: Tables) -> DataFrame:
 @_query("delete_users_cascade")
 def _(t: Tables) -> DataFrame:
     doomed = t["users"].where(F.col("country") == DELETED_COUNTRY)
-    left = changes.delete_cascade(t["users"], t["trips_raw"], t["events"], doomed)
+    return _remaining(changes.delete_cascade(t["users"], t["trips_raw"], t["events"], doomed))
+
+
+def _remaining(left: Tables) -> DataFrame:
+    """How many rows each table has, and its least and greatest key."""
     parts = []
-    for name in ("users", "trips", "events"):
+    for name, df in left.items():
         key = F.col(model.KEYS[name]).cast("string")
         parts.append(
-            left[name].agg(
+            df.agg(
                 F.lit(name).alias("table_name"),
                 F.count("*").alias("n_remaining"),
                 F.min(key).alias("min_id"),
                 F.max(key).alias("max_id"),
             )
         )
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return reduce(DataFrame.unionByName, parts)
 
 
 @_query("delete_stations_blocked")
@@ -450,10 +455,8 @@ def _(t: Tables) -> DataFrame:
     return changes.delete_blocked(_all_stations(t), t["trips"])
 
 
-def _upserted(t: Tables) -> DataFrame:
-    """Two batches in one: a station for every rider, then every station again as
-    closed, without a capacity.  A key of both takes the later row; the keys that
-    only riders have are inserted, without a city."""
+def _station_batches(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """A station for every rider, and every station again as closed, without a capacity."""
     for_riders = t["users"].select(
         F.col("user_id").alias("station_id"), "name", F.length("surname").alias("capacity"), F.lit(1).alias("sequence")
     )
@@ -463,6 +466,13 @@ def _upserted(t: Tables) -> DataFrame:
         F.lit(None).cast("int").alias("capacity"),
         F.lit(2).alias("sequence"),
     )
+    return for_riders, closed
+
+
+def _upserted(t: Tables) -> DataFrame:
+    """Both batches in one.  A key of both takes the later row; the keys that
+    only riders have are inserted, without a city."""
+    for_riders, closed = _station_batches(t)
     batch = for_riders.unionByName(closed)
     return changes.upsert(t["stations"], batch, "station_id", ["name", "capacity"], "sequence")
 
@@ -628,3 +638,107 @@ def _(t: Tables) -> DataFrame:
 @_query("io_documents_modified")
 def _(t: Tables) -> DataFrame:
     return changes.modified_count(_stored_docs(t, t["trips"]))
+
+
+# ---- Stored tables that are changed in place ---------------------------------------
+
+_BUCKETS = 4
+REPEATED_BELOW = 1000  # trips cheaper than this come with a second batch again
+
+
+def _store(t: Tables, **tables: DataFrame) -> Store:
+    spark = t["trips"].sparkSession
+    store = Store(spark, fresh_folder(spark, "store"), stored.layouts(_BUCKETS))
+    store.create(tables)
+    return store
+
+
+@_query("stored_upsert_stations")
+def _(t: Tables) -> DataFrame:
+    store = _store(t, stations=t["stations"])
+    for batch in _station_batches(t):
+        stored.merge(store, "stations", batch, ["name", "capacity"], "sequence")
+    return store.read("stations")
+
+
+@_query("stored_merge_edges")
+def _(t: Tables) -> DataFrame:
+    """Edges of the cheap trips are stored; all edges, twice, come as a batch."""
+    cheap = t["trips_raw"].where(F.col("total_cost") < LOADED_FIRST)
+    store = _store(t, edges=graph.edges(cheap, t["users"], t["stations"]))
+    everything = graph.edges(t["trips_raw"], t["users"], t["stations"])
+    stored.merge(store, "edges", everything.unionByName(everything))
+    return store.read("edges")
+
+
+@_query("stored_delete_users")
+def _(t: Tables) -> DataFrame:
+    store = _store(t, users=t["users"], trips=t["trips_raw"], events=_events_v2(t))
+    stored.delete_users(store, t["users"].where(F.col("country") == DELETED_COUNTRY))
+    now = store.snapshot()
+    return _remaining({name: now.read(name) for name in ("users", "trips", "events")})
+
+
+@_query("stored_delete_stations")
+def _(t: Tables) -> DataFrame:
+    """All stations are to go, which trips forbid; then those that no trip uses."""
+    store = _store(t, stations=_all_stations(t), trips=t["trips"])
+    doomed = store.read("stations").select("station_id")
+    try:
+        stored.delete_stations(store, doomed)
+    except stored.Blocked as blocked:
+        stored.delete_stations(store, doomed.join(blocked.keys, "station_id", "left_anti"))
+    return store.read("stations")
+
+
+def _events_v2(t: Tables) -> DataFrame:
+    return changes.add_column(t["events"], "battery_level", T.IntegerType())
+
+
+@_query("stored_backfill_events")
+def _(t: Tables) -> DataFrame:
+    store = _store(t, events=_events_v2(t))
+    stored.backfill_events(store)
+    return store.read("events").select("event_id", "trip_id", "event_type", "value", "battery_level")
+
+
+def _document_store(t: Tables) -> Store:
+    docs = documents.embed_events(t["trips"], _events_v2(t), part_rows=_STORED_PART_ROWS)
+    return _store(t, trip_documents=docs)
+
+
+@_query("stored_backfill_documents")
+def _(t: Tables) -> DataFrame:
+    store = _document_store(t)
+    stored.backfill_documents(store)
+    filled = documents.unwind_events(store.read("trip_documents"))
+    return filled.select("event_id", "trip_id", "event_type", "value", "battery_level")
+
+
+@_query("stored_backfill_count")
+def _(t: Tables) -> DataFrame:
+    n = stored.backfill_documents(_document_store(t))
+    return t["trips"].sparkSession.range(1).select(F.lit(n).cast("bigint").alias("n_trips"))
+
+
+@_query("stored_insert_trips")
+def _(t: Tables) -> DataFrame:
+    """Two batches, each of them twice; the second brings the cheapest trips again."""
+    store = _store(t, users=t["users"], stations=t["stations"])
+    cost, trips = F.col("total_cost"), t["trips_raw"]
+    batches = {"first": trips.where(cost < LOADED_FIRST), "second": trips.where((cost >= LOADED_FIRST) | (cost < REPEATED_BELOW))}
+    for name, rows in batches.items():
+        stored.insert(store, "trips", name, rows)
+        stored.insert(store, "trips", name, rows)
+    now = store.snapshot()
+    accepted = now.read("trips").select("trip_id", F.lit("accepted").alias("rule"))
+    rejected = now.read("trips_rejected").select("trip_id", F.explode("broken_rules").alias("rule"))
+    return accepted.unionByName(rejected).groupBy("trip_id", "rule").agg(F.count("*").alias("n"))
+
+
+@_query("stored_reachable_stations")
+def _(t: Tables) -> DataFrame:
+    """One rider's question, answered from the rider's bucket alone."""
+    now = _store(t, users=t["users"], trips=t["trips"], stations=t["stations"]).snapshot()
+    trips, users = (now.lookup(name, user_id=REACHABLE_FROM) for name in ("trips", "users"))
+    return graph.reachable_stations(trips, users, now.read("stations"), REACHABLE_FROM)
