@@ -269,3 +269,44 @@ def test_a_delete_looks_at_touched_buckets_only(spark, travelled, monkeypatch):
     now = travelled.snapshot()
     assert len(now.with_keys("users", spark.createDataFrame([(3,)], "user_id bigint"))) == 1
     assert read == [("users", 1)] and len(now.files["users"]) > 3
+
+
+# ---- Filters --------------------------------------------------------------------
+
+
+def test_filters_never_miss_a_key(spark):
+    from tripweave.sources import filters
+
+    rows = spark.range(5000).selectExpr("id AS k", "CAST(id % 3 AS int) AS b")
+    parts = [filters.filter_rows(rows.where(c), "b", "k", 2) for c in ("k < 2000", "k >= 2000", "k < 10")]
+    stored_filters = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    asked = spark.range(0, 20_000).selectExpr("id AS k")
+    found = {(r.k, r.of) for r in filters.may_hold(stored_filters, asked, "k", 2).collect()}
+    assert {(k, k % 3) for k in range(5000)} <= found
+    assert len(found) - 5000 < 0.02 * 20_000 * 3  # few wrong answers: 1,667 keys have 65,536 bits
+    assert filters.may_hold(stored_filters.limit(0), asked, "k", 2).count() == 0
+
+
+def test_keys_are_checked_in_the_buckets_that_may_hold_them(spark, make, monkeypatch):
+    journeys = [h.trip(i, i % 40, 10, 20) for i in range(400)]
+    store = make(buckets=16, trips=h.trips(spark, *journeys), users=h.users(spark, *range(40)), stations=h.stations(spark, 10, 20))
+    now = store.snapshot()
+    assert len(now.may_hold("trips", "trip_id", spark.createDataFrame([(7,)], "trip_id bigint"))) == 1
+    assert now.may_hold("trips", "trip_id", spark.createDataFrame([(10**6,), (None,)], "trip_id bigint")) == []
+    assert h.rows(now.known("trips", "trip_id", spark.createDataFrame([(7,), (7,), (400,), (None,)], "trip_id bigint"))) == [(7,)]
+    batch = h.trips(spark, h.trip(7, 1, 10, 20), h.trip(7, 1, 10, 20), h.trip(500, 99, 10, 77), h.trip(501, 1, 20, 10), h.trip(501, 2, 20, 10))
+    assert h.counts(stored.check_unique(store, "trips", batch)) == {"trips.trip_id.unique": 3}
+    assert h.counts(stored.check_foreign_keys(store, "trips", batch)) == {"trips.user_id.foreign_key": 1, "trips.end_station.foreign_key": 1}
+    gone = h.events(spark, h.event("a", 7, "GPS", "1,2"), h.event("b", 900, "GPS", "1,2"))
+    assert h.counts(stored.check_foreign_keys(store, "events", gone)) == {"events.trip_id.foreign_key": 1}
+
+
+def test_filters_grow_with_the_table_and_outlive_deletes(spark, make):
+    store = make(buckets=4, trips=h.trips(spark, h.trip(1, 1, 10, 20)), users=h.users(spark, 1, 2), stations=h.stations(spark, 10, 20))
+    assert stored.insert(store, "trips", "more", h.trips(spark, h.trip(2, 2, 10, 20)))
+    keys = spark.createDataFrame([(1,), (2,), (3,)], "trip_id bigint")
+    assert h.rows(store.snapshot().known("trips", "trip_id", keys)) == [(1,), (2,)]
+    stored.delete_users(store, spark.createDataFrame([(1,)], "user_id bigint"))
+    assert h.rows(store.snapshot().known("trips", "trip_id", keys)) == [(2,)]
+    assert stored.insert(store, "trips", "again", h.trips(spark, h.trip(1, 2, 10, 20)))
+    assert h.rows(store.snapshot().known("trips", "trip_id", keys)) == [(1,), (2,)]

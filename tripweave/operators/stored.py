@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from tripweave import model
 from tripweave.operators import changes, quality
 from tripweave.session import cut_lineage, fresh_folder, small_side
-from tripweave.sources.store import Layout, Snapshot, Store
+from tripweave.sources.store import File, Layout, Snapshot, Store, Written, joined
 from tripweave.sources.tables import read_table, write_table
 
 
@@ -36,13 +36,14 @@ EDGES = T.StructType([T.StructField(c, T.StringType()) for c in ("src", "dst", "
 
 def layouts(buckets: int = 64) -> dict[str, Layout]:
     """The tables of the model.  Trips lie by rider and events by trip, as they are asked for and deleted;
-    events have their battery level from the first, null until it is filled."""
+    events have their battery level from the first, null until it is filled.  Trips have filters of their own
+    keys, by which events and further trips are checked."""
     rejected = T.StructType([*model.TRIPS.fields, T.StructField("broken_rules", T.ArrayType(T.StringType()))])
     return {
         "users": Layout(model.USERS, ("user_id",), ("user_id",), buckets, ("user_id",)),
         "stations": Layout(model.STATIONS, ("station_id",), ("station_id",), buckets, ("station_id",)),
-        "trips": Layout(model.TRIPS, ("trip_id",), ("user_id",), buckets, ("user_id", "trip_id")),
-        "events": Layout(EVENTS_V2, ("event_id",), ("trip_id",), buckets, ("trip_id", "event_id")),
+        "trips": Layout(model.TRIPS, ("trip_id",), ("user_id",), buckets, ("user_id", "trip_id"), ("trip_id",)),
+        "events": Layout(EVENTS_V2, ("event_id",), ("trip_id",), buckets, ("trip_id", "event_id"), ("event_id",)),
         "trips_rejected": Layout(rejected, ("trip_id",), ("user_id",), buckets),
         "edges": Layout(EDGES, ("src", "dst", "type"), ("src",), buckets, ("src",)),
         "trip_documents": Layout(model.TRIP_DOCUMENT_V2, ("trip_id", "part"), ("trip_id",), buckets, ("trip_id",)),
@@ -72,22 +73,22 @@ def merge(store: Store, table: str, batch: DataFrame, properties: list[str] | No
     if not properties:
         new = batch.select(*key).distinct().join(base.select(*key), key, "left_anti")
         rest = [c for c in layout.schema.names if c not in key]
-        store.commit({table: store.write(table, new.withColumns({c: F.lit(None) for c in rest}))})
+        store.commit(store.write(table, new.withColumns({c: F.lit(None) for c in rest})))
         return
     one = F.struct(*key)
     merged = changes.upsert(base.withColumn("_id", one), batch.withColumn("_id", one), "_id", properties, sequence)
     merged = merged.select(*[F.col("_id")[c].alias(c) if c in key else F.col(c) for c in layout.schema.names])
-    store.commit({table: store.write(table, merged)}, {table: hit})
+    store.commit(store.write(table, merged), {table: hit})
 
 
 # ---- Deletes ------------------------------------------------------------------
 
 
-def _without(now: Snapshot, table: str, keys: DataFrame) -> tuple[list, list]:
+def _without(now: Snapshot, table: str, keys: DataFrame) -> tuple[Written, list[File]]:
     """(new files, files that go) for a table without the rows whose values are among ``keys``."""
     hit = now.with_keys(table, keys)
     left = now.read(table, hit).join(keys.distinct(), keys.columns, "left_anti")
-    return (now.store.write(table, left) if hit else []), hit
+    return (now.store.write(table, left) if hit else {}), hit
 
 
 def delete_users(store: Store, doomed: DataFrame) -> None:
@@ -97,7 +98,7 @@ def delete_users(store: Store, doomed: DataFrame) -> None:
     trips = now.read("trips", now.near("trips", riders)).join(riders, "user_id", "left_semi")
     trips = cut_lineage(trips.select("trip_id").where("trip_id IS NOT NULL"))
     parts = {"users": _without(now, "users", riders), "trips": _without(now, "trips", riders), "events": _without(now, "events", trips)}
-    store.commit({t: new for t, (new, _) in parts.items()}, {t: old for t, (_, old) in parts.items()})
+    store.commit(joined(*[new for new, _ in parts.values()]), {t: old for t, (_, old) in parts.items()})
 
 
 def delete_stations(store: Store, doomed: DataFrame) -> None:
@@ -110,7 +111,7 @@ def delete_stations(store: Store, doomed: DataFrame) -> None:
     if n:
         raise Blocked("stations", blocked)
     new, old = _without(now, "stations", doomed)
-    store.commit({"stations": new}, {"stations": old})
+    store.commit(new, {"stations": old})
 
 
 # ---- Backfill -----------------------------------------------------------------
@@ -128,7 +129,7 @@ def _rewritten(now: Snapshot, table: str, needs: Column, columns: list[str], cha
     seen = Observation()
     before = now.read(table, hit).observe(seen, *[F.count_if(c).alias(n) for n, c in counts.items()])
     new = now.store.write(table, change(before))
-    now.store.commit({table: new}, {table: hit})
+    now.store.commit(new, {table: hit})
     return seen.get
 
 
@@ -173,19 +174,15 @@ def backfill_documents(store: Store, strict: bool = True) -> int:
 
 
 def _parents(now: Snapshot, table: str, rows: DataFrame) -> dict[str, DataFrame]:
-    """For each table that the rows refer to, the stored rows of the buckets that may hold the keys."""
-    out: dict[str, DataFrame] = {}
+    """For each table that the rows refer to, those of the keys they use that are stored."""
     wanted: dict[str, list[str]] = {}
     for fk in model.FOREIGN_KEYS:
         if fk.child == table:
             wanted.setdefault(fk.parent, []).append(fk.column)
+    out = {}
     for parent, columns in wanted.items():
-        layout, key = now.store.layouts[parent], model.KEYS[parent]
-        if layout.bucket_by == (key,):
-            keys = rows.select(F.explode(F.array(*columns)).alias(key))
-            out[parent] = now.read(parent, now.near(parent, keys))
-        else:
-            out[parent] = now.read(parent)
+        key = model.KEYS[parent]
+        out[parent] = now.known(parent, key, rows.select(F.explode(F.array(*columns)).alias(key)))
     return out
 
 
@@ -213,14 +210,30 @@ def insert(store: Store, table: str, batch: str, rows: DataFrame) -> bool:
     write_table(marked, staged)
     marked = read_table(store.spark, staged, schema)
     good = F.size("broken_rules") == 0
-    added = {table: store.write(table, marked.where(good)), table + REJECTED: store.write(table + REJECTED, marked.where(~good))}
-    store.commit(added, batch=batch)
+    store.commit(joined(store.write(table, marked.where(good)), store.write(table + REJECTED, marked.where(~good))), batch=batch)
     return True
 
 
 def _stored_keys(now: Snapshot, table: str, rows: DataFrame) -> DataFrame:
     """(_stored): the keys of ``rows`` that the table holds, each once."""
     key = model.KEYS[table]
-    keys = rows.select(key).where(F.col(key).isNotNull()).distinct()
-    found = now.read(table).select(key).join(keys, key, "left_semi").distinct()
-    return small_side(found.select(F.col(key).alias("_stored")))[0]
+    return small_side(now.known(table, key, rows.select(key)).select(F.col(key).alias("_stored")))[0]
+
+
+# ---- Checks against what is stored -------------------------------------------------
+
+
+def check_unique(store: Store, table: str, batch: DataFrame) -> DataFrame:
+    """(rule, n_violations): rows of ``batch`` whose key is stored or stands in the batch before."""
+    key, now = model.KEYS[table], store.snapshot()
+    per_key = batch.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
+    taken = now.known(table, key, per_key.select(key)).withColumn("taken", F.lit(1))
+    extra = F.col("n") - 1 + F.coalesce("taken", F.lit(0))
+    rule = F.lit(f"{table}.{key}.unique").alias("rule")
+    return per_key.join(taken, key, "left").agg(F.coalesce(F.sum(extra), F.lit(0)).alias("n_violations")).select(rule, "n_violations")
+
+
+def check_foreign_keys(store: Store, table: str, batch: DataFrame) -> DataFrame:
+    """(rule, n_violations): rows of ``batch`` whose parent is not stored, for each foreign key."""
+    fks = [fk for fk in model.FOREIGN_KEYS if fk.child == table]
+    return quality.count_orphans(batch, fks, _parents(store.snapshot(), table, batch))

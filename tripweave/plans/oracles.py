@@ -14,6 +14,7 @@ from tripweave.plans.registry import (
     EVENTS_PER_TRIP,
     LARGE_STATION,
     LATEST_TRIPS,
+    LOADED_FIRST,
     REACHABLE_FROM,
     REPEATED_BELOW,
     SEED,
@@ -541,6 +542,19 @@ def oracle_sql() -> dict[str, str]:
                 UNION ALL SELECT trip_id, 'trips.trip_id.unique' FROM good WHERE total_cost < {REPEATED_BELOW})
             GROUP BY trip_id, rule""",
             extra={"rejected": _REJECTED, "good": "SELECT * FROM trips_raw WHERE trip_id NOT IN (SELECT trip_id FROM rejected)"}),
+        "stored_check_keys": _with("""
+            SELECT 'trips.trip_id.unique' AS rule,
+                   (SELECT count(*) FROM batch JOIN base USING (trip_id)) AS n_violations
+            UNION ALL SELECT 'trips.user_id.foreign_key',
+                   (SELECT count(*) FROM batch WHERE user_id NOT IN (SELECT user_id FROM users))
+            UNION ALL SELECT 'trips.start_station.foreign_key',
+                   (SELECT count(*) FROM batch WHERE start_station NOT IN (SELECT station_id FROM stations))
+            UNION ALL SELECT 'trips.end_station.foreign_key',
+                   (SELECT count(*) FROM batch WHERE end_station NOT IN (SELECT station_id FROM stations))
+            UNION ALL SELECT 'events.trip_id.foreign_key',
+                   (SELECT count(*) FROM mobility_events WHERE trip_id NOT IN (SELECT trip_id FROM base))""",
+            extra={"base": f"SELECT * FROM trips_raw WHERE total_cost < {LOADED_FIRST}",
+                   "batch": f"SELECT * FROM trips_raw WHERE total_cost >= {LOADED_FIRST} OR total_cost < {REPEATED_BELOW}"}),
         "stored_reachable_stations": _with(_REACHABLE, extra=_EDGE_SET),
         "evolve_add_column": _with(f"""
             SELECT {_EVENT_COLUMNS}, NULL::BIGINT AS battery_level FROM mobility_events"""),

@@ -742,3 +742,15 @@ def _(t: Tables) -> DataFrame:
     now = _store(t, users=t["users"], trips=t["trips"], stations=t["stations"]).snapshot()
     trips, users = (now.lookup(name, user_id=REACHABLE_FROM) for name in ("trips", "users"))
     return graph.reachable_stations(trips, users, now.read("stations"), REACHABLE_FROM)
+
+
+@_query("stored_check_keys")
+def _(t: Tables) -> DataFrame:
+    """Dear trips and their events are checked against the cheap ones that are stored."""
+    trips, cost = t["trips_raw"], F.col("total_cost")
+    store = _store(t, trips=trips.where(cost < LOADED_FIRST), users=t["users"], stations=t["stations"])
+    batch = trips.where((cost >= LOADED_FIRST) | (cost < REPEATED_BELOW))
+    unique = stored.check_unique(store, "trips", batch)
+    return unique.unionByName(stored.check_foreign_keys(store, "trips", batch)).unionByName(
+        stored.check_foreign_keys(store, "events", t["events"])
+    )

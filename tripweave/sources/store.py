@@ -7,6 +7,9 @@ log: files that came, files that went.  All tables of a store share one log, so
 several tables or none; a run that breaks before its commit leaves everything as it was, and what
 it wrote is never read.  Files that a change does not touch keep their names.
 
+Columns that a table is not dealt by may have stored filters, which tell the buckets that can hold a key
+(:mod:`tripweave.sources.filters`).  They are a table of the store too, and grow with it.
+
 The log is written and read by Spark.  What the driver holds is one entry per live file, as it does for
 any table it scans.  One writer at a time; readers see the last commit.
 """
@@ -21,7 +24,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripweave.session import small_side
+from tripweave.session import cut_lineage, small_side
+from tripweave.sources.filters import filter_rows, may_hold
 
 BUCKET = "bucket"
 _LOG = "seq bigint, batch string, table string, file string, bucket int, n_rows bigint, live boolean"
@@ -30,13 +34,16 @@ _IN_TABLE = r"(run=[^/]+/bucket=[^/]+/[^/]+)$"
 
 @dataclass(frozen=True)
 class Layout:
-    """How a table is stored: its columns, its key, the columns it is dealt by, and the order in files."""
+    """How a table is stored: its columns, its key, the columns it is dealt by, the order in files, and
+    the columns with filters of so many cells a bucket."""
 
     schema: T.StructType
     key: tuple[str, ...]
     bucket_by: tuple[str, ...]
     buckets: int = 64
     sort_by: tuple[str, ...] = ()
+    filters: tuple[str, ...] = ()
+    filter_cells: int = 8
 
     def bucket(self, *values: Column) -> Column:
         """The bucket of a row, or of given values of ``bucket_by``."""
@@ -44,6 +51,22 @@ class Layout:
         return F.pmod(F.xxhash64(*typed), F.lit(self.buckets)).cast("int")
 
 
+FILTERS = "key_filters"
+_FILTERS = Layout(
+    T.StructType().add("table", "string").add("column", "string").add("of", "integer").add("cell", "integer").add("bits", "binary"),
+    ("table", "column", "of", "cell"), ("table", "column", "cell"), 16, ("table", "column"),
+)
+Written = dict[str, "list[File]"]  # files of each table
+
+
+def joined(*written: Written) -> Written:
+    out: Written = {}
+    for some in written:
+        for table, files in some.items():
+            out[table] = out.get(table, []) + files
+    return out
+
+
 def _nullable(kind: T.DataType) -> T.DataType:
     """The type with nulls allowed everywhere, as files may hold them."""
     if isinstance(kind, T.StructType):
@@ -64,7 +87,7 @@ class Store:
     """The stored tables of one folder."""
 
     def __init__(self, spark: SparkSession, root: str, layouts: dict[str, Layout]):
-        self.spark, self.root, self.layouts = spark, root.rstrip("/"), layouts
+        self.spark, self.root, self.layouts = spark, root.rstrip("/"), layouts | {FILTERS: _FILTERS}
 
     # ---- Reading ----
 
@@ -73,7 +96,7 @@ class Store:
 
     def create(self, tables: dict[str, DataFrame]) -> None:
         """Start a new store with these tables; others of its layouts are empty."""
-        self.commit({name: self.write(name, df) for name, df in tables.items()}, first=True)
+        self.commit(joined(*[self.write(name, df) for name, df in tables.items()]), first=True)
 
     def snapshot(self) -> Snapshot:
         """The tables as of the last commit."""
@@ -95,8 +118,8 @@ class Store:
 
     # ---- Writing ----
 
-    def write(self, table: str, df: DataFrame) -> list[File]:
-        """New files with the rows of ``df``; they count only after a commit.
+    def write(self, table: str, df: DataFrame) -> Written:
+        """New files with the rows of ``df``, and with the filters of their keys; they count only after a commit.
 
         Rows are dealt by bucket; one with very many rows is split over several tasks.
         """
@@ -106,12 +129,18 @@ class Store:
         if layout.sort_by:
             dealt = dealt.sortWithinPartitions(BUCKET, *layout.sort_by)
         dealt.write.partitionBy(BUCKET).parquet(run)
-        written = self._scan(table, [run]).groupBy(_file_of(), BUCKET).agg(F.count("*").alias("n"))
-        return [File(*row) for row in written.collect()]
-
-    def commit(
-        self, added: dict[str, list[File]], removed: dict[str, list[File]] | None = None, batch: str | None = None, first: bool = False
-    ) -> None:
+        written = self._scan(table, [run])
+        counts = written.groupBy(_file_of(), BUCKET).agg(F.count("*").alias("n"))
+        files = [File(*row) for row in counts.collect()]
+        if not files:
+            return {table: []}
+        parts = [{table: files}]
+        for column in layout.filters:
+            rows = filter_rows(written, BUCKET, column, layout.filter_cells)
+            parts.append(self.write(FILTERS, rows.withColumns({"table": F.lit(table), "column": F.lit(column)})))
+        return joined(*parts)
+
+    def commit(self, added: Written, removed: Written | None = None, batch: str | None = None, first: bool = False) -> None:
         """Make the added files count and the removed ones not, all at once."""
         seq = 0 if first else 1 + self._log().agg(F.max("seq")).first()[0]
         lines = [(seq, batch, None, None, None, None, True)]
@@ -170,6 +199,25 @@ class Snapshot:
         paths = {row[0] for row in rows.select("file").distinct().collect()}
         return [f for f in self.files[table] if f.path in paths]
 
+    def may_hold(self, table: str, column: str, keys: DataFrame) -> list[File]:
+        """The files of the buckets that may hold one of ``keys`` (``column``), as far as can be told
+        without looking: by the hash that deals the table, or by its filters."""
+        layout = self.store.layouts[table]
+        if layout.bucket_by == (column,):
+            return self.near(table, keys)
+        if column not in layout.filters:
+            return self.files[table]
+        stored = self.read(FILTERS).where((F.col("table") == table) & (F.col("column") == column)).select("of", "cell", "bits")
+        found = may_hold(stored, keys.where(F.col(column).isNotNull()).distinct(), column, layout.filter_cells)
+        return self.of_buckets(table, [row[0] for row in found.select("of").distinct().collect()])
+
+    def known(self, table: str, column: str, keys: DataFrame) -> DataFrame:
+        """(column): those of ``keys`` that the table holds, each once.  Only the key column of buckets
+        that may hold one is read."""
+        keys = cut_lineage(keys.select(F.col(column).cast(self.store.layouts[table].schema[column].dataType)).distinct())
+        rows = self.read(table, self.may_hold(table, column, keys)).select(column)
+        return rows.join(keys, column, "left_semi").distinct()
+
     def with_keys(self, table: str, keys: DataFrame) -> list[File]:
         """The files that hold a row whose values are among ``keys``, columns of the table.
 
