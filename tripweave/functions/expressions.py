@@ -24,18 +24,22 @@ def minutes_between(start: Col, end: Col) -> Column:
     return whole.cast("double") + F.extract(F.lit("SECOND"), span).cast("double") / 60.0
 
 
-def micros_between(start: Col, end: Col) -> Column:
-    """Whole microseconds from ``start`` to ``end``, as a decimal whose sum is exact in any order."""
+def minutes_and_micros(start: Col, end: Col) -> tuple[Column, Column]:
+    """Whole minutes from ``start`` to ``end`` and the microseconds left over, as two bigints.
+
+    Both add up exactly in any order, and the microseconds of a minute, unlike those of a
+    whole duration, leave room for 150 billion of them in a sum.
+    """
     span = _col(end) - _col(start)
     hours = F.extract(F.lit("DAY"), span) * 24 + F.extract(F.lit("HOUR"), span)
     minutes = hours * 60 + F.extract(F.lit("MINUTE"), span)
-    micros = minutes.cast("bigint") * 60_000_000 + (F.extract(F.lit("SECOND"), span) * 1_000_000).cast("bigint")
-    return micros.cast("decimal(18,0)")
+    return minutes.cast("bigint"), (F.extract(F.lit("SECOND"), span) * 1_000_000).cast("bigint")
 
 
-def mean_minutes(micros: Col, n: Col) -> Column:
-    """The mean in minutes of ``n`` durations that add up to ``micros``; divided once, then rounded."""
-    return round_half_up(_col(micros).cast("double") / (_col(n).cast("double") * 60_000_000.0))
+def mean_minutes(minutes: Col, micros: Col, n: Col) -> Column:
+    """The mean in minutes of ``n`` durations that add up to so much; put together exactly, divided once, then rounded."""
+    whole = _col(minutes).cast("decimal(30,0)") * F.lit(60_000_000).cast("decimal(8,0)") + _col(micros).cast("decimal(30,0)")
+    return round_half_up(whole.cast("double") / (_col(n).cast("double") * 60_000_000.0))
 
 
 def round_half_up(value: Col, digits: int = 2) -> Column:

@@ -119,7 +119,7 @@ STAGED_USERS = T.StructType(
     ]
 )
 STAGED_DURATIONS = T.StructType(
-    [T.StructField("user_id", T.StringType()), T.StructField("duration_us", T.DecimalType(18, 0))]
+    [T.StructField("user_id", T.StringType()), T.StructField("minutes", T.LongType()), T.StructField("micros", T.LongType())]
 )
 
 # ---- Document shape: events are embedded in their trip ---------------------

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 
-from tripweave.functions.expressions import mean_minutes, micros_between, null_as
+from tripweave.functions.expressions import mean_minutes, minutes_and_micros, null_as
 from tripweave.session import cut_lineage, small_side
 
 PART_ROWS = 10_000
@@ -210,19 +210,16 @@ def user_stats_nested(users: DataFrame, trips: DataFrame, part_rows: int = PART_
         ["start_time", "end_time"],
         part_rows,
     )
-    micros = F.transform("trips", lambda t: micros_between(t["start_time"], t["end_time"]))
-    nothing = F.lit(0).cast("decimal(28,0)")
-    per_part = nested.select(
-        "user_id",
-        "name",
-        "surname",
-        F.size("trips").alias("n"),
-        F.aggregate(micros, nothing, lambda total, m: (total + m).cast("decimal(28,0)")).alias("micros"),
-    )
+    def total(part: int) -> Column:
+        values = F.transform("trips", lambda t: minutes_and_micros(t["start_time"], t["end_time"])[part])
+        return F.aggregate(values, F.lit(0).cast("bigint"), lambda so_far, v: so_far + v)
+
+    sums = {"minutes": total(0), "micros": total(1), "n": F.size("trips")}
+    per_part = nested.select("user_id", "name", "surname", *[c.alias(name) for name, c in sums.items()])
     per_user = per_part.groupBy("user_id", "name", "surname").agg(
-        F.sum("n").alias("num_trips"), F.sum("micros").alias("micros")
+        F.sum("n").alias("num_trips"), F.sum("minutes").alias("minutes"), F.sum("micros").alias("micros")
     )
-    mean = F.when(F.col("num_trips") > 0, mean_minutes("micros", "num_trips")).otherwise(0.0)
+    mean = F.when(F.col("num_trips") > 0, mean_minutes("minutes", "micros", "num_trips")).otherwise(0.0)
     return per_user.select("user_id", "name", "surname", "num_trips", mean.alias("avg_duration_minutes"))
 
 

@@ -306,6 +306,25 @@ def connected_components(edges: DataFrame, stations: DataFrame) -> DataFrame:
     )
 
 
+def merged_components(labels: DataFrame, edges: DataFrame, stations: DataFrame) -> DataFrame:
+    """(station_id, component) after ``edges`` were added to the graph that ``labels`` came from, and
+    ``stations`` to its stations; the edges of that graph are not read again.
+
+    The new edges are contracted to links between stored components, which join; all other components
+    keep their label.  The result is the same as that of the whole graph at once.
+    """
+    new = stations.select("station_id").distinct().join(labels.select("station_id"), "station_id", "left_anti")
+    known = labels.select("station_id", "component").unionByName(new.withColumn("component", F.col("station_id")))
+    ends = [known.select(F.col("station_id").alias(c), F.col("component").alias(f"{c}_root")) for c in ("src", "dst")]
+    linked = edges.where(F.col("src") != F.col("dst")).select("src", "dst").join(ends[0], "src").join(ends[1], "dst")
+    linked = linked.where(F.col("src_root") != F.col("dst_root")).select(F.col("src_root").alias("src"), F.col("dst_root").alias("dst"))
+    linked = cut_lineage(linked.distinct())
+    touched = linked.select(F.explode(F.array("src", "dst")).alias("station_id")).distinct()
+    moved = connected_components(linked, touched).where(F.col("station_id") != F.col("component"))
+    moved, _n = small_side(moved.select(F.col("station_id").alias("component"), F.col("component").alias("joined")))
+    return known.join(moved, "component", "left").select("station_id", F.coalesce("joined", "component").alias("component"))
+
+
 def _moves(pairs: DataFrame, rounds: int) -> DataFrame:
     """(a, root): where each linked station moves in this round, from the stored pairs alone."""
     seed = F.lit(rounds)

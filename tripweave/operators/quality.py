@@ -305,6 +305,26 @@ def check_documents(docs: DataFrame, users: DataFrame, stations: DataFrame) -> D
     )
 
 
+def check_versions(docs: DataFrame, versions: tuple[int, ...] = (1, 2)) -> DataFrame:
+    """(version, rule, n_violations) of trip documents of mixed schema versions: each is judged by the rules
+    of its own version.  A document of the first version may not have a battery level at all."""
+    rules = document_rules(docs)
+    late = "trips.events.battery_level.range"
+    first = F.col("version") == 1
+    absent = F.exists("events.battery_level", lambda v: v.isNotNull())
+    own = {name: ~first & broken if name == late else broken for name, broken in rules.items()}
+    own["trips.events.battery_level.absent"] = first & F.coalesce(absent, F.lit(False))
+    flags = [broken.alias(f"f{i}") for i, broken in enumerate(own.values())]
+    flagged = with_parts(docs).select("trip_id", "parts", "version", *flags)
+    # A document in parts counts once per rule.
+    whole = flagged.where(F.col("parts") == 1).drop("trip_id", "parts")
+    cut = flagged.where(F.col("parts") > 1).groupBy("trip_id", "version").agg(*[F.bool_or(f"f{i}").alias(f"f{i}") for i in range(len(own))])
+    asked = [(v, name, F.count_if((F.col("version") == v) & F.col(f"f{i}"))) for v in versions for i, name in enumerate(own)]
+    counts = whole.unionByName(cut.drop("trip_id")).agg(*[n.alias(f"n{i}") for i, (_, _, n) in enumerate(asked)])
+    rows = [F.struct(F.lit(v).alias("version"), F.lit(name).alias("rule"), F.col(f"n{i}").alias("n_violations")) for i, (v, name, _) in enumerate(asked)]
+    return counts.select(F.inline(F.array(*rows)))
+
+
 def _json_shape(value: Column) -> Column:
     """The JSON type of a variant: BIGINT, DECIMAL(..), DOUBLE, STRING, BOOLEAN, VOID, ARRAY<..> or OBJECT<..>."""
     return F.schema_of_variant(value)

@@ -3,10 +3,12 @@ trips with a given event."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.functions.expressions import mean_minutes, micros_between, null_as
+from tripweave.functions.expressions import mean_minutes, minutes_and_micros, null_as
 
 
 def trip_details(trips: DataFrame, users: DataFrame, stations: DataFrame) -> DataFrame:
@@ -48,22 +50,43 @@ def trip_details(trips: DataFrame, users: DataFrame, stations: DataFrame) -> Dat
 
 
 def trip_durations(trips: DataFrame) -> DataFrame:
-    """(user_id, duration_us): all that rider statistics need of a trip."""
-    return trips.select("user_id", micros_between("start_time", "end_time").alias("duration_us"))
+    """(user_id, minutes, micros): all that rider statistics need of a trip."""
+    minutes, micros = minutes_and_micros("start_time", "end_time")
+    return trips.select("user_id", minutes.alias("minutes"), micros.alias("micros"))
 
 
-def duration_stats(durations: DataFrame) -> DataFrame:
-    """(user_id, num_trips, avg_duration_minutes) of the riders in ``durations``.
+def user_state(durations: DataFrame) -> DataFrame:
+    """(user_id, num_trips, known, minutes, micros): counts and exact sums of the riders in ``durations``.
 
-    Whole microseconds are added, so a mean does not depend on the order of tasks.  Unknown
-    durations count as trips but not in the mean.
+    Unknown durations count as trips but not in the sums.  States of different trips may be
+    stored, and merged by :func:`merged`.
     """
-    mean = mean_minutes(F.sum("duration_us"), F.count("duration_us"))
-    return (
-        durations.where(F.col("user_id").isNotNull())
-        .groupBy("user_id")
-        .agg(F.count("*").alias("num_trips"), mean.alias("avg_duration_minutes"))
-    )
+    known = durations.where(F.col("user_id").isNotNull()).groupBy("user_id")
+    return known.agg(F.count("*").alias("num_trips"), F.count("minutes").alias("known"), *_added("minutes", "micros"))
+
+
+def _added(*columns: str) -> list[Column]:
+    return [F.sum(c).alias(c) for c in columns]
+
+
+def merged(states: list[DataFrame], key: str) -> DataFrame:
+    """One state from the states of different trips: everything but the key adds up.
+
+    The trips themselves are not read again, so a batch costs its own trips and the stored state.
+    """
+    columns = [c for c in states[0].columns if c != key]
+    return reduce(DataFrame.unionByName, states).groupBy(key).agg(*_added(*columns))
+
+
+def stats_of(state: DataFrame) -> DataFrame:
+    """(user_id, num_trips, avg_duration_minutes) from a state."""
+    return state.select("user_id", "num_trips", mean_minutes("minutes", "micros", "known").alias("avg_duration_minutes"))
+
+
+def duration_stats(durations: DataFrame) -> DataFrame:
+    """(user_id, num_trips, avg_duration_minutes) of the riders in ``durations``.  Sums are exact, so a
+    mean does not depend on the order of tasks."""
+    return stats_of(user_state(durations))
 
 
 def active_user_stats(trips: DataFrame) -> DataFrame:
@@ -120,7 +143,11 @@ def station_role_counts(trips: DataFrame) -> DataFrame:
 def station_counts(trips: DataFrame, stations: DataFrame, active_only: bool = False) -> DataFrame:
     """Departures and arrivals per station.  Stations that no trip uses count
     zero, or are left out with ``active_only``."""
-    counts = station_role_counts(trips)
+    return with_all_stations(station_role_counts(trips), stations, active_only)
+
+
+def with_all_stations(counts: DataFrame, stations: DataFrame, active_only: bool = False) -> DataFrame:
+    """Station counts with names, from a state made by :func:`station_role_counts`."""
     return (
         stations.select("station_id", "name", "city")
         .join(counts, "station_id", "inner" if active_only else "left")

@@ -325,6 +325,43 @@ def _battery(rule: str, broken: str) -> str:
     )
 
 
+_DAMAGED = _with(f"""
+    SELECT trip_id, CASE WHEN total_cost <= {2 * REPEATED_BELOW} THEN 'damaged' ELSE 'accepted' END AS state FROM trips""")
+
+# Documents of two versions in one folder.
+_VERSIONED = {
+    "versioned": f"SELECT *, CASE WHEN total_cost < {LOADED_FIRST} THEN 1 ELSE 2 END AS version FROM trips_raw",
+    "with_level": "SELECT DISTINCT trip_id FROM mobility_events WHERE event_type = 'BATTERY'",
+}
+_VERSION_RULES = [
+    *[(f"trips.{c}.required", f"{c.replace('station_id', 'station')} IS NULL")
+      for c in ("user_id", "start_station_id", "end_station_id", "start_time", "end_time", "total_cost")],
+    ("trips.events.required", "false"),
+    *[(f"trips.events.{c}.required", f'trip_id IN (SELECT trip_id FROM mobility_events WHERE "{c}" IS NULL)')
+      for c in ("timestamp", "event_type", "value")],
+    ("trips.events.event_type.enum", f"trip_id IN (SELECT trip_id FROM mobility_events WHERE event_type NOT IN {_KINDS})"),
+    ("trips.events.battery_level.range",
+     f"version = 2 AND trip_id IN (SELECT trip_id FROM mobility_events WHERE NOT ({_LEVEL}) BETWEEN 0 AND 100)"),
+    ("trips.events.battery_level.absent", f"version = 1 AND total_cost < {REPEATED_BELOW} AND trip_id IN (SELECT trip_id FROM with_level)"),
+]
+_VERSIONS = _with(
+    "\nUNION ALL ".join(
+        f"SELECT {v} AS version, '{rule}' AS rule, count(*) AS n_violations FROM versioned WHERE version = {v} AND {broken}"
+        for v in (1, 2)
+        for rule, broken in _VERSION_RULES
+    ),
+    extra=_VERSIONED,
+)
+
+# Departures and arrivals of every station.
+_STATION_COUNTS = _with("""
+    SELECT station_id, name, city,
+           coalesce((SELECT n FROM leaving WHERE k = station_id), 0) AS trips_starting,
+           coalesce((SELECT n FROM arriving WHERE k = station_id), 0) AS trips_ending
+    FROM stations""",
+    extra={"leaving": "SELECT start_station AS k, count(*) AS n FROM trips GROUP BY 1",
+           "arriving": "SELECT end_station AS k, count(*) AS n FROM trips GROUP BY 1"})
+
 # Riders of one country, their trips and their events are gone.
 _DELETED_USERS = _with(f"""
     SELECT 'users' AS table_name, count(*) AS n_remaining, min(CAST(user_id AS VARCHAR)) AS min_id,
@@ -418,6 +455,7 @@ def oracle_sql() -> dict[str, str]:
                    {_STATION_NAME.format("end")} AS end_station_name, t.start_time, t.end_time, {_COST}
             FROM users u, trips t WHERE t.user_id = u.user_id AND {_BOTH_STATIONS}"""),
         "q2_user_stats": _with(_user_stats(_AVERAGE)),
+        "q2_user_stats_merged": _with(_user_stats(_AVERAGE)),
         "q2_user_stats_zero": _with(_user_stats(f"coalesce({_AVERAGE}, 0)")),
         "q2_user_stats_nested": _with(_user_stats(f"coalesce({_AVERAGE}, 0)")),
         "q2_user_stats_staged": _with(f"""
@@ -425,13 +463,8 @@ def oracle_sql() -> dict[str, str]:
             FROM ({_user_stats(f"coalesce({_AVERAGE}, 0)")})"""),
         "q2_active_user_stats": _with(f"""
             SELECT user_id, count(*) AS num_trips, {_AVERAGE} AS avg_duration_minutes FROM trips t GROUP BY user_id"""),
-        "q3_station_counts": _with("""
-            SELECT station_id, name, city,
-                   coalesce((SELECT n FROM leaving WHERE k = station_id), 0) AS trips_starting,
-                   coalesce((SELECT n FROM arriving WHERE k = station_id), 0) AS trips_ending
-            FROM stations""",
-            extra={"leaving": "SELECT start_station AS k, count(*) AS n FROM trips GROUP BY 1",
-                   "arriving": "SELECT end_station AS k, count(*) AS n FROM trips GROUP BY 1"}),
+        "q3_station_counts": _STATION_COUNTS,
+        "q3_station_counts_merged": _STATION_COUNTS,
         "q3_active_station_counts": _with(_active_counts("trips", "all_stations"), extra={"all_stations": _ALL_STATIONS}),
         **{
             name: _with(f"SELECT trip_id, user_id, start_time, end_time, {_COST} FROM trips WHERE {_WITH_ERROR}")
@@ -508,6 +541,18 @@ def oracle_sql() -> dict[str, str]:
             _FOREIGN + [_orphans("events.trip_id.accepted_trip", "mobility_events", "trip_id", "trips", "trip_id")]
         ),
         "check_documents": _rules(_DOCUMENTS),
+        "check_document_versions": _VERSIONS,
+        "io_documents_versions": _with(f"""
+            SELECT version, trip_id, event_id, event_type, "value",
+                   CASE WHEN version = 2 OR total_cost < {REPEATED_BELOW} THEN {_LEVEL} END AS battery_level
+            FROM mobility_events JOIN versioned USING (trip_id)""", extra=_VERSIONED),
+        "io_json_damaged": _DAMAGED,
+        "io_csv_damaged": _DAMAGED,
+        "io_damaged_count": _with(f"""
+            SELECT format, count(*) FILTER (total_cost > {2 * REPEATED_BELOW}) AS n_rows,
+                   count(*) FILTER (total_cost <= {2 * REPEATED_BELOW}) AS n_damaged
+            FROM trips, (VALUES ('json'), ('csv')) f(format) GROUP BY format"""),
+        "graph_vertex_components_merged": _with("SELECT id, component FROM settled", extra=_spread()),
         "check_document_types": _rules(_DOCUMENT_TYPES),
         "check_summary": _rules(_NOT_NULL + _VALUES + _ENUM + _LENGTHS + _UNIQUE + _FOREIGN),
         "trips_accepted": _with(f"""

@@ -19,7 +19,7 @@ from tripweave.operators import changes, documents, graph, quality, relational,
 from tripweave.session import fresh_folder
 from tripweave.sources.star_view import star_schema_view
 from tripweave.sources.store import Store
-from tripweave.sources.tables import read_table, write_table
+from tripweave.sources.tables import Checked, read_table, read_versions, scan_checked, write_table, write_version
 
 Tables = dict[str, DataFrame]
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,6 +110,35 @@ def _(t: Tables) -> DataFrame:
     return relational.with_all_users(relational.duration_stats(durations), users, empty="zero")
 
 
+def _two_loads(t: Tables) -> tuple[DataFrame, DataFrame]:
+    cheap = F.coalesce(F.col("total_cost") < LOADED_FIRST, F.lit(False))
+    return t["trips"].where(cheap), t["trips"].where(~cheap)
+
+
+def _stored_state(state: DataFrame) -> DataFrame:
+    spark = state.sparkSession
+    folder = fresh_folder(spark, "state")
+    write_table(state, folder)
+    return read_table(spark, folder, state.schema)
+
+
+@_query("q2_user_stats_merged")
+def _(t: Tables) -> DataFrame:
+    """The state of a first load is stored; a second load is added without reading the first."""
+    first, second = _two_loads(t)
+    state = _stored_state(relational.user_state(relational.trip_durations(first)))
+    state = relational.merged([state, relational.user_state(relational.trip_durations(second))], "user_id")
+    return relational.with_all_users(relational.stats_of(state), t["users"], empty="null")
+
+
+@_query("q3_station_counts_merged")
+def _(t: Tables) -> DataFrame:
+    first, second = _two_loads(t)
+    counts = _stored_state(relational.station_role_counts(first))
+    counts = relational.merged([counts, relational.station_role_counts(second)], "station_id")
+    return relational.with_all_stations(counts, t["stations"])
+
+
 @_query("q3_station_counts")
 def _(t: Tables) -> DataFrame:
     return relational.station_counts(t["trips"], t["stations"])
@@ -333,6 +362,17 @@ def _(t: Tables) -> DataFrame:
     return graph.component_count(_vertex_components(t)[0])
 
 
+@_query("graph_vertex_components_merged")
+def _(t: Tables) -> DataFrame:
+    """Labels of a first load are stored; the trips of a second one bring their nodes and edges."""
+    cheap = F.coalesce(F.col("total_cost") < LOADED_FIRST, F.lit(False))
+    first, nodes = _vertex_components(t | {"trips_raw": t["trips_raw"].where(cheap)})
+    new = t["trips_raw"].where(~cheap)
+    added = graph.vertices(t["users"], new, t["stations"]).select(F.col("id").alias("station_id"))
+    edges = graph.edges(new, t["users"], t["stations"])
+    return graph.merged_components(_stored_state(first), edges, added).withColumnRenamed("station_id", "id")
+
+
 # ---- Checks -------------------------------------------------------------------
 
 
@@ -640,6 +680,70 @@ def _(t: Tables) -> DataFrame:
     return changes.modified_count(_stored_docs(t, t["trips"]))
 
 
+def _damaged(t: Tables, fmt: str) -> Checked:
+    """Trips as lines of text: those of the cheapest trips are cut off, and the next ones have no number for a
+    rider.  They are scanned with the lines of all others."""
+    spark, cost = t["trips"].sparkSession, F.col("total_cost")
+    rider = F.when(cost.between(REPEATED_BELOW, 2 * REPEATED_BELOW), "nobody").otherwise(F.col("user_id").cast("string"))
+    fields = t["trips"].select("trip_id", rider.alias("user_id"), "total_cost")
+    if fmt == "json":
+        line = F.regexp_replace(F.to_json(F.struct(*fields.columns)), r'"user_id":"(\d+)"', '"user_id":$1')
+        short = F.substring(line, F.lit(1), F.length(line) - 8)
+    else:
+        line, short = F.concat_ws(",", *fields.columns), F.concat_ws(",", "trip_id", "user_id")
+    folder = fresh_folder(spark, f"damaged-{fmt}")
+    fields.select(F.when(cost < REPEATED_BELOW, short).otherwise(line).alias("value")).write.text(folder)
+    return scan_checked(spark, folder, _COSTS, fresh_folder(spark, "checked"), fmt, header=False)
+
+
+def _accepted_and_damaged(found: Checked, key: str) -> DataFrame:
+    damaged = found.damaged.select(F.regexp_extract("line", key, 1).cast("bigint").alias("trip_id"), F.lit("damaged").alias("state"))
+    return found.rows.select("trip_id", F.lit("accepted").alias("state")).unionByName(damaged)
+
+
+@_query("io_json_damaged")
+def _(t: Tables) -> DataFrame:
+    return _accepted_and_damaged(_damaged(t, "json"), '"trip_id":(\\d+)')
+
+
+@_query("io_csv_damaged")
+def _(t: Tables) -> DataFrame:
+    return _accepted_and_damaged(_damaged(t, "csv"), r"^(\d+)")
+
+
+@_query("io_damaged_count")
+def _(t: Tables) -> DataFrame:
+    """How many lines were good and how many were not, as counted while they were read."""
+    spark = t["trips"].sparkSession
+    counts = {fmt: _damaged(t, fmt) for fmt in ("json", "csv")}
+    rows = [F.struct(F.lit(fmt).alias("format"), F.lit(c.n_rows).alias("n_rows"), F.lit(c.n_damaged).alias("n_damaged")) for fmt, c in counts.items()]
+    return spark.range(1).select(F.inline(F.array(*rows)))
+
+
+def _mixed_documents(t: Tables) -> DataFrame:
+    """One folder of documents of both versions: dear trips have their battery levels and say so, the others
+    do not; the cheapest have levels although they are of the first version."""
+    spark, cost = t["trips_raw"].sparkSession, F.col("total_cost")
+    folder = fresh_folder(spark, "versions")
+    docs = documents.embed_events(t["trips_raw"], t["events"])
+    filled, old = changes.backfill_battery_nested(docs), F.coalesce(cost < LOADED_FIRST, F.lit(False))
+    write_version(docs.where(old & (cost >= REPEATED_BELOW)), folder, 1)
+    write_version(filled.where(old & (cost < REPEATED_BELOW)), folder, 1)
+    write_version(filled.where(~old), folder, 2)
+    return read_versions(spark, folder, {1: model.TRIP_DOCUMENT, 2: model.TRIP_DOCUMENT_V2})
+
+
+@_query("io_documents_versions")
+def _(t: Tables) -> DataFrame:
+    each = _mixed_documents(t).select("version", "trip_id", F.explode("events").alias("e"))
+    return each.select("version", "trip_id", "e.event_id", "e.event_type", "e.value", "e.battery_level")
+
+
+@_query("check_document_versions")
+def _(t: Tables) -> DataFrame:
+    return quality.check_versions(_mixed_documents(t))
+
+
 # ---- Stored tables that are changed in place ---------------------------------------
 
 _BUCKETS = 4
