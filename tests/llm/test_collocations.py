@@ -99,21 +99,44 @@ def test_border_failures_lead_to_further_passes(docs):
     for one_in in (1, 1 << 30):
         found, passes[one_in] = collocations.frequent_phrases(docs, least=10, one_in=one_in)
         assert sorted(map(tuple, found.where("phrase IS NOT NULL").collect())) == frequent
-    assert passes[1] == 1 and passes[1 << 30] == 5  # nothing proposed: one length a pass
+    assert passes[1] == 2 and passes[1 << 30] == 5  # nothing proposed: one length a pass
 
 
 def test_the_border_is_what_is_counted():
     """A full filter counts everything, an empty one only single words."""
     rows, langs = pa.array(["a b c a b", "b c. a"]), pa.array(["en", "en"])
-    empty = collocations.Filter(bytes_(0))
+    empty, full = collocations.Filter(bytes_(0)), collocations.Filter(bytes_(255))
+
+    def coded(wanted):
+        parts = [b.to_pylist() for b in collocations.count_codes(rows, langs, None, 1, range(1, 4), 3, wanted)]
+        return sorted((r["code"] & 7, r["n"]) for part in parts for r in part)
+
+    def told(wanted, counted, frequent=None):
+        parts = collocations.count_phrases(rows, langs, 3, wanted, counted, frequent)
+        return {(r["phrase"], r["n"]) for b in parts for r in b.to_pylist()}
+
+    words, total = {("a", 3), ("b", 3), ("c", 2)}, {(None, 8)}
+    longer = {("a b", 2), ("b c", 2), ("c a", 1), ("a b c", 1), ("b c a", 1), ("c a b", 1)}
+    assert coded(empty) == [(1, 2), (1, 3), (1, 3)] and len(coded(full)) == 9
+    assert told(full, full, full) == total | words | longer and told(empty, empty, full) == total | words
+    assert told(full, empty) == longer and told(full, full) == set()
+
+
+def test_codes_of_texts_are_those_of_slices():
+    rows, langs = pa.array(["a bc d. a\tbc", "é a"]), pa.array(["en", ""])
     full = collocations.Filter(bytes_(255))
-    told = lambda new, old=None: {
-        (r["phrase"], r["n"]) for b in collocations.count_phrases(rows, langs, range(1, 4), 3, new, old) for r in b.to_pylist()
-    }
-    words = {(None, 8), ("a", 3), ("b", 3), ("c", 2)}
-    assert told(empty) == words
-    assert told(full) == words | {("a b", 2), ("b c", 2), ("c a", 1), ("a b c", 1), ("b c a", 1), ("c a b", 1)}
-    assert told(full, empty) == told(full) - words and told(full, full) == set()
+    codes = {r["code"] for b in collocations.count_codes(rows, langs, None, 1, range(1, 6), 0, None) for r in b.to_pylist()}
+    found = [r for b in collocations.count_phrases(rows, langs, 5, full, full, full) for r in b.to_pylist() if r["phrase"] is not None]
+    batch = pa.RecordBatch.from_pylist([{k: r[k] for k in ("lang", "phrase")} for r in found])
+    assert set(collocations._codes(batch).view("int64").tolist()) == codes and len(codes) == len(found)
+
+
+def test_whole_pieces_are_drawn():
+    import numpy as np
+
+    text = ". ".join(f"w{i} x{i}" for i in range(4000))
+    cut = collocations._Slice.of(pa.array([text, text]), np.array([1, 2], np.uint64), 8)
+    assert 1600 < len(cut.codes) < 2400 and len(cut.codes) == 2 * cut.link.sum()
 
 
 def bytes_(value):

@@ -9,6 +9,10 @@ nothing is left.  So the counts do not depend on the sample, only the number of
 The border is never listed.  Proposed phrases are kept as a bit filter of fixed size, and a task counts
 what it meets in its texts if both ends pass the filter.  A false answer of the filter makes a task
 count more than it has to, and never changes a count.
+
+Most of a border is rare.  So the first pass counts hashes, eight bytes each; what collides only counts
+more.  The next pass counts those whose hash is frequent by their text, together with the first new
+border; only its counts are used.
 """
 
 from __future__ import annotations
@@ -24,17 +28,17 @@ from pyspark.sql import functions as F
 
 from tripweave.llm.columns import pick, slices, text_buffers
 from tripweave.llm.words import LOWER, hash_spans, mix, runs
-from tripweave.session import cut_lineage
+from tripweave.session import cut_lineage, small_side
 
 LONGEST = 5
 FREQUENT = 100
 KEPT = 2000
 UNKNOWN = "und"
 
-SAMPLE_ONE_IN = 8  # documents, by a hash; grows with the corpus and decides nothing but the number of passes
+SAMPLE_ONE_IN = 8  # pieces of text, by a hash; grows with the corpus and decides nothing but the number of passes
 CAUTION = 0.4  # a phrase is proposed at this share of the count that a frequent one has in the sample on average
 FILTER_BITS = 1 << 26
-SLICE = 4 << 20  # bytes of text that are counted at once
+SLICE = 2 << 20  # bytes of text that are counted at once
 
 _ENDS = np.zeros(256, bool)  # ends a piece
 _ENDS[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = True
@@ -42,6 +46,8 @@ _BLANK = _ENDS.copy()  # is no part of a word
 _BLANK[[0x20, 0x09]] = True
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 _COUNTS = "lang string, phrase string, n bigint"
+_CODES = "code bigint, n bigint"
+_LEVEL = np.uint64(7)  # the last bits of a code are the number of words
 
 
 @dataclass(frozen=True)
@@ -87,17 +93,23 @@ class _Slice:
     link: np.ndarray
 
     @staticmethod
-    def of(texts: pa.Array) -> _Slice:
+    def of(texts: pa.Array, salts: np.ndarray | None = None, one_in: int = 1) -> _Slice:
+        """All words, or those of one in so many pieces, drawn by the salt of the text and their number."""
         data, offsets = text_buffers(texts)
         data = LOWER[data]
         starts, ends = runs(~_BLANK[data], offsets)
+        text = np.searchsorted(offsets, starts, "right") - 1
+        cuts = np.flatnonzero(_ENDS[data])
+        piece = np.searchsorted(cuts, starts)
+        if one_in > 1:
+            number = piece - np.searchsorted(cuts, offsets[:-1])[text]
+            drawn = mix(salts[text] + number.astype(np.uint64) * _STEP) % np.uint64(one_in) == 0
+            starts, ends, text, piece = starts[drawn], ends[drawn], text[drawn], piece[drawn]
         lengths = ends - starts
         heads = np.concatenate([[0], np.cumsum(lengths)])
         place = np.arange(heads[-1]) + np.repeat(starts - heads[:-1], lengths)
         buffers = [None, pa.py_buffer(heads.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data[place]))]
         encoded = pa.Array.from_buffers(pa.large_string(), len(starts), buffers).dictionary_encode()
-        text = np.searchsorted(offsets, starts, "right") - 1
-        piece = np.cumsum(_ENDS[data])[starts] if len(starts) else starts
         link = (text[1:] == text[:-1]) & (piece[1:] == piece[:-1])
         return _Slice(encoded.dictionary, encoded.indices.to_numpy().astype(np.int64), text, link)
 
@@ -106,14 +118,74 @@ class _Slice:
         return (pc.binary_join_element_wise(*words, pa.scalar(" ", pa.large_string())) if k > 1 else words[0]).cast(pa.string())
 
 
-def count_phrases(
-    texts: pa.Array, langs: pa.Array, levels: range, known: int, wanted: Filter | None, counted: Filter | None
+@dataclass
+class _Level:
+    """The different phrases of ``k`` words that a slice holds: their hashes and counts, their two ends as
+    places in the level before, where one of each begins, and which of them begins at each word (or -1)."""
+
+    k: int
+    hashes: np.ndarray
+    n: np.ndarray
+    head: np.ndarray
+    tail: np.ndarray
+    first: np.ndarray
+    at: np.ndarray
+
+    @property
+    def codes(self) -> np.ndarray:
+        return (self.hashes & ~_LEVEL) | np.uint64(self.k)
+
+
+def _levels(cut: _Slice, lang: np.ndarray, salts: np.ndarray, longest: int) -> Iterator[_Level]:
+    """Level by level; whoever takes one may set places of ``at`` to -1, which ends phrases there."""
+    size = len(cut.distinct)
+    each, first, ids, n = np.unique(lang * size + cut.codes, return_index=True, return_inverse=True, return_counts=True)
+    words = mix(_hashes(cut.distinct)[each % size] ^ salts[each // size])
+    none, word_ids = np.zeros(0, np.int64), ids.copy()
+    level = _Level(1, words, n, none, none, first, ids)
+    yield level
+    for k in range(2, longest + 1):
+        ids, size = level.at, len(level.hashes)
+        at = np.flatnonzero((ids[:-1] >= 0) & (ids[1:] >= 0) & cut.link)
+        if not len(at):
+            return
+        each, first, inverse, n = np.unique(ids[at] * size + ids[at + 1], return_index=True, return_inverse=True, return_counts=True)
+        head, first = each // size, at[first]
+        ids = np.full(len(ids), -1)
+        ids[at] = inverse
+        level = _Level(k, _joined(level.hashes[head], words[word_ids[first + k - 1]]), n, head, each % size, first, ids)
+        yield level
+
+
+def _stopped(level: _Level, alive: np.ndarray) -> None:
+    """Only phrases that are alive go on."""
+    level.at[(level.at >= 0) & ~alive[level.at]] = -1
+
+
+def count_codes(
+    texts: pa.Array, langs: pa.Array, salts: np.ndarray | None, one_in: int, levels: range, known: int, wanted: Filter | None
 ) -> Iterator[pa.RecordBatch]:
-    """(lang, phrase, n) of the phrases of ``levels`` words of which both ends are in ``wanted``, and are
-    not both in ``counted``; with single words there is a row (lang, null, number of words) too.
+    """(code, n) of the phrases of ``levels`` words of which both ends are in ``wanted``.
 
     ``wanted`` knows phrases of up to ``known`` words.  Of longer ones all shorter parts have to pass.
     """
+    cut = _Slice.of(texts, salts, one_in)
+    if not len(cut.codes):
+        return
+    encoded = langs.dictionary_encode()
+    lang = encoded.indices.to_numpy().astype(np.int64)[cut.text]
+    for level in _levels(cut, lang, _salts(encoded.dictionary), levels.stop - 1):
+        if level.k in levels:
+            yield pa.record_batch([pa.array(level.codes.view(np.int64)), pa.array(level.n.astype(np.int64))], names=["code", "n"])
+        if level.k <= known:
+            _stopped(level, wanted.has(level.codes))
+
+
+def count_phrases(
+    texts: pa.Array, langs: pa.Array, longest: int, wanted: Filter, counted: Filter, frequent: Filter | None
+) -> Iterator[pa.RecordBatch]:
+    """(lang, phrase, n) of the phrases of which both ends are in ``wanted`` and are not both in
+    ``counted``.  With ``frequent``, also of those that are in it, and (lang, null, number of words)."""
     cut = _Slice.of(texts)
     if not len(cut.codes):
         return
@@ -123,71 +195,85 @@ def count_phrases(
     def counts(of: np.ndarray, phrases: pa.Array, n: np.ndarray) -> pa.RecordBatch:
         return pa.record_batch([names.take(pa.array(of)), phrases, pa.array(n.astype(np.int64))], names=["lang", "phrase", "n"])
 
-    def passes(known_by: Filter | None, hashes: np.ndarray, k: int) -> np.ndarray:
-        return known_by.has(hashes) if known_by is not None and known >= k else np.ones(len(hashes), bool)
-
-    size = len(cut.distinct)
-    each, first, ids, n = np.unique(lang * size + cut.codes, return_index=True, return_inverse=True, return_counts=True)
-    word_ids, word_hashes = ids, mix(_hashes(cut.distinct)[each % size] ^ _salts(names)[each // size])
-    if 1 in levels and counted is None:
+    if frequent is not None:
         total = np.bincount(lang, minlength=len(names))
         yield counts(np.flatnonzero(total), pa.nulls(int((total > 0).sum()), pa.string()), total[total > 0])
-        yield counts(lang[first], cut.phrases(first, 1), n)
-    hashes = word_hashes
-    for k in range(2, levels.stop):
-        if not len(hashes):
-            return
-        fine = passes(wanted, hashes, k - 1)
-        old = passes(counted, hashes, k - 1) if counted is not None else np.zeros(len(hashes), bool)
-        ok = fine[ids] & (ids >= 0)
-        at = np.flatnonzero(ok[:-1] & ok[1:] & cut.link)
-        each, first, inverse, n = np.unique(ids[at] * len(hashes) + ids[at + 1], return_index=True, return_inverse=True, return_counts=True)
-        head, tail = each // len(hashes), each % len(hashes)
-        first = at[first]
-        new = ~(old[head] & old[tail])
-        if k in levels and new.any():
-            yield counts(lang[first[new]], cut.phrases(first[new], k), n[new])
-        hashes = _joined(hashes[head], word_hashes[word_ids[first + k - 1]])
-        ids = np.full(len(ids), -1)
-        ids[at] = inverse
+    old = np.zeros(0, bool)
+    for level in _levels(cut, lang, _salts(names), longest):
+        codes = level.codes
+        # Single words have no ends: all of them were counted first.
+        asked = ~(old[level.head] & old[level.tail]) if level.k > 1 else np.zeros(len(codes), bool)
+        if frequent is not None:
+            asked |= frequent.has(codes)
+        if asked.any():
+            first = level.first[asked]
+            yield counts(lang[first], cut.phrases(first, level.k), level.n[asked])
+        old = counted.has(codes)
+        _stopped(level, wanted.has(codes))
+
+
+def _count_codes(docs: DataFrame, one_in: int, levels: range, known: int, wanted: Filter | None) -> DataFrame:
+    """Counts of one pass over ``docs`` (lang, text, salt) by code."""
+    sent = docs.sparkSession.sparkContext.broadcast(wanted)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, most=SLICE):
+            salts = batch.column("salt").to_numpy().view(np.uint64)
+            yield from count_codes(batch.column("text"), batch.column("lang"), salts, one_in, levels, known, sent.value)
+
+    return docs.mapInArrow(run, _CODES).groupBy("code").agg(F.sum("n").alias("n"))
 
 
-def _pass(docs: DataFrame, levels: range, known: int, wanted: Filter | None, counted: Filter | None = None) -> DataFrame:
-    """Counts of one pass over ``docs`` (lang, text)."""
-    sent = docs.sparkSession.sparkContext.broadcast((wanted, counted))
+def _count_phrases(docs: DataFrame, longest: int, wanted: Filter, counted: Filter, frequent: Filter | None) -> DataFrame:
+    """Counts of one pass over ``docs`` by text."""
+    sent = docs.sparkSession.sparkContext.broadcast((wanted, counted, frequent))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, most=SLICE):
-            yield from count_phrases(batch.column("text"), batch.column("lang"), levels, known, *sent.value)
+            yield from count_phrases(batch.column("text"), batch.column("lang"), longest, *sent.value)
+
+    return docs.select("lang", "text").mapInArrow(run, _COUNTS).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
-    return docs.mapInArrow(run, _COUNTS).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
+def _codes(batch: pa.RecordBatch) -> np.ndarray:
+    """The codes of phrases (lang, phrase), as the slices have them."""
+    data, offsets = text_buffers(batch.column("phrase"))
+    starts, ends = runs(data != 0x20, offsets)
+    words = hash_spans(data, starts, ends)
+    lang = batch.column("lang").dictionary_encode()
+    salt = _salts(lang.dictionary)[lang.indices.to_numpy()]
+    at = np.searchsorted(starts, offsets)
+    sizes, hashes = np.diff(at), np.zeros(batch.num_rows, np.uint64)
+    for k in range(int(sizes.max())):
+        some = np.flatnonzero(sizes > k)
+        word = mix(words[at[some] + k] ^ salt[some])
+        hashes[some] = _joined(hashes[some], word) if k else word
+    return (hashes & ~_LEVEL) | sizes.astype(np.uint64)
 
-def _with(found: DataFrame, base: Filter | None, bits: int) -> Filter:
-    """``base`` and the phrases of ``found``: the bits are set in tasks, and their words combined."""
+
+def _coded(phrases: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.record_batch([pa.array(_codes(batch).view(np.int64))], names=["code"])
+
+    return phrases.select("lang", "phrase").mapInArrow(run, "code bigint")
+
+
+def _with(codes: DataFrame, base: Filter | None, bits: int) -> Filter:
+    """``base`` and some codes: the bits are set in tasks, and their words combined."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            data, offsets = text_buffers(batch.column("phrase"))
-            starts, ends = runs(data != 0x20, offsets)
-            words = hash_spans(data, starts, ends)
-            lang = batch.column("lang").dictionary_encode()
-            salt = _salts(lang.dictionary)[lang.indices.to_numpy()]
-            at = np.searchsorted(starts, offsets)
-            sizes, hashes = np.diff(at), np.zeros(batch.num_rows, np.uint64)
-            for k in range(int(sizes.max())):
-                some = np.flatnonzero(sizes > k)
-                word = mix(words[at[some] + k] ^ salt[some])
-                hashes[some] = _joined(hashes[some], word) if k else word
-            places = np.unique(Filter.places(hashes, bits))
+            places = np.unique(Filter.places(batch.column("code").to_numpy().view(np.uint64), bits))
             cell = places >> np.uint64(6)
             starts = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
             held = np.bitwise_or.reduceat(np.uint64(1) << (places & np.uint64(63)), starts)
             yield pa.record_batch([pa.array(cell[starts].astype(np.int64)), pa.array(held.view(np.int64))], names=["cell", "held"])
 
-    cells = found.select("lang", "phrase").mapInArrow(run, "cell bigint, held bigint")
+    cells = codes.select("code").mapInArrow(run, "cell bigint, held bigint")
     # At most one row for each 64 bits of the filter.
     table = cells.groupBy("cell").agg(F.bit_or("held").alias("held")).toArrow()
     out = np.zeros(bits // 64, np.uint64)
@@ -197,18 +283,13 @@ def _with(found: DataFrame, base: Filter | None, bits: int) -> Filter:
     return Filter(out.view(np.uint8))
 
 
-def _n_words(phrase: str):
-    return F.size(F.split(phrase, " "))
-
-
-def _proposed(sample: DataFrame, least: int, longest: int, bits: int) -> Filter:
+def _proposed(docs: DataFrame, one_in: int, least: int, longest: int, bits: int) -> Filter:
     """What is frequent in the sample: words, then pairs of those, then phrases of which all pairs are."""
     wanted = Filter(np.zeros(bits // 8, np.uint8))
     for known, levels in enumerate([range(1, 2), range(2, 3), range(3, longest + 1)]):
-        if levels.start > longest:
-            break
-        counts = _pass(sample, levels, known, wanted if known else None)
-        wanted = _with(counts.where((F.col("n") >= least) & F.col("phrase").isNotNull()), wanted, bits)
+        if levels.start <= longest:
+            counts = _count_codes(docs, one_in, levels, known, wanted)
+            wanted = _with(counts.where(F.col("n") >= least), wanted, bits)
     return wanted
 
 
@@ -221,22 +302,25 @@ def frequent_phrases(
     bits: int = FILTER_BITS,
 ) -> tuple[DataFrame, int]:
     """(lang, phrase, n) of all phrases of up to ``longest`` words that occur ``least`` times or more in
-    their language, with one row (lang, null, number of words) for each language; and the number of passes.
+    their language, with one row (lang, null, number of words) for each language; and the number of passes
+    over everything, two at least.
 
     The result does not depend on ``one_in``, ``caution`` or ``bits``.
     """
     docs = pick(docs, "doc_id", "lang", "text").where("text IS NOT NULL AND text != ''")
-    whole = docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), "text")
-    drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(one_in)) == 0
-    sample = docs.where(drawn).select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), "text")
-    wanted = _proposed(sample, max(2, int(least * caution / one_in)), longest, bits)
-    counted, found, passes = None, None, 0
+    docs = docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), "text", F.xxhash64("doc_id").alias("salt"))
+    wanted = _proposed(docs, one_in, max(2, int(least * caution / one_in)), longest, bits)
+    counts = _count_codes(docs, 1, range(1, longest + 1), longest, wanted)
+    frequent = _with(counts.where(F.col("n") >= least), None, bits)
+    counted, wanted = wanted, Filter(wanted.bits | frequent.bits)
+    found, passes = None, 1
     while True:
-        counts = _pass(whole, range(1, longest + 1), longest, wanted, counted)
+        counts = _count_phrases(docs, longest, wanted, counted, frequent if found is None else None)
         new = cut_lineage(counts.where((F.col("n") >= least) | F.col("phrase").isNull()))
         found, passes = (new if found is None else found.unionByName(new)), passes + 1
         # Phrases of the greatest length have no border; the others propose again.
-        extended = _with(new.where(F.col("phrase").isNotNull() & (_n_words("phrase") < longest)), wanted, bits)
+        proposing = new.where(F.col("phrase").isNotNull() & (F.size(F.split("phrase", " ")) < longest))
+        extended = _with(_coded(proposing), wanted, bits)
         if np.array_equal(extended.bits, wanted.bits):
             return found, passes
         wanted, counted = extended, wanted
@@ -247,7 +331,7 @@ def _scored(found: DataFrame) -> DataFrame:
     words = F.split("phrase", " ")
     part = lambda start, length: F.array_join(F.slice("w", start, length), " ")
     counts = found.where(F.col("phrase").isNotNull())
-    totals = found.where(F.col("phrase").isNull()).select(F.col("lang").alias("of"), F.col("n").alias("total"))
+    totals, _n = small_side(found.where(F.col("phrase").isNull()).select(F.col("lang").alias("of"), F.col("n").alias("total")))
     cuts = (
         counts.where(F.size(words) > 1)
         .select("lang", "phrase", F.col("n").alias("a"), words.alias("w"))
