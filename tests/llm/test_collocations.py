@@ -92,14 +92,13 @@ def test_no_sample_and_no_filter_changes_the_result(docs, mining):
     assert result(collocations.collocations(docs, least=10, **mining)) == brute(ROWS, 10, 2000)
 
 
-def test_border_failures_lead_to_further_passes(docs):
+@pytest.mark.parametrize("one_in", [1, 1 << 30])
+def test_border_failures_are_expanded(docs, one_in):
+    """Also where nothing is proposed, so that the border is every single word."""
     expected = counted(ROWS)[0]
     frequent = sorted((lang, " ".join(w), c) for (lang, w), c in expected.items() if c >= 10)
-    passes = {}
-    for one_in in (1, 1 << 30):
-        found, passes[one_in] = collocations.frequent_phrases(docs, least=10, one_in=one_in)
-        assert sorted(map(tuple, found.where("phrase IS NOT NULL").collect())) == frequent
-    assert passes[1] == 2 and passes[1 << 30] == 5  # nothing proposed: one length a pass
+    found = collocations.frequent_phrases(docs, least=10, one_in=one_in)
+    assert sorted(map(tuple, found.where("phrase IS NOT NULL").collect())) == frequent
 
 
 def test_the_border_is_what_is_counted():
@@ -108,27 +107,39 @@ def test_the_border_is_what_is_counted():
     empty, full = collocations.Filter(bytes_(0)), collocations.Filter(bytes_(255))
 
     def coded(wanted):
-        parts = [b.to_pylist() for b in collocations.count_codes(rows, langs, None, 1, range(1, 4), 3, wanted)]
-        return sorted((r["code"] & 7, r["n"]) for part in parts for r in part)
+        parts = collocations.count_codes(rows, langs, None, 1, range(1, 4), 3, wanted)
+        return sorted((int(c) & 7, int(n)) for codes, ns in parts for c, n in zip(codes, ns, strict=True))
 
-    def told(wanted, counted, frequent=None):
-        parts = collocations.count_phrases(rows, langs, 3, wanted, counted, frequent)
+    def told(counted, frequent):
+        parts = collocations.count_phrases(rows, langs, 3, counted, frequent)
         return {(r["phrase"], r["n"]) for b in parts for r in b.to_pylist()}
 
     words, total = {("a", 3), ("b", 3), ("c", 2)}, {(None, 8)}
     longer = {("a b", 2), ("b c", 2), ("c a", 1), ("a b c", 1), ("b c a", 1), ("c a b", 1)}
     assert coded(empty) == [(1, 2), (1, 3), (1, 3)] and len(coded(full)) == 9
-    assert told(full, full, full) == total | words | longer and told(empty, empty, full) == total | words
-    assert told(full, empty) == longer and told(full, full) == set()
+    assert told(full, full) == told(empty, full) == total | words | longer
+    assert told(full, empty) == total and told(empty, empty) == total
 
 
-def test_codes_of_texts_are_those_of_slices():
-    rows, langs = pa.array(["a bc d. a\tbc", "é a"]), pa.array(["en", ""])
-    full = collocations.Filter(bytes_(255))
-    codes = {r["code"] for b in collocations.count_codes(rows, langs, None, 1, range(1, 6), 0, None) for r in b.to_pylist()}
-    found = [r for b in collocations.count_phrases(rows, langs, 5, full, full, full) for r in b.to_pylist() if r["phrase"] is not None]
-    batch = pa.RecordBatch.from_pylist([{k: r[k] for k in ("lang", "phrase")} for r in found])
-    assert set(collocations._codes(batch).view("int64").tolist()) == codes and len(codes) == len(found)
+def test_what_extends_a_border_failure_is_counted_with_it():
+    """Only the words are known to be frequent and only ``b`` was proposed."""
+    rows, langs = pa.array(["a b c d", "x y"]), pa.array(["en", "en"])
+    codes = {}
+    for cs, _ in collocations.count_codes(rows, langs, None, 1, range(1, 2), 0, None):
+        codes = dict(zip(["a", "b", "c", "d", "x", "y"], sorted(cs.tolist()), strict=True))
+
+    def holding(some):
+        import numpy as np
+
+        bits = np.zeros(1 << 13, np.uint8)
+        for place in collocations.Filter.places(np.array(some, np.uint64), 8 << 13):
+            bits[int(place) >> 3] |= 1 << (int(place) & 7)
+        return collocations.Filter(bits)
+
+    every = holding(list(codes.values()))
+    parts = collocations.count_phrases(rows, langs, 4, holding([]), every)
+    told = {r["phrase"] for b in parts for r in b.to_pylist()}
+    assert {"a b", "b c", "a b c", "a b c d", "x y"} <= told
 
 
 def test_whole_pieces_are_drawn():
@@ -139,6 +150,11 @@ def test_whole_pieces_are_drawn():
     assert 1600 < len(cut.codes) < 2400 and len(cut.codes) == 2 * cut.link.sum()
 
 
+def test_counts_are_put_together_in_a_task(docs, monkeypatch):
+    monkeypatch.setattr(collocations, "HELD_CODES", 10)
+    assert result(collocations.collocations(docs, least=10)) == brute(ROWS, 10, 2000)
+
+
 def bytes_(value):
     import numpy as np
 

@@ -3,15 +3,16 @@
 Toivonen's way of mining: a sample proposes the frequent phrases; one pass over everything counts
 them together with their *negative border*, the phrases of which both the first and the last ``k - 1``
 words are proposed while they are not.  A phrase of the border that turns out to be frequent is a
-border failure: it is proposed too, and another pass counts what entered the border with it, until
-nothing is left.  So the counts do not depend on the sample, only the number of passes does.
+border failure: it is proposed too, and an expansion pass counts what entered the border with it.  What
+extends a phrase that is counted for the first time is counted in the same pass, since that phrase may
+be frequent; so one expansion closes the border, and the counts do not depend on the sample.
 
 The border is never listed.  Proposed phrases are kept as a bit filter of fixed size, and a task counts
 what it meets in its texts if both ends pass the filter.  A false answer of the filter makes a task
 count more than it has to, and never changes a count.
 
 Most of a border is rare.  So the first pass counts hashes, eight bytes each; what collides only counts
-more.  The next pass counts those whose hash is frequent by their text, together with the first new
+more.  The expansion pass counts those whose hash is frequent by their text, together with the new
 border; only its counts are used.
 """
 
@@ -35,10 +36,10 @@ FREQUENT = 100
 KEPT = 2000
 UNKNOWN = "und"
 
-SAMPLE_ONE_IN = 8  # pieces of text, by a hash; grows with the corpus and decides nothing but the number of passes
+SAMPLE_ONE_IN = 8  # pieces of text, by a hash; grows with the corpus and decides nothing but how much the passes count
 CAUTION = 0.4  # a phrase is proposed at this share of the count that a frequent one has in the sample on average
 FILTER_BITS = 1 << 26
-SLICE = 2 << 20  # bytes of text that are counted at once
+HELD_CODES = 3_000_000  # counts that a task puts together before it hands them on
 
 _ENDS = np.zeros(256, bool)  # ends a piece
 _ENDS[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = True
@@ -164,8 +165,8 @@ def _stopped(level: _Level, alive: np.ndarray) -> None:
 
 def count_codes(
     texts: pa.Array, langs: pa.Array, salts: np.ndarray | None, one_in: int, levels: range, known: int, wanted: Filter | None
-) -> Iterator[pa.RecordBatch]:
-    """(code, n) of the phrases of ``levels`` words of which both ends are in ``wanted``.
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(codes, counts) of the phrases of ``levels`` words of which both ends are in ``wanted``.
 
     ``wanted`` knows phrases of up to ``known`` words.  Of longer ones all shorter parts have to pass.
     """
@@ -176,16 +177,19 @@ def count_codes(
     lang = encoded.indices.to_numpy().astype(np.int64)[cut.text]
     for level in _levels(cut, lang, _salts(encoded.dictionary), levels.stop - 1):
         if level.k in levels:
-            yield pa.record_batch([pa.array(level.codes.view(np.int64)), pa.array(level.n.astype(np.int64))], names=["code", "n"])
+            yield level.codes, level.n.astype(np.int64)
         if level.k <= known:
             _stopped(level, wanted.has(level.codes))
 
 
 def count_phrases(
-    texts: pa.Array, langs: pa.Array, longest: int, wanted: Filter, counted: Filter, frequent: Filter | None
+    texts: pa.Array, langs: pa.Array, longest: int, counted: Filter, frequent: Filter
 ) -> Iterator[pa.RecordBatch]:
-    """(lang, phrase, n) of the phrases of which both ends are in ``wanted`` and are not both in
-    ``counted``.  With ``frequent``, also of those that are in it, and (lang, null, number of words)."""
+    """(lang, phrase, n) of the phrases in ``frequent``, and of those whose ends are alive and were not
+    both in ``counted``; and (lang, null, number of words).
+
+    Alive is what is in ``counted`` or ``frequent``, and what was not counted before.
+    """
     cut = _Slice.of(texts)
     if not len(cut.codes):
         return
@@ -195,21 +199,29 @@ def count_phrases(
     def counts(of: np.ndarray, phrases: pa.Array, n: np.ndarray) -> pa.RecordBatch:
         return pa.record_batch([names.take(pa.array(of)), phrases, pa.array(n.astype(np.int64))], names=["lang", "phrase", "n"])
 
-    if frequent is not None:
-        total = np.bincount(lang, minlength=len(names))
-        yield counts(np.flatnonzero(total), pa.nulls(int((total > 0).sum()), pa.string()), total[total > 0])
+    total = np.bincount(lang, minlength=len(names))
+    yield counts(np.flatnonzero(total), pa.nulls(int((total > 0).sum()), pa.string()), total[total > 0])
     old = np.zeros(0, bool)
     for level in _levels(cut, lang, _salts(names), longest):
         codes = level.codes
         # Single words have no ends: all of them were counted first.
-        asked = ~(old[level.head] & old[level.tail]) if level.k > 1 else np.zeros(len(codes), bool)
-        if frequent is not None:
-            asked |= frequent.has(codes)
+        new = ~(old[level.head] & old[level.tail]) if level.k > 1 else np.zeros(len(codes), bool)
+        often = frequent.has(codes)
+        asked = new | often
         if asked.any():
             first = level.first[asked]
             yield counts(lang[first], cut.phrases(first, level.k), level.n[asked])
         old = counted.has(codes)
-        _stopped(level, wanted.has(codes))
+        _stopped(level, old | asked)
+
+
+def _added_up(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """One row for each code, with its counts added."""
+    codes, n = (np.concatenate(columns) for columns in zip(*parts, strict=True))
+    order = np.argsort(codes)
+    codes, n = codes[order], n[order]
+    starts = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
+    return pa.record_batch([pa.array(codes[starts].view(np.int64)), pa.array(np.add.reduceat(n, starts))], names=["code", "n"])
 
 
 def _count_codes(docs: DataFrame, one_in: int, levels: range, known: int, wanted: Filter | None) -> DataFrame:
@@ -217,49 +229,32 @@ def _count_codes(docs: DataFrame, one_in: int, levels: range, known: int, wanted
     sent = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, most=SLICE):
+        held, n_held = [], 0
+        for batch in slices(batches):
             salts = batch.column("salt").to_numpy().view(np.uint64)
-            yield from count_codes(batch.column("text"), batch.column("lang"), salts, one_in, levels, known, sent.value)
+            for codes, n in count_codes(batch.column("text"), batch.column("lang"), salts, one_in, levels, known, sent.value):
+                held.append((codes, n))
+                n_held += len(codes)
+            if n_held >= HELD_CODES:
+                yield _added_up(held)
+                held, n_held = [], 0
+        if n_held:
+            yield _added_up(held)
 
     return docs.mapInArrow(run, _CODES).groupBy("code").agg(F.sum("n").alias("n"))
 
 
-def _count_phrases(docs: DataFrame, longest: int, wanted: Filter, counted: Filter, frequent: Filter | None) -> DataFrame:
+def _count_phrases(docs: DataFrame, longest: int, counted: Filter, frequent: Filter) -> DataFrame:
     """Counts of one pass over ``docs`` by text."""
-    sent = docs.sparkSession.sparkContext.broadcast((wanted, counted, frequent))
+    sent = docs.sparkSession.sparkContext.broadcast((counted, frequent))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, most=SLICE):
+        for batch in slices(batches):
             yield from count_phrases(batch.column("text"), batch.column("lang"), longest, *sent.value)
 
     return docs.select("lang", "text").mapInArrow(run, _COUNTS).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
 
-def _codes(batch: pa.RecordBatch) -> np.ndarray:
-    """The codes of phrases (lang, phrase), as the slices have them."""
-    data, offsets = text_buffers(batch.column("phrase"))
-    starts, ends = runs(data != 0x20, offsets)
-    words = hash_spans(data, starts, ends)
-    lang = batch.column("lang").dictionary_encode()
-    salt = _salts(lang.dictionary)[lang.indices.to_numpy()]
-    at = np.searchsorted(starts, offsets)
-    sizes, hashes = np.diff(at), np.zeros(batch.num_rows, np.uint64)
-    for k in range(int(sizes.max())):
-        some = np.flatnonzero(sizes > k)
-        word = mix(words[at[some] + k] ^ salt[some])
-        hashes[some] = _joined(hashes[some], word) if k else word
-    return (hashes & ~_LEVEL) | sizes.astype(np.uint64)
-
-
-def _coded(phrases: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield pa.record_batch([pa.array(_codes(batch).view(np.int64))], names=["code"])
-
-    return phrases.select("lang", "phrase").mapInArrow(run, "code bigint")
-
-
 def _with(codes: DataFrame, base: Filter | None, bits: int) -> Filter:
     """``base`` and some codes: the bits are set in tasks, and their words combined."""
 
@@ -300,10 +295,9 @@ def frequent_phrases(
     one_in: int = SAMPLE_ONE_IN,
     caution: float = CAUTION,
     bits: int = FILTER_BITS,
-) -> tuple[DataFrame, int]:
+) -> DataFrame:
     """(lang, phrase, n) of all phrases of up to ``longest`` words that occur ``least`` times or more in
-    their language, with one row (lang, null, number of words) for each language; and the number of passes
-    over everything, two at least.
+    their language, with one row (lang, null, number of words) for each language.
 
     The result does not depend on ``one_in``, ``caution`` or ``bits``.
     """
@@ -312,18 +306,8 @@ def frequent_phrases(
     wanted = _proposed(docs, one_in, max(2, int(least * caution / one_in)), longest, bits)
     counts = _count_codes(docs, 1, range(1, longest + 1), longest, wanted)
     frequent = _with(counts.where(F.col("n") >= least), None, bits)
-    counted, wanted = wanted, Filter(wanted.bits | frequent.bits)
-    found, passes = None, 1
-    while True:
-        counts = _count_phrases(docs, longest, wanted, counted, frequent if found is None else None)
-        new = cut_lineage(counts.where((F.col("n") >= least) | F.col("phrase").isNull()))
-        found, passes = (new if found is None else found.unionByName(new)), passes + 1
-        # Phrases of the greatest length have no border; the others propose again.
-        proposing = new.where(F.col("phrase").isNotNull() & (F.size(F.split("phrase", " ")) < longest))
-        extended = _with(_coded(proposing), wanted, bits)
-        if np.array_equal(extended.bits, wanted.bits):
-            return found, passes
-        wanted, counted = extended, wanted
+    found = _count_phrases(docs, longest, wanted, frequent)
+    return cut_lineage(found.where((F.col("n") >= least) | F.col("phrase").isNull()))
 
 
 def _scored(found: DataFrame) -> DataFrame:
@@ -372,7 +356,7 @@ def collocations(docs: DataFrame, kept: int = KEPT, **mining) -> DataFrame:
     A null or empty text has no words and a null language is ``und``.  Repeated rows count each.
     Other columns are not read.  ``mining`` goes to :func:`frequent_phrases`.
     """
-    found, _passes = frequent_phrases(docs, **mining)
+    found = frequent_phrases(docs, **mining)
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
     # The first of each part of a language, then the first of those, so that no task orders a whole language.
     part = F.pmod(F.xxhash64("phrase"), F.lit(64))
