@@ -26,10 +26,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripweave.operators import changes, documents, graph, quality, relational, synth
+from tripweave.operators import changes, documents, graph, quality, relational, stored, synth
 from tripweave.plans.registry import REACHABLE_FROM
 from tripweave.session import build_session, fresh_folder
 from tripweave.sources.star_view import star_schema_view
+from tripweave.sources.store import Snapshot, Store
 from tripweave.sources.tables import load_tables, save_tables, write_table
 
 Tables = dict[str, DataFrame]
@@ -44,7 +45,9 @@ def load(spark: SparkSession, sf_dir: str, point: str) -> Tables:
     save_tables({name: view[name] for name in ("users", "stations", "trips", "events")}, folder)
     tables = load_tables(spark, folder)
     write_table(documents.embed_events(tables["trips"], tables["events"]), f"{folder}/trip_documents")
-    return tables | {"docs": spark.read.parquet(f"{folder}/trip_documents")}
+    store = Store(spark, f"{folder}/store", stored.layouts(16))
+    store.create({name: tables[name] for name in ("users", "stations", "trips")})
+    return tables | {"docs": spark.read.parquet(f"{folder}/trip_documents"), "stored": store.snapshot()}
 
 
 def pagerank(t: Tables) -> DataFrame:
@@ -56,6 +59,12 @@ def components(t: Tables) -> DataFrame:
     return graph.component_sizes(found, t["stations"])
 
 
+def one_rider(now: Snapshot) -> DataFrame:
+    """One rider's question on the stored layout: the rider's bucket of each table."""
+    trips, users = (now.lookup(name, user_id=REACHABLE_FROM) for name in ("trips", "users"))
+    return graph.reachable_stations(trips, users, now.read("stations"), REACHABLE_FROM)
+
+
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "q1_trip_details": lambda t: relational.trip_details(t["trips"], t["users"], t["stations"]),
     "q2_user_stats": lambda t: relational.user_stats(t["trips"], t["users"]),
@@ -66,6 +75,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "q3_active_station_counts": lambda t: documents.active_station_counts(t["docs"], t["stations"]),
     "q4_error_trips_embedded": lambda t: documents.trips_with_embedded_event(t["docs"]),
     "graph_reachable_stations": lambda t: graph.reachable_stations(t["trips"], t["users"], t["stations"], REACHABLE_FROM),
+    "stored_reachable_stations": lambda t: one_rider(t["stored"]),
     "graph_top_stations": lambda t: graph.top_stations(t["trips"], t["users"], t["stations"]),
     "graph_pagerank_top3": pagerank,
     "graph_component_sizes": components,

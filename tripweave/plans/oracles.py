@@ -630,6 +630,12 @@ def oracle_sql() -> dict[str, str]:
                         THEN lpad(CAST(s_suppkey AS VARCHAR), 4, '0') ELSE CAST(s_suppkey AS VARCHAR) END AS name,
                    {_CITY} AS city, 5 + {_below(46, "station:capacity", "s_suppkey + 1")} AS capacity
             FROM supplier""",
+        "gen_options": _with(f"""
+            SELECT table_name, n AS n_rows, CASE WHEN n > 0 THEN 1 END AS least, CASE WHEN n > 0 THEN n END AS greatest FROM (
+                SELECT 'users' AS table_name, count(*) AS n FROM users
+                UNION ALL SELECT 'stations', greatest({synth.MIN_STATIONS}, count(*) // {synth.USERS_PER_STATION}) FROM users
+                UNION ALL SELECT 'trips', count(*) FROM trips
+                UNION ALL SELECT 'events', {EVENTS_PER_TRIP + 1} * count(*) FROM trips)"""),
         "gen_trips": _with(_MADE_TRIPS),
         "gen_events": _with(
             f"""

@@ -607,6 +607,19 @@ def _(t: Tables) -> DataFrame:
     return synth.events(_made_trips(t), EVENTS_PER_TRIP, SEED, event_time="trip", with_battery_level=True)
 
 
+@_query("gen_options")
+def _(t: Tables) -> DataFrame:
+    """All tables of the generator for numbers of riders and trips that the given tables have, with other
+    numbers of events and another seed than above: rows, and the least and the greatest key."""
+    spark = t["trips"].sparkSession
+    made = synth.tables(spark, t["users"].count(), t["trips"].count(), EVENTS_PER_TRIP + 1, SEED + 1)
+    ends = []
+    for name, df in made.items():
+        key = F.col(model.KEYS[name]).cast("bigint")
+        ends.append(df.agg(F.lit(name).alias("table_name"), F.count("*").alias("n_rows"), F.min(key).alias("least"), F.max(key).alias("greatest")))
+    return reduce(DataFrame.unionByName, ends)
+
+
 # ---- Sources and sinks ----------------------------------------------------------
 
 
