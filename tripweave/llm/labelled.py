@@ -16,16 +16,25 @@ def remainder(folds: int):
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, most: int) -> DataFrame:
     """(text, label, part) of at most ``most`` labelled documents outside the held-out fold.
 
-    The sample is the rows of ``labels`` with the least hashes of their ids, a documented bound;
-    ``part`` in [0, 10) is drawn by another hash.  Null ids and null labels do not take part.
-    Only this bounded list is broadcast to the documents.
+    The sample is the ids of ``labels`` with the least hashes, a documented bound; ``part`` in [0, 10) is
+    drawn by another hash.  Null ids and null labels do not take part, nor do ids that are labelled both ways.
+    An id that is repeated in ``labels`` counts once, and of several documents of one id the text with the least
+    hash is taken, so there are never more rows than ids.  Only the bounded list of ids is broadcast to the documents.
     """
+    known = F.col("doc_id").isNotNull() & F.col(label).isNotNull() & (remainder(folds) != held_out)
+    value = F.col(label).cast("int")
     ids = (
         pick(labels, "doc_id", label)
-        .where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & (remainder(folds) != held_out))
-        .select("doc_id", F.col(label).cast("int").alias("label"))
-        .orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id", "label")
+        .where(known)
+        .groupBy("doc_id")
+        .agg(F.min(value).alias("label"), F.max(value).alias("other"))
+        .where(F.col("label") == F.col("other"))
+        .drop("other")
+        .orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id")
         .limit(most)
     )
     part = F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(10)).cast("int").alias("part")
-    return pick(docs, "doc_id", "text").join(F.broadcast(ids), "doc_id").select("text", "label", part)
+    # Repeats of an id are reduced in each task before they are shuffled.
+    one = F.min_by(F.struct("text"), F.xxhash64("text")).alias("one")
+    rows = pick(docs, "doc_id", "text").join(F.broadcast(ids), "doc_id").groupBy("doc_id", "label").agg(one)
+    return rows.select("one.text", "label", part)
