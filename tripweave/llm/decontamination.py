@@ -96,8 +96,8 @@ def mark_contamination(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, s
     ``docs`` must not have columns of the names above.
 
     One set is broadcast if the benchmark is within ``set_words``, which bounds its size; a
-    larger benchmark is dealt into several sets that the same rows pass one after the other, so
-    neither a task nor the driver holds more than one.
+    larger benchmark is dealt into several sets that the same rows pass one after the other, stored
+    between them, so neither a task nor the driver holds more than one.
     """
     pieces = cut_lineage(_pieces(benchmark, n))
     total = pieces.agg(F.sum(F.size("words"))).first()[0] or 0
@@ -128,6 +128,10 @@ def mark_contamination(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, s
 
         schema = T.StructType([f for f in out.schema.fields if f.name != "n_words"] + [T.StructField("n_words", T.LongType())])
         out = out.mapInArrow(scan, schema)
+        if k + 1 < sets:
+            # A stage ends here, so that the next one holds the next set alone.
+            out = cut_lineage(out)
+            known.unpersist()
     return out
 
 
