@@ -101,10 +101,61 @@ def test_one_of_each_stays(spark):
     assert kept.columns == whole.columns and {r.doc_id for r in kept.collect()} == {c for c, _ in classes.values()}
 
 
-def test_prefixes_and_signatures():
-    assert nd.prefix_length() == 4 and nd.prefix_length(0.99) == 6
+def test_signatures_and_paths():
     texts = ["a b c d e f g", "", "x", "a b c d e f g", "f g h"]
     values, at = nd.shingles(*text_buffers(pa.array(texts)))
     assert np.diff(at).tolist() == [3, 0, 1, 3, 1]
-    sig = nd.signatures(values, at, 4)
+    sig = nd.signatures(values, at)
     assert (sig[0] == sig[3]).all() and (sig[0] != sig[4]).any() and not sig[1].any()
+    paths = nd.paths_of(sig)
+    labels = sig.reshape(-1, nd.TREES, nd.DEPTH)
+    for k in range(nd.TREES):
+        order = sorted(range(5), key=lambda i: labels[i, k].tolist())
+        assert paths[:, k][order].tolist() == sorted(paths[:, k].tolist())
+
+
+def test_ranges_of_sorted_paths():
+    draw = np.random.default_rng(3)
+    sig = draw.integers(0, 3, (200, nd.TREES * nd.DEPTH)).astype(np.uint8)
+    paths = np.sort(nd.paths_of(sig).ravel())
+    found = nd.crowds_of(paths)
+    for length in range(1, nd.DEPTH + 1):
+        nodes = nd.nodes_of(paths, length)
+        _, inverse, n = np.unique(nodes, return_inverse=True, return_counts=True)
+        at_an_end = (nodes == nodes[0]) | (nodes == nodes[-1])
+        assert (found[:, length - 1] == n[inverse] + len(paths) * at_an_end).all()
+
+
+def test_prefixes_are_shortened_where_that_costs_least():
+    alone = np.ones((1, nd.TREES, nd.DEPTH), np.int64)
+    crowded = alone.copy()
+    crowded[0, :8, :5] = 10_000  # short prefixes of half of the trees are shared by many
+    depths = nd.shortened(np.concatenate([alone, crowded]))
+    assert (nd.recall_of(depths) >= nd.RECALL).all() and nd.DEPTH in depths
+    assert depths[1, :8].min() == nd.DEPTH and depths[1, 8:].min() < nd.DEPTH and (depths[0] != depths[1]).any()
+    # The target just holds: with any one prefix longer it would not.
+    for row in depths:
+        longer = [np.where(np.arange(nd.TREES) == k, row + 1, row) for k in range(nd.TREES) if row[k] < nd.DEPTH]
+        assert any(nd.recall_of(x) < nd.RECALL for x in longer)
+    assert nd.shortened(alone, 0.99).min() == nd.DEPTH and nd.shortened(alone, 0.05).max() == 1
+
+
+def test_texts_ask_with_prefixes_of_their_own(spark):
+    rows = edited(200) + [(1000 + i, " ".join(f"u{i}x{k}" for k in range(40))) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    signed = nd._signed(docs).withColumnRenamed("doc_id", "id").dropDuplicates(["d1", "d2", "n"])
+    found = {r.id: tuple(bytes(r.depth)) for r in nd._depths(signed, nd.THRESHOLD).collect()}
+    assert len(set(found.values())) > 10
+    crowd = [sum(d) for i, d in found.items() if i < 1000]
+    assert np.mean([max(d) for i, d in found.items() if i < 1000]) == nd.DEPTH and min(crowd) >= 16
+    assert all(nd.recall_of(np.array(d)) >= nd.RECALL for d in found.values())
+
+
+def test_links_of_ten_thousand_texts(spark):
+    """Against an inverted count of shingles; the recall is the share of link ends that are found."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    got = {r.doc_id: (r.class_id, r.n_links) for r in nd.near_duplicates(docs).collect()}
+    expected = brute([(r.doc_id, r.text) for r in docs.collect()])
+    assert all(got[i][1] <= expected[i][1] for i in expected)
+    assert sum(n for _, n in got.values()) >= nd.RECALL * sum(n for _, n in expected.values())
+    assert sum(got[i] != expected[i] for i in expected) <= 2

@@ -1,9 +1,12 @@
 """Near-duplicate texts: a MinHash LSH forest for candidates, exact Jaccard of word 5-grams after it.
 
-Every text has a signature of labels in several trees.  Texts with one prefix of labels are
-a node of a tree.  Prefixes start at full depth and are shortened until two texts at the
-threshold meet in some tree with the target recall; the members of a node are then compared:
-first their signatures, then, for those that may be similar, the sets themselves.
+Every text has a path of labels in each of several trees.  The paths of a tree are sorted, so the
+texts that share a prefix with a text are a range of its tree, which binary search finds at any
+length.  Each text asks each tree with a prefix of its own length: it starts with whole paths and shortens
+one prefix after the other, always where that adds the fewest texts for the recall gained, until texts at
+the threshold are found with the target recall.  So it asks crowded branches with long prefixes and
+empty ones with short prefixes.  What shares an asked prefix is compared: first the paths, then, for
+pairs that may be similar, the sets themselves.
 
 No pair is ever a row.  A node is cut into blocks of bounded size and a task compares two
 blocks at a time, so a node with very many members is spread over many tasks; a pair that
@@ -22,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripweave.llm.columns import in_plain_names, pick, slices, text_buffers
-from tripweave.llm.words import mix, powers, windows, words
+from tripweave.llm.words import mix, windows, words
 from tripweave.operators.graph import connected_components
 from tripweave.session import cut_lineage
 
@@ -31,6 +34,8 @@ THRESHOLD = 0.8
 TREES, DEPTH = 16, 6
 RECALL = 0.999
 
+# Sorted paths that are searched at once; a range that may go on beyond them counts as longer than all of them.
+_PATHS = 1 << 20
 # Texts of a node in one block; a task holds two blocks.
 BLOCK = 512
 # Candidate pairs that a task looks at in one step.
@@ -41,12 +46,57 @@ _FACTORS = _DRAW.integers(1, 1 << 63, TREES * DEPTH, dtype=np.uint64) * np.uint6
 _SHIFTS = _DRAW.integers(0, 1 << 63, TREES * DEPTH, dtype=np.uint64)
 
 
-def prefix_length(threshold: float = THRESHOLD, recall: float = RECALL, trees: int = TREES, depth: int = DEPTH) -> int:
-    """The longest prefix at which texts of the threshold still meet in some tree with the target recall."""
-    length = depth
-    while length > 1 and 1 - (1 - threshold**length) ** trees < recall:
-        length -= 1
-    return length
+def recall_of(depths: np.ndarray, threshold: float = THRESHOLD) -> np.ndarray:
+    """The probability that a text at the threshold shares a prefix of these lengths in some tree."""
+    return 1 - np.prod(1 - threshold ** depths.astype(float), axis=-1)
+
+
+def shortened(crowds: np.ndarray, threshold: float = THRESHOLD, recall: float = RECALL) -> np.ndarray:
+    """The prefix length of each text in each tree, from the number of texts at each length:
+    ``crowds[text, tree, length - 1]``.
+
+    Starting from whole paths, a text shortens the prefix that adds the fewest texts for its share of the
+    missing recall, until the target holds.
+    """
+    n, trees, depth = crowds.shape
+    chance = np.array([np.inf, *(-np.log(1 - threshold ** np.arange(1, depth + 1)))])  # of a miss, as minus its logarithm
+    target = -np.log(1 - recall)
+    depths = np.full((n, trees), depth)
+    rows, each = np.arange(n), np.arange(trees)
+    while len(rows):
+        now = depths[rows]
+        known = crowds[rows[:, None], each, now - 1]
+        more = crowds[rows[:, None], each, np.maximum(now - 2, 0)] - known
+        price = np.where(now > 1, (more + 1) / (chance[np.maximum(now - 1, 1)] - chance[now] + 1e-12), np.inf)
+        best = price.argmin(1)
+        open_ = (chance[now].sum(1) < target) & np.isfinite(price[np.arange(len(rows)), best])
+        rows, best = rows[open_], best[open_]
+        depths[rows, best] -= 1
+    return depths.astype(np.uint8)
+
+
+def crowds_of(paths: np.ndarray) -> np.ndarray:
+    """For sorted paths (the tree above their labels): how many share each length of prefix, from 1 on.
+    A range at either end of the paths counts as longer than all of them."""
+    out = np.zeros((len(paths), DEPTH), np.int64)
+    for length in range(1, DEPTH + 1):
+        rest = np.uint64((1 << (8 * (DEPTH - length))) - 1)
+        start, end = np.searchsorted(paths, paths & ~rest, "left"), np.searchsorted(paths, paths | rest, "right")
+        out[:, length - 1] = end - start + len(paths) * ((start == 0) | (end == len(paths)))
+    return out
+
+
+def paths_of(sig: np.ndarray) -> np.ndarray:
+    """The path of each text in each tree as a number that sorts by labels: tree, then the labels."""
+    labels = sig.reshape(len(sig), TREES, DEPTH).astype(np.uint64)
+    weights = np.uint64(1) << (np.uint64(8) * np.arange(DEPTH - 1, -1, -1, dtype=np.uint64))
+    return (labels * weights).sum(2, dtype=np.uint64) | (np.arange(TREES, dtype=np.uint64) << np.uint64(8 * DEPTH))
+
+
+def nodes_of(paths: np.ndarray, length: int) -> np.ndarray:
+    """The node of each path at a length: the length, and the path without the labels beyond it."""
+    rest = np.uint64((1 << (8 * (DEPTH - length))) - 1)
+    return (paths & ~rest) | (np.uint64(length) << np.uint64(8 * DEPTH + 8))
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -88,27 +138,24 @@ def digests(values: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return _sums(mix(values ^ np.uint64(0xA5A5A5A5)), at), _sums(mix(values * _FACTORS[0]), at), np.diff(at)
 
 
-def signatures(values: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
-    """uint8 labels, TREES x ``length`` for each text: a few bits of a MinHash each; zeros for an empty set."""
-    n = len(at) - 1
-    out = np.zeros((n, TREES * length), np.uint8)
+def signatures(values: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """uint8 labels, TREES x DEPTH for each text: a few bits of a MinHash each; zeros for an empty set."""
+    out = np.zeros((len(at) - 1, TREES * DEPTH), np.uint8)
     full = np.flatnonzero(np.diff(at))
     if len(full):
-        for k in range(TREES):
-            for j in range(length):
-                f = k * DEPTH + j
-                least = np.minimum.reduceat((values * _FACTORS[f] + _SHIFTS[f]) >> np.uint64(16), at[full])
-                out[full, k * length + j] = (mix(least) & np.uint64(255)).astype(np.uint8)
+        for f in range(TREES * DEPTH):
+            least = np.minimum.reduceat((values * _FACTORS[f] + _SHIFTS[f]) >> np.uint64(16), at[full])
+            out[full, f] = (mix(least) & np.uint64(255)).astype(np.uint8)
     return out
 
 
-def _signed(docs: DataFrame, length: int) -> DataFrame:
+def _signed(docs: DataFrame) -> DataFrame:
     """(doc_id, d1, d2, n, sig) of every row."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             values, at = shingles(*text_buffers(batch.column("text")))
-            sig = signatures(values, at, length)
+            sig = signatures(values, at)
             columns = [pa.array(x) for x in digests(values, at)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns, pa.array([s.tobytes() for s in sig], pa.binary())], names=["doc_id", "d1", "d2", "n", "sig"])
 
@@ -129,17 +176,26 @@ def _pairs(left: np.ndarray, right: np.ndarray, same: bool) -> Iterator[tuple[np
         yield left[a], right[b]
 
 
-def _candidates(sig: np.ndarray, block: np.ndarray, lo: int, hi: int, tree: int, length: int, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs whose signatures agree often enough for the threshold and that meet in this tree first."""
+def _candidates(
+    sig: np.ndarray, depth: np.ndarray, block: np.ndarray, node: tuple[int, int, int, int], threshold: float
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs whose paths agree often enough for the threshold and that meet in this node first.
+
+    A pair meets in a tree if one of the two asks with a prefix that the other shares: the shorter one of both.
+    """
+    tree, length, lo, hi = node
     labels = sig.shape[1]
     # Five standard errors below what two texts at the threshold agree in.
     enough = threshold * labels - 5 * np.sqrt(labels * threshold * (1 - threshold))
     a, b = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
     for i, j in _pairs(a, a if lo == hi else b, lo == hi):
+        asked = np.minimum(depth[i, tree], depth[j, tree]) == length
+        i, j = i[asked], j[asked]
         equal = sig[i] == sig[j]
         keep = equal.sum(1) >= enough
         i, j, equal = i[keep], j[keep], equal[keep]
-        first = equal.reshape(len(i), TREES, length).all(2).argmax(1) == tree
+        shared = np.minimum.accumulate(equal.reshape(len(i), TREES, DEPTH), 2).sum(2)
+        first = (shared >= np.minimum(depth[i], depth[j])).argmax(1) == tree
         yield i[first], j[first]
 
 
@@ -164,12 +220,13 @@ def _by_node(batches: Iterator[pa.RecordBatch], most: int = 1 << 14) -> Iterator
         yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
-def _nodes(batch: pa.RecordBatch) -> Iterator[tuple[int, int, int, int, int]]:
-    """(first row, end, tree, lo, hi) of the nodes of a sorted batch."""
+def _nodes(batch: pa.RecordBatch) -> Iterator[tuple[int, int, tuple[int, int, int, int]]]:
+    """(first row, end, (tree, length, lo, hi)) of the nodes of a sorted batch."""
     node, lo, hi = (batch.column(c).to_numpy() for c in ("node", "lo", "hi"))
     cuts = np.flatnonzero((node[1:] != node[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])) + 1
     for s, e in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows], strict=True):
-        yield s, e, int(node[s]) >> 32, int(lo[s]), int(hi[s])
+        where = int(node[s]) >> (8 * DEPTH)
+        yield s, e, (where & 255, where >> 8, int(lo[s]), int(hi[s]))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -177,15 +234,15 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return data.reshape(len(column), -1) if len(data) else np.zeros((len(column), 0), np.uint8)
 
 
-def _may_link(length: int, threshold: float) -> Callable:
+def _may_link(threshold: float) -> Callable:
     """The rows of a node that have a candidate in it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _by_node(batches):
-            sig, block = _matrix(batch.column("sig")), batch.column("block").to_numpy()
+            sig, depth, block = _matrix(batch.column("sig")), _matrix(batch.column("depth")), batch.column("block").to_numpy()
             keep = np.zeros(batch.num_rows, bool)
-            for s, e, tree, lo, hi in _nodes(batch):
-                for i, j in _candidates(sig[s:e], block[s:e], lo, hi, tree, length, threshold):
+            for s, e, node in _nodes(batch):
+                for i, j in _candidates(sig[s:e], depth[s:e], block[s:e], node, threshold):
                     keep[s + i] = keep[s + j] = True
             yield batch.filter(pa.array(keep))
 
@@ -211,20 +268,21 @@ def _overlaps(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarra
     return out
 
 
-def _link(length: int, threshold: float) -> Callable:
+def _link(threshold: float) -> Callable:
     """(id, links, root) of the rows of a node with links: copies of the texts they are linked to, and
     the least id they are connected to within the node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _by_node(batches, 1 << 11):
-            sig, block, ids, copies = (_matrix(batch.column("sig")), *(batch.column(c).to_numpy() for c in ("block", "id", "copies")))
+            sig, depth = _matrix(batch.column("sig")), _matrix(batch.column("depth"))
+            block, ids, copies = (batch.column(c).to_numpy() for c in ("block", "id", "copies"))
             data, at = text_buffers(batch.column("shingles"))
             sets = [data[a:b].view(np.uint64) for a, b in zip(at[:-1], at[1:], strict=True)]
             size = np.diff(at) // 8
             links, root = np.zeros(batch.num_rows, np.int64), ids.copy()
-            for s, e, tree, lo, hi in _nodes(batch):
+            for s, e, node in _nodes(batch):
                 joined = []
-                for i, j in _candidates(sig[s:e], block[s:e], lo, hi, tree, length, threshold):
+                for i, j in _candidates(sig[s:e], depth[s:e], block[s:e], node, threshold):
                     small, large = np.minimum(size[s + i], size[s + j]), np.maximum(size[s + i], size[s + j])
                     possible = small >= threshold * large
                     i, j = i[possible], j[possible]
@@ -250,6 +308,65 @@ def _link(length: int, threshold: float) -> Callable:
     return run
 
 
+# ---- The forest ------------------------------------------------------------------
+
+
+def _depths(classes: DataFrame, threshold: float) -> DataFrame:
+    """(id, depth): one byte for each tree, the length of the prefix that a text asks it with."""
+
+    def paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = paths_of(_matrix(batch.column("sig"))).ravel().view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column("id").to_numpy(), TREES)), pa.array(found)], names=["id", "path"])
+
+    def crowds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            held.append(batch)
+            n += batch.num_rows
+            if n >= _PATHS:
+                yield searched(held)
+                held, n = [], 0
+        if n:
+            yield searched(held)
+
+    def searched(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held)
+        path = table.column("path").to_numpy().view(np.uint64)
+        found = np.minimum(crowds_of(path), np.iinfo(np.int32).max).astype("<i4")
+        data = [row.tobytes() for row in found]
+        tree = (path >> np.uint64(8 * DEPTH)).astype(np.int32)
+        return pa.RecordBatch.from_arrays([table.column("id").combine_chunks(), pa.array(tree), pa.array(data, pa.binary())], names=["id", "tree", "crowd"])
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            data = text_buffers(batch.column("crowds").flatten().field("crowd"))[0]
+            found = shortened(data.view("<i4").reshape(batch.num_rows, TREES, DEPTH).astype(np.int64), threshold)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([d.tobytes() for d in found], pa.binary())], names=["id", "depth"])
+
+    # Paths are numbers below 2**63, so their order is that of the labels.
+    sorted_paths = classes.select("id", "sig").mapInArrow(paths, "id bigint, path bigint").repartitionByRange("path", "id").sortWithinPartitions("path", "id")
+    told = sorted_paths.mapInArrow(crowds, "id bigint, tree int, crowd binary")
+    return told.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("tree", "crowd"))).alias("crowds")).mapInArrow(chosen, "id bigint, depth binary")
+
+
+def _entries(classes: DataFrame) -> DataFrame:
+    """(id, node, asks): each text in the nodes above its paths, at the lengths that any text asks with."""
+    byte = F.explode(F.transform(F.sequence(F.lit(1), F.lit(TREES)), lambda i: F.conv(F.hex(F.substring("depth", i, F.lit(1))), 16, 10).cast("int")))
+    used = sorted(r[0] for r in classes.select(byte.alias("d")).distinct().collect())  # DEPTH of them at most
+
+    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            paths, depth, ids = paths_of(_matrix(batch.column("sig"))), _matrix(batch.column("depth")), batch.column("id").to_numpy()
+            for length in used:
+                columns = [pa.array(np.repeat(ids, TREES)), pa.array(nodes_of(paths, length).ravel().view(np.int64)), pa.array((depth == length).ravel())]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "node", "asks"])
+
+    return classes.select("id", "sig", "depth").mapInArrow(entries, "id bigint, node bigint, asks boolean")
+
+
 # ---- The join --------------------------------------------------------------------
 
 
@@ -258,8 +375,7 @@ def _grouped(docs: DataFrame, threshold: float) -> DataFrame:
 
     ``first``: the row's class of equal sets is the one that names the group.
     """
-    length = prefix_length(threshold)
-    signed = cut_lineage(_signed(docs, length))
+    signed = cut_lineage(_signed(docs))
     key = ["d1", "d2", "n"]
     # Texts with equal sets are copies: one of them stands for all.
     classes = cut_lineage(
@@ -269,16 +385,11 @@ def _grouped(docs: DataFrame, threshold: float) -> DataFrame:
         .withColumn("id", F.monotonically_increasing_id())
     )
 
-    def nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = powers(np.uint64(256), length)
-        for batch in batches:
-            sig = _matrix(batch.column("sig")).reshape(batch.num_rows, TREES, length).astype(np.uint64)
-            prefix = mix((sig * weights).sum(2, dtype=np.uint64)) >> np.uint64(32) if length > 4 else (sig * weights).sum(2, dtype=np.uint64)
-            node = (np.arange(TREES, dtype=np.uint64) << np.uint64(32)) | prefix
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column("id").to_numpy(), TREES)), pa.array(node.ravel().view(np.int64))], names=["id", "node"])
-
-    placed = classes.select("id", "sig").mapInArrow(nodes, "id bigint, node bigint")
-    shared = placed.groupBy("node").agg(F.count("*").alias("members")).where("members > 1")
+    # With the length of the prefix that each text asks each tree with.
+    classes = cut_lineage(classes.join(_depths(classes, threshold), "id"))
+    placed = _entries(classes)
+    asked = F.sum(F.col("asks").cast("int")).alias("asked")
+    shared = placed.groupBy("node").agg(F.count("*").alias("members"), asked).where("members > 1 AND asked > 0").drop("asked")
     blocks = F.ceil(F.col("members") / BLOCK)
     block = F.pmod(F.xxhash64("id"), blocks).cast("int")
     other = F.explode(F.sequence(F.lit(0), (blocks - 1).cast("int")))
@@ -287,15 +398,15 @@ def _grouped(docs: DataFrame, threshold: float) -> DataFrame:
         .select("id", "node", block.alias("block"), other.alias("other"))
         .select("id", "node", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
     )
-    spec = "id bigint, node bigint, block int, lo int, hi int, sig binary"
+    spec = "id bigint, node bigint, block int, lo int, hi int, sig binary, depth binary"
     order = ["node", "lo", "hi"]
     hopeful = cut_lineage(
-        members.join(classes.select("id", "sig"), "id")
-        .select("id", "node", "block", "lo", "hi", "sig")
+        members.join(classes.select("id", "sig", "depth"), "id")
+        .select("id", "node", "block", "lo", "hi", "sig", "depth")
         .repartition(*order)
         .sortWithinPartitions(*order)
-        .mapInArrow(_may_link(length, threshold), spec)
-        .drop("sig")
+        .mapInArrow(_may_link(threshold), spec)
+        .drop("sig", "depth")
     )
 
     # The sets of the texts that may be similar to another one, computed from the text again.
@@ -313,15 +424,15 @@ def _grouped(docs: DataFrame, threshold: float) -> DataFrame:
     known = (
         texts.select("text")
         .mapInArrow(sets, "d1 bigint, d2 bigint, n bigint, shingles binary")
-        .join(wanted.select(*key, "id", "copies", "sig"), key)
+        .join(wanted.select(*key, "id", "copies", "sig", "depth"), key)
         .groupBy("id")
-        .agg(F.first("copies").alias("copies"), F.first("sig").alias("sig"), F.first("shingles").alias("shingles"))
+        .agg(*[F.first(c).alias(c) for c in ("copies", "sig", "depth", "shingles")])
     )
     found = cut_lineage(
         hopeful.join(known, "id")
         .repartition(*order)
         .sortWithinPartitions(*order)
-        .mapInArrow(_link(length, threshold), "id bigint, links bigint, root bigint")
+        .mapInArrow(_link(threshold), "id bigint, links bigint, root bigint")
     )
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     edges = found.where("id <> root").select(F.col("id").alias("src"), F.col("root").alias("dst")).distinct()
