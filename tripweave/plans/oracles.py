@@ -330,7 +330,7 @@ _DAMAGED = _with(f"""
 
 # Documents of two versions in one folder.
 _VERSIONED = {
-    "versioned": f"SELECT *, CASE WHEN total_cost < {LOADED_FIRST} THEN 1 ELSE 2 END AS version FROM trips_raw",
+    "versioned": f"SELECT *, CASE WHEN total_cost < {LOADED_FIRST} THEN 1::BIGINT ELSE 2 END AS version FROM trips_raw",
     "with_level": "SELECT DISTINCT trip_id FROM mobility_events WHERE event_type = 'BATTERY'",
 }
 _VERSION_RULES = [
@@ -346,7 +346,7 @@ _VERSION_RULES = [
 ]
 _VERSIONS = _with(
     "\nUNION ALL ".join(
-        f"SELECT {v} AS version, '{rule}' AS rule, count(*) AS n_violations FROM versioned WHERE version = {v} AND {broken}"
+        f"SELECT {v}::BIGINT AS version, '{rule}' AS rule, count(*) AS n_violations FROM versioned WHERE version = {v} AND {broken}"
         for v in (1, 2)
         for rule, broken in _VERSION_RULES
     ),
@@ -631,7 +631,7 @@ def oracle_sql() -> dict[str, str]:
                    {_CITY} AS city, 5 + {_below(46, "station:capacity", "s_suppkey + 1")} AS capacity
             FROM supplier""",
         "gen_options": _with(f"""
-            SELECT table_name, n AS n_rows, CASE WHEN n > 0 THEN 1 END AS least, CASE WHEN n > 0 THEN n END AS greatest FROM (
+            SELECT table_name, n AS n_rows, CASE WHEN n > 0 THEN 1::BIGINT END AS least, CASE WHEN n > 0 THEN n END AS greatest FROM (
                 SELECT 'users' AS table_name, count(*) AS n FROM users
                 UNION ALL SELECT 'stations', greatest({synth.MIN_STATIONS}, count(*) // {synth.USERS_PER_STATION}) FROM users
                 UNION ALL SELECT 'trips', count(*) FROM trips
