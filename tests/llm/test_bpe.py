@@ -5,12 +5,14 @@ import random
 import struct
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from conftest import SMALL
 
 from tripweave.llm import bpe
-from tripweave.llm.chunks import Memory, chunks_of, text_of
+from tripweave.llm.chunks import Memory, chunks_of
+from tripweave.llm.chunks import encoded as chunk_values
 
 PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -26,16 +28,21 @@ def digests(library, text):
     return len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest()
 
 
+def encoded(texts):
+    return bpe.TextEncoder(PATH, public_tokenizers.PATTERN)(pa.array(texts, pa.string()))
+
+
 def test_odd_texts(library):
     draw = random.Random(1)
     texts = ["", " ", "a  b   c", "x \n \n y", "\t \t", " " * 90, "é" * 300, "ab" * 900, "aaaa" * 400, "it's we'll 12 ½²", "😀‍😀　x"]
     texts += ["".join(draw.choice("abcdethinor") for _ in range(1500))]
     texts += ["".join(draw.choice(" \n\tabé'1.!sx") for _ in range(draw.randrange(60))) for _ in range(800)]
-    for text, coded in zip(texts, bpe.text_encoder(PATH, public_tokenizers.PATTERN)(texts), strict=True):
-        ids = b"".join(c[0] for c in coded)
-        assert list(struct.unpack(f"<{len(ids) // 4}I", ids)) == library.encode_ordinary(text), text
-        assert b"".join(c[1] for c in coded) == text.encode()
-        assert "".join(map(text_of, chunks_of(text))) == text
+    texts += ["".join(draw.choice("  \u00a0\u2003\u3000\u0085\u1680\u2028\x1c\x7fa漢ж1.é") for _ in range(draw.randrange(40))) for _ in range(1500)]
+    ids, decoded = encoded(texts)
+    for text, some, back in zip(texts, ids.parts(), decoded.parts(), strict=True):
+        assert some.tolist() == library.encode_ordinary(text), text
+        assert back.tobytes() == text.encode()
+        assert "".join(chunks_of(text)) == text
 
 
 def test_whole_table(spark, library):
@@ -58,8 +65,38 @@ def test_nulls_repeats_and_other_columns(spark, library):
 
 
 def test_memory_forgets_and_keeps():
-    memory = Memory(6)
-    for keys in ({1, 2}, {2, 3}, {4, 5}, {2, 6}, {1}, set(range(10))):
-        new = memory.missing(keys)
-        memory.add(new, [k * k for k in new])
-        assert all(memory.young[k] == k * k for k in keys)
+    memory, asked = Memory(6 * Memory.ENTRY, longest=3), []
+    double = lambda new: asked.extend(new) or [w * 2 for w in new]
+    for keys in ("ab", "bc", "de", "bf", "a", [*"abcdefghij", "long" * 9], ["long" * 9, "1,2"]):
+        got = chunk_values([*keys], lambda c: c.split(","), double, "-".join, memory)
+        assert got == ["11-22" if k == "1,2" else k * 2 for k in keys]
+        assert "long" * 9 not in memory.young
+    assert asked.count("b") < 3 and asked.count("long" * 9) == 2
+
+
+def test_memory_is_bounded_in_bytes():
+    memory = Memory(200_000)
+    for i in range(200):
+        for key in [f"{i}-{j}" for j in range(50)] + ["x" * 50_000 + str(i)]:
+            memory.lookup([key])
+            memory.put(key, key)
+    assert len(memory.young) + len(memory.old) < 2000 and all(len(k) <= 64 for k in [*memory.young, *memory.old])
+
+
+def test_long_words(library):
+    """In seconds, whatever is in them."""
+    draw = random.Random(2)
+    kinds = ["abcdefghijklmnopqrstuvwxyz", "ABCDEFabcdefghijklmnopqrstuvwxyzGHIJKLMNOPQRSTUVWXYZ+/", "a", "ab", "é", "漢字仮名", "01", "=-", " ", "\n "]
+    texts = ["".join(draw.choice(kind) for _ in range(n)) for kind in kinds for n in (65, 1023, 20_000)]
+    texts += ["".join(draw.choice(kinds[0]) for _ in range(100_000)), "x" * 30 + "y" * 70 + "ing" * 400]
+    ids, decoded = encoded(texts)
+    for text, some, back in zip(texts, ids.parts(), decoded.parts(), strict=True):
+        assert some.tolist() == library.encode_ordinary(text) and back.tobytes() == text.encode()
+
+
+def test_indented_texts_leave_little_behind():
+    encoder = bpe.TextEncoder(PATH, public_tokenizers.PATTERN)
+    for i in range(20):
+        lines = [f"\t  if x{i * 50 + j}:\n      y  \n" for j in range(2500)]
+        encoder(pa.array(["".join(lines)]))
+    assert encoder.memory.size < 5_000_000

@@ -1,6 +1,7 @@
 """Bit-packed files against the library's own ids."""
 
 import io
+import random
 import struct
 import zlib
 
@@ -40,7 +41,6 @@ def test_random_access():
 
 def expected(rows):
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True  # the names of special tokens in a text are ordinary text
     out, start = [], 0
     for doc_id, text in rows:
         ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [2]
@@ -49,6 +49,18 @@ def expected(rows):
     return out
 
 
+def test_the_library_as_it_is():
+    """Names of special tokens become these tokens; chunks give what whole texts give."""
+    tokenizer = Tokenizer.from_file(PATH)
+    texts = ["a <|endoftext|> b", "x  <|endoftext|>", "<|endoftext|><|endoftext|>", None, "", "a  b\n c \u2003 d", "caf\u00e9  \u0436\u0436 \u6f22 1 \u00a0 2", " " * 50, "x" * 5000]
+    draw = random.Random(4)
+    texts += ["".join(draw.choice("  \u00a0\u2003\u3000\u0085\x1c\x7f\n\ta漢ж1.é'sʼª²") for _ in range(draw.randrange(60))) for _ in range(2000)]
+    texts += ["".join(draw.choice("  abé'1.!sx") for _ in range(draw.randrange(60))) for _ in range(2000)]
+    got = tf.Encoder(PATH)(pa.array(texts, pa.string()))
+    assert [ids.tolist() for ids in got] == [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert got[0].tolist() == [64, 220, 50256, 275]
+
+
 def test_whole_table(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     tokens = tf.write_tokens(docs, PATH)

@@ -5,6 +5,12 @@ token).  A recursive query joins neighbouring tokens to the merge table, contrac
 leftmost pair of least rank of every word, and goes on until no pair of a word can merge.
 An ordered aggregation over the vocabulary turns ids back into bytes.
 
+A long word is contracted in blocks, which are joined pair by pair: the last tokens of one and the
+first of the next are contracted anew, a few more of them each time until the outermost two come out as
+they were.  Then merging leaves every two neighbours of the result as they are, when it is given these two
+alone; and a first merge across some boundary of the whole word would also be the first one across
+that boundary between its two neighbours alone.  So the result is what merging makes of the whole word.
+
 DuckDB runs inside the Python worker, on one thread, in memory, on bounded batches of
 words; Spark partitions the texts.
 """
@@ -22,16 +28,19 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tripweave.llm.chunks import Encoder, Memory
-from tripweave.llm.columns import pick, ragged, slices
+from tripweave.llm.chunks import Memory, Pieces, encode_by_chunks, encoded
+from tripweave.llm.columns import pick, slices
 
 # Bytes of words in one recursive query.
 BATCH_BYTES = 400_000
-# Different chunks, and different words, that a worker remembers.
-REMEMBERED_CHUNKS = 500_000
-REMEMBERED_WORDS = 900_000
-# Words up to this many bytes contract one pair a round; longer ones all places of their least pair.
+# Bytes of words and their ids that a task remembers, and of text that it encodes at once.
+REMEMBERED_BYTES = 240 << 20
+SLICE = 4 << 20
+# Words with more bytes are cut into blocks of so many.
 SHORT = 64
+# What has more bytes than this, which happens where blocks do not fit together, contracts all places of its least pair.
+LONGEST = 1000
+JOINED_TOKENS = 4
 
 _PLACED = """
   SELECT word, pos, tok, nxt, rank::BIGINT * 1048576 + pos * 1024 + nxt AS pair FROM (
@@ -58,7 +67,7 @@ WITH RECURSIVE state AS (
 SELECT word, pos, tok FROM state WHERE least IS NULL ORDER BY word, pos
 """
 
-# For long words: all places of the least pair that do not overlap, from the left, if its token is
+# For long words where blocks cannot be joined: all places of the least pair that do not overlap, from the left, if its token is
 # "safe": no pair with it as a part has a lower rank, so contracting one place cannot make a pair
 # that would have to come before the others.  Else the leftmost place only.
 _RANKED = """
@@ -105,7 +114,7 @@ class WordCoder:
     def __init__(self, path: str):
         self.ranks = read_ranks(path)
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
-        self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "700MB", "temp_directory": ""})
+        self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "500MB", "temp_directory": ""})
         pairs, unsafe = [], set()
         for token, rank in self.ranks.items():
             for cut in range(1, len(token)):
@@ -115,6 +124,7 @@ class WordCoder:
                     unsafe.update(part for part in (left, right) if part > rank)
         self._table("merges", l=[p[0] for p in pairs], r=[p[1] for p in pairs], rank=[p[2] for p in pairs])
         self._table("unsafe", tok=sorted(unsafe))
+        self.texts = {rank: token for token, rank in self.ranks.items()}
         given = pa.table({"tok": pa.array(list(self.ranks.values()), pa.int32()), "hex": [t.hex() for t in self.ranks]})
         self._take("vocabulary", given)
 
@@ -128,14 +138,49 @@ class WordCoder:
 
     def encode(self, words: list[bytes]) -> list[np.ndarray]:
         """The ids of each word; a word that is a token is that token."""
+        out = [None if (rank := self.ranks.get(w)) is None else np.array([rank], np.uint32) for w in words]
+        for some, encode in ((lambda n: n <= SHORT, self._exact), (lambda n: n > SHORT, self._by_blocks)):
+            todo = [i for i, ids in enumerate(out) if ids is None and some(len(words[i]))]
+            for i, ids in zip(todo, encode([words[i] for i in todo]), strict=True):
+                out[i] = ids
+        return out
+
+    def _by_blocks(self, words: list[bytes]) -> list[np.ndarray]:
+        """The ids of long words, from those of their blocks, of which two become one in each round."""
+        cut = [[w[a : a + SHORT] for a in range(0, len(w), SHORT)] for w in words]
+        blocks = iter(self._exact([b for parts in cut for b in parts]))
+        rows = [[next(blocks) for _ in parts] for parts in cut]
+        while any(len(parts) > 1 for parts in rows):
+            pairs = [(parts[j], parts[j + 1]) for parts in rows for j in range(0, len(parts) - 1, 2)]
+            joined = iter(self._joined(pairs))
+            rows = [[next(joined) if j + 1 < len(parts) else parts[j] for j in range(0, len(parts), 2)] for parts in rows]
+        return [parts[0] for parts in rows]
+
+    def _joined(self, pairs: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
+        """The ids of the bytes of two neighbours, for each pair of them."""
+        out: list = [None] * len(pairs)
+        todo, k = list(range(len(pairs))), JOINED_TOKENS
+        while todo:
+            inner = [[*pairs[i][0][-k:].tolist(), *pairs[i][1][:k].tolist()] for i in todo]
+            found, again = self._exact([b"".join([self.texts[t] for t in ids]) for ids in inner]), []
+            for i, ids in zip(todo, found, strict=True):
+                left, right = pairs[i]
+                same_start = k >= len(left) or ids[0] == left[-k]
+                same_end = k >= len(right) or ids[-1] == right[k - 1]
+                if same_start and same_end:
+                    out[i] = np.concatenate([left[: max(len(left) - k, 0)], ids, right[k:]])
+                else:
+                    again.append(i)
+            todo, k = again, 2 * k
+        return out
+
+    def _exact(self, words: list[bytes]) -> list[np.ndarray]:
+        """The ids of each word by contracting it as a whole."""
         out: list[np.ndarray | None] = [None] * len(words)
         batches: dict[bool, list[int]] = {False: [], True: []}
         size = {False: 0, True: 0}
         for i, word in enumerate(words):
-            if (whole := self.ranks.get(word)) is not None:
-                out[i] = np.array([whole], np.uint32)
-                continue
-            long = len(word) > SHORT
+            long = len(word) > LONGEST
             batches[long].append(i)
             size[long] += len(word)
             if size[long] >= BATCH_BYTES:
@@ -181,27 +226,29 @@ def coder(path: str) -> WordCoder:
     return _CODERS[path]
 
 
-_ENCODERS: dict[tuple, Encoder] = {}
+class TextEncoder:
+    """Arrow texts -> their ids (little-endian unsigned 32-bit integers) and the bytes that the ids decode to.
+
+    Belongs to one task, and what it remembers goes with it.
+    """
+
+    def __init__(self, path: str, pattern: str):
+        self.split, self.words, self.memory = regex.compile(pattern).findall, coder(path), Memory(REMEMBERED_BYTES, SHORT, entry=330)
+
+    def __call__(self, texts: pa.Array) -> tuple[Pieces, Pieces]:
+        ids, decoded = encode_by_chunks(texts, self._chunks, ("<u4", "u1"))
+        return ids, decoded
 
+    def _chunks(self, chunks: list[str]) -> list[tuple[bytes, bytes]]:
+        return encoded(chunks, self.split, self._words, _joined_parts, self.memory)
 
-def text_encoder(path: str, pattern: str) -> Encoder:
-    """texts -> chunks of (ids as little-endian unsigned 32-bit integers, decoded bytes)."""
-    if (path, pattern) in _ENCODERS:
-        return _ENCODERS[path, pattern]
-    split, words = regex.compile(pattern).findall, coder(path)
-    memory = Memory(REMEMBERED_WORDS)
+    def _words(self, new: list[str]) -> Iterator[tuple[bytes, bytes]]:
+        ids = self.words.encode([w.encode() for w in new])
+        return zip([i.astype("<u4").tobytes() for i in ids], self.words.decode(ids), strict=True)
 
-    def encode(chunks: list[str]) -> list[tuple[bytes, bytes]]:
-        pieces = [split(c) for c in chunks]
-        new = memory.missing({w for p in pieces for w in p})
-        ids = words.encode([w.encode() for w in new])
-        memory.add(new, zip([i.astype("<u4").tobytes() for i in ids], words.decode(ids), strict=True))
-        known = memory.young
-        # Most chunks are one word, or a word and a sign.
-        return [known[p[0]] if len(p) == 1 else (b"".join([known[w][0] for w in p]), b"".join([known[w][1] for w in p])) for p in pieces]
 
-    _ENCODERS[path, pattern] = Encoder(encode, REMEMBERED_CHUNKS)
-    return _ENCODERS[path, pattern]
+def _joined_parts(values: list[tuple[bytes, bytes]]) -> tuple[bytes, bytes]:
+    return b"".join([v[0] for v in values]), b"".join([v[1] for v in values])
 
 
 def encode_texts(docs: DataFrame, path: str, pattern: str, with_ids: bool = True) -> DataFrame:
@@ -216,18 +263,16 @@ def encode_texts(docs: DataFrame, path: str, pattern: str, with_ids: bool = True
     picked = pick(docs, "doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = text_encoder(path, pattern)
-        for batch in slices(batches):
-            coded = encode([t or "" for t in batch.column("text").to_pylist()])
-            ids = [b"".join(c[0] for c in parts) for parts in coded]
-            counts = np.array([len(i) // 4 for i in ids], np.int64)
+        encode = TextEncoder(path, pattern)
+        for batch in slices(batches, most=SLICE):
+            ids, decoded = encode(batch.column("text"))
             columns = [batch.column("doc_id")]
             if with_ids:
-                columns.append(ragged(np.frombuffer(b"".join(ids), "<i4"), np.concatenate([[0], np.cumsum(counts)])))
+                columns.append(pa.ListArray.from_arrays(pa.array(ids.offsets, pa.int32()), pa.array(ids.values.view("<i4"))))
             columns += [
-                pa.array(counts),
-                pa.array([hashlib.sha256(i).hexdigest() for i in ids]),
-                pa.array([hashlib.sha256(b"".join(c[1] for c in parts)).hexdigest() for parts in coded]),
+                pa.array(np.diff(ids.offsets)),
+                pa.array([hashlib.sha256(i).hexdigest() for i in ids.parts()], pa.string()),
+                pa.array([hashlib.sha256(d).hexdigest() for d in decoded.parts()], pa.string()),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *[n for n, _ in out]])
 

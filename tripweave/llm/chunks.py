@@ -1,69 +1,147 @@
-"""Encoding each different stretch of text once per worker instead of at every occurrence."""
+"""Encoding each different stretch of text once per slice instead of at every occurrence.
+
+Texts are cut into chunks on their bytes; Arrow numbers the different ones, and numpy puts the encoded chunks
+together again.  Python only sees the different ones.
+"""
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterable, Sequence
+from typing import NamedTuple
 
-# A space between two other white spaces is the one kind of space that may end up inside a match.
-_INNER_SPACE = re.compile(r"\s \s")
+import numpy as np
+import pyarrow as pa
 
+from tripweave.llm.columns import text_buffers
 
-def chunks_of(text: str) -> list[str | tuple[str]]:
-    """Keys of parts of ``text`` that can be encoded alone: ``x`` stands for a space and x, ``(x,)`` for x.
+_SPACE = 0x20
+_BYTES = np.arange(256)
+# First bytes of characters that are no white space, and second and last bytes of those that may be.
+_STARTS_SIGN = ((_BYTES > 0x20) & (_BYTES < 0x7F)) | ((_BYTES >= 0xC3) & ~np.isin(_BYTES, (0xE1, 0xE2, 0xE3)))
+_ENDS_SIGN = (_BYTES > 0x20) & (_BYTES < 0x7F)
+_BEFORE_LAST = np.isin(_BYTES, (0xC2, 0x9A, 0x80, 0x81))
 
-    The pattern takes a space either first in a match (before letters, digits or signs), or in a run
-    of white space, which gives its last character to a following word.  So a cut before a space that
-    has something else on one side at least never changes the matches.  If some space has white
-    space on both sides, the text is one part.
-    """
-    if _INNER_SPACE.search(text):
-        return [(text,)]
-    parts = text.split(" ")
-    parts[0] = (parts[0],)
-    return parts
 
+def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where chunks begin in the bytes of some texts: at the texts that are not empty, and before spaces at
+    which a cut never changes the matches of the pattern.
 
-def text_of(key: str | tuple[str]) -> str:
-    return " " + key if isinstance(key, str) else key[0]
+    The pattern takes a space either first in a match (before letters, digits or signs), or in a run of white
+    space, which gives its last character to a following word.  So matches never cross the place before
+    a space that has something else on one side at least.  Where that is not sure, there is no cut.
+    """
+    at = np.flatnonzero(data == _SPACE)
+    after = data[np.minimum(at + 1, len(data) - 1)]
+    before, second = data[np.maximum(at - 1, 0)], data[np.maximum(at - 2, 0)]
+    # A character of several bytes is white space only if the byte before its last is one of these.
+    sign_before = _ENDS_SIGN[before] | ((before >= 0x80) & ~_BEFORE_LAST[second])
+    ends = np.zeros(len(data) + 1, bool)
+    ends[offsets] = True
+    sure = (sign_before & ~ends[at]) | (_STARTS_SIGN[after] & ~ends[np.minimum(at + 1, len(data))])
+    starts = np.zeros(len(data) + 1, bool)
+    starts[at[sure]] = True
+    starts[offsets[:-1][offsets[1:] > offsets[:-1]]] = True
+    return np.flatnonzero(starts[: len(data)])
+
+
+def chunks_of(text: str) -> list[str]:
+    """Parts of ``text`` that can be encoded alone."""
+    data = np.frombuffer(text.encode(), np.uint8)
+    places = [*cuts(data, np.array([0, len(data)])), len(data)]
+    return [data[a:b].tobytes().decode() for a, b in zip(places, places[1:], strict=False)]
+
+
+class Pieces(NamedTuple):
+    """Values of all texts one after the other; those of text i are offsets[i]:offsets[i + 1]."""
+
+    values: np.ndarray
+    offsets: np.ndarray
+
+    def parts(self) -> list[np.ndarray]:
+        return [self.values[a:b] for a, b in zip(self.offsets[:-1], self.offsets[1:], strict=True)]
+
+
+def gathered(parts: Sequence[bytes], codes: np.ndarray, texts: np.ndarray, kind: str) -> Pieces:
+    """The values (of type ``kind``) of the parts that ``codes`` names in order; ``texts[i]`` of the codes
+    come before text i."""
+    values = np.frombuffer(b"".join(parts), kind)
+    lengths = np.array([len(p) for p in parts], np.int64) // values.itemsize
+    starts = np.cumsum(lengths) - lengths
+    each = lengths[codes]
+    ends = np.concatenate([[0], np.cumsum(each)])
+    place = np.arange(ends[-1]) + np.repeat(starts[codes] - ends[:-1], each)
+    return Pieces(values[place], ends[texts])
+
+
+def encode_by_chunks(texts: pa.Array, encode: Callable[[list[str]], list[tuple[bytes, ...]]], kinds: Sequence[str]) -> list[Pieces]:
+    """The texts encoded by ``encode``, which gives one bytes value of each of ``kinds`` for each different chunk."""
+    data, offsets = text_buffers(texts)
+    starts = cuts(data, offsets) if len(data) else np.zeros(0, np.int64)
+    ends = np.concatenate([starts, [len(data)]])
+    buffers = [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))]
+    chunks = pa.Array.from_buffers(pa.large_string(), len(starts), buffers).dictionary_encode()
+    encoded = encode(chunks.dictionary.to_pylist())
+    codes = chunks.indices.to_numpy().astype(np.int64)
+    columns = list(zip(*encoded, strict=True)) or [[] for _ in kinds]
+    before = np.searchsorted(starts, offsets)
+    return [gathered(column, codes, before, kind) for column, kind in zip(columns, kinds, strict=True)]
 
 
 class Memory:
-    """What is known of some keys, in two generations of at most half of ``most`` entries each.
+    """What is known of some short texts, in two generations of at most half of ``most`` bytes each.
 
     What is asked for moves to the young one.  When that is full, it becomes the old one and the old
-    one is forgotten, so frequent keys stay.  The bound costs time and never changes a result.
+    one is forgotten, so frequent texts stay.  Texts longer than ``longest`` are not remembered.  The bounds
+    cost time and never change a result.
     """
 
-    def __init__(self, most: int):
-        self.half, self.young, self.old = most // 2, {}, {}
-
-    def missing(self, wanted: set) -> list:
-        """The keys that are not known; all others are then in ``young``."""
-        if len(self.young) + len(wanted) > self.half:
-            self.young, self.old = {}, self.young
-        away = [k for k in wanted if k not in self.young]
-        self.young.update((k, self.old[k]) for k in away if k in self.old)
-        return [k for k in away if k not in self.old]
-
-    def add(self, keys: list, values: Iterable) -> None:
-        self.young.update(zip(keys, values, strict=True))
-
-
-class Encoder:
-    """texts -> lists of encoded chunks, whose concatenation is the encoded text.
-
-    ``encode`` gives a value for each of different chunks; it is asked once for a chunk as long as
-    that is remembered.
-    """
-
-    def __init__(self, encode: Callable[[list[str]], list], most: int):
-        self.encode, self.memory = encode, Memory(most)
-
-    def __call__(self, texts: Sequence[str]) -> list[list]:
-        parts = [chunks_of(t) for t in texts]
-        new = self.memory.missing(set().union(*parts))
-        if new:
-            self.memory.add(new, self.encode([text_of(c) for c in new]))
-        known = self.memory.young
-        return [[known[c] for c in p] for p in parts]
+    ENTRY = 200  # bytes of a text and its value besides their length
+
+    def __init__(self, most: int, longest: int = 64, entry: int = ENTRY):
+        self.half, self.longest, self.entry = most // 2, longest, entry
+        self.young, self.old, self.size = {}, {}, 0
+
+    def lookup(self, wanted: Iterable[str]) -> dict:
+        """Those that are known, with their values."""
+        if self.size > self.half:
+            self.young, self.old, self.size = {}, self.young, 0
+        young, old, out = self.young, self.old, {}
+        for k in wanted:
+            value = young.get(k)
+            if value is None:
+                value = old.get(k)
+                if value is None:
+                    continue
+                self.put(k, value)
+            out[k] = value
+        return out
+
+    def put(self, key: str, value) -> None:
+        if len(key) <= self.longest:
+            self.young[key] = value
+            self.size += self.entry + 3 * len(key)
+
+
+def matches(chunk: str, split: Callable[[str], list[str]]) -> list[str]:
+    """The matches of the pattern in a chunk; letters alone, or after a space, are one."""
+    return [chunk] if chunk.isalpha() or (chunk[0] == " " and chunk[1:].isalpha()) else split(chunk)
+
+
+def encoded(chunks: list[str], split: Callable[[str], list[str]], encode: Callable[[list[str]], Iterable], join: Callable, memory: Memory) -> list:
+    """The value of each chunk: what is remembered, else ``join`` of the values of its matches, of which ``encode``
+    gives those that are not remembered either."""
+    known = memory.lookup(chunks)
+    pieces = {c: matches(c, split) for c in chunks if c not in known}
+    words = dict.fromkeys(w for p in pieces.values() for w in p)
+    values = memory.lookup(words)
+    new = [w for w in words if w not in values]
+    for w, value in zip(new, encode(new), strict=True):
+        values[w] = value
+        memory.put(w, value)
+    for c, p in pieces.items():
+        if len(p) == 1:
+            known[c] = values[p[0]]
+        else:
+            known[c] = join([values[w] for w in p])
+            memory.put(c, known[c])
+    return [known[c] for c in chunks]

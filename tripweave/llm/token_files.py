@@ -15,13 +15,14 @@ import json
 import struct
 import uuid
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 from typing import NamedTuple
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyarrow import fs
 from pyspark import TaskContext
@@ -30,16 +31,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from tripweave.llm.chunks import Encoder, Memory
+from tripweave.llm.chunks import Memory, encode_by_chunks, encoded
 from tripweave.llm.columns import pick, slices
 from tripweave.session import cut_lineage, fresh_folder
 
 MAGIC = b"TIDS"
 BLOCK_IDS = 1 << 16
 END_ID = 2
-# Different chunks of text, and different words, that a worker remembers.
-REMEMBERED_CHUNKS = 700_000
-REMEMBERED_WORDS = 900_000
+SLICE = 4 << 20  # bytes of text that a task encodes at once
+LIBRARY_BATCH = 1000  # texts in one call of the library
+REMEMBERED_BYTES = 320 << 20  # words, chunks and their ids that a worker remembers
 
 _FOOTER = struct.Struct("<IIQQ")
 
@@ -143,59 +144,79 @@ class Reader:
             at += 1
 
 
-_ENCODERS: dict[str, Callable[[list[str]], list[list[bytes]]]] = {}
-
-
-def _splits_like_the_pattern(path: str) -> bool:
-    """Whether the file's tokenizer cuts texts by the public pattern and merges each match alone."""
-    with open(path, encoding="utf-8") as file:
-        spec = json.load(file)
+def _splits_like_the_pattern(spec: dict) -> bool:
+    """Whether a tokenizer cuts texts by the public pattern and merges each match alone."""
     cut, model = spec.get("pre_tokenizer") or {}, spec["model"]
     plain = not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
     own = cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space", True)
     return own and plain and model.get("type") == "BPE" and spec.get("normalizer") is None
 
 
-def _encoder(path: str) -> Callable[[list[str]], list[list[bytes]]]:
-    """texts -> chunks of ids as bytes, by the tokenizers library; one for each worker process.
+# The library's names of bytes: printable ones are themselves, the others follow from 256.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_NAMES = {b: chr(b) for b in _PRINTABLE} | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+
 
-    Where the tokenizer merges each match of the public pattern alone, each different match goes
-    through the library's model once.  Characters beyond the Latin letters, on which two
-    libraries might differ in what a letter is, and other tokenizers, go through the whole library.
+class Encoder:
+    """Arrow texts -> ids by the tokenizers library, as it is: names of special tokens in a text become these tokens.
+
+    Where the tokenizer merges each match of the public pattern alone, each different match goes through the
+    library's model once as long as it is remembered.  Chunks with characters beyond the Latin letters, on which two
+    libraries might differ in what a letter is, texts that hold the name of a special token, and texts for other
+    tokenizers go through the whole library.
     """
-    if path in _ENCODERS:
-        return _ENCODERS[path]
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
 
-    def whole(texts: list[str]) -> list[bytes]:
-        out = []
-        for at in range(0, len(texts), 20_000):
-            coded = tokenizer.encode_batch_fast(texts[at : at + 20_000], add_special_tokens=False)
-            out += [np.array(c.ids, "<u4").tobytes() for c in coded]
-        return out
-
-    if not _splits_like_the_pattern(path):
-        _ENCODERS[path] = lambda texts: [[x] for x in whole(texts)]
-        return _ENCODERS[path]
-
-    split, words, tokenize = regex.compile(public_tokenizers.PATTERN).findall, Memory(REMEMBERED_WORDS), tokenizer.model.tokenize
-    # The library's names of bytes: printable ones are themselves, the others follow from 256.
-    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    others = [b for b in range(256) if b not in printable]
-    names = {**{b: chr(b) for b in printable}, **{b: chr(256 + k) for k, b in enumerate(others)}}
-
-    def encode(chunks: list[str]) -> list[bytes]:
-        latin = [c.isascii() or max(c) < "\u0250" for c in chunks]
-        rest = iter(whole([c for c, ok in zip(chunks, latin, strict=True) if not ok]))
-        pieces = [split(c) if ok else None for c, ok in zip(chunks, latin, strict=True)]
-        new = words.missing({w for p in pieces if p is not None for w in p})
-        named = [w.encode().decode("latin-1").translate(names) for w in new]
-        words.add(new, [struct.pack(f"<{len(ids)}I", *ids) for ids in ([t.id for t in tokenize(w)] for w in named)])
-        known = words.young
-        return [next(rest) if p is None else known[p[0]] if len(p) == 1 else b"".join([known[w] for w in p]) for p in pieces]
-
-    _ENCODERS[path] = Encoder(encode, REMEMBERED_CHUNKS)
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model, self.split = self.tokenizer.model, regex.compile(public_tokenizers.PATTERN).findall
+        self.in_chunks = _splits_like_the_pattern(spec)
+        self.names = [t["content"] for t in spec.get("added_tokens") or []]
+        self.memory = Memory(REMEMBERED_BYTES)
+
+    def whole(self, texts: list[str]) -> Iterator[bytes]:
+        for at in range(0, len(texts), LIBRARY_BATCH):
+            for coded in self.tokenizer.encode_batch_fast(texts[at : at + LIBRARY_BATCH], add_special_tokens=False):
+                yield np.array(coded.ids, "<u4").tobytes()
+
+    def __call__(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text."""
+        texts = texts.fill_null("")
+        apart = np.full(len(texts), not self.in_chunks)
+        for name in self.names:
+            apart |= pc.match_substring(texts, name).to_numpy(zero_copy_only=False)
+        pieces = encode_by_chunks(texts.filter(pa.array(~apart)), self._chunks, ("<u4",))[0]
+        parts, named = iter(pieces.parts()), self.whole(texts.filter(pa.array(apart)).to_pylist())
+        return [np.frombuffer(next(named), "<u4") if a else next(parts) for a in apart.tolist()]
+
+    def _chunks(self, chunks: list[str]) -> list[tuple[bytes]]:
+        return [(v,) for v in encoded(chunks, self._matches, self._words, b"".join, self.memory)]
+
+    def _matches(self, chunk: str) -> list[str]:
+        return self.split(chunk) if _latin(chunk) else [chunk]
+
+    def _words(self, new: list[str]) -> Iterator[bytes]:
+        rest = self.whole([w for w in new if not _latin(w)])
+        for word in new:
+            if not _latin(word):
+                yield next(rest)
+                continue
+            ids = [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(_NAMES))]
+            yield struct.pack(f"<{len(ids)}I", *ids)
+
+
+def _latin(text: str) -> bool:
+    return text.isascii() or max(text) < "\u0250"
+
+
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """The encoder of a file, one for each worker process; what it remembers is bounded in bytes."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
 
 
@@ -235,8 +256,7 @@ def write_tokens(docs: DataFrame, path: str, end_id: int = END_ID, folder: str |
     """Encode every text, append ``end_id``, and write the ids in ascending doc_id order.
 
     Rows are ordered by doc_id (nulls first), then by a hash of the text; rows equal in both are
-    equal.  A null or empty text has the end id alone.  The names of special
-    tokens in a text are ordinary text.  Other columns of ``docs`` are not read.
+    equal.  A null or empty text has the end id alone.  Other columns of ``docs`` are not read.
 
     Texts are range-partitioned before they are encoded, so sampling the ranges costs a scan and no
     encoding; a row number breaks ties, so that many equal rows do not share a task.  A task
@@ -257,17 +277,16 @@ def write_tokens(docs: DataFrame, path: str, end_id: int = END_ID, folder: str |
         part = TaskContext.get().partitionId()
         name = f"{folder}/part-{part:06d}-{uuid.uuid4().hex}.tids"
         writer = out = None
-        encode = _encoder(path)
-        for batch in slices(batches):
+        encode = encoder(path)
+        for batch in slices(batches, most=SLICE):
             if writer is None:
                 system, place = fs.FileSystem.from_uri(name)
                 system.create_dir(place.rpartition("/")[0], recursive=True)
                 out = system.open_output_stream(place)
                 writer = Writer(out, bits)
-            coded = encode([t or "" for t in batch.column("text").to_pylist()])
-            end = struct.pack("<I", end_id)
-            for doc_id, parts in zip(batch.column("doc_id").to_pylist(), coded, strict=True):
-                writer.add(doc_id, np.frombuffer(b"".join([*parts, end]), "<u4"))
+            end = np.array([end_id], np.uint32)
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text")), strict=True):
+                writer.add(doc_id, np.concatenate([ids, end]))
         if writer is not None:
             writer.close()
             out.close()
