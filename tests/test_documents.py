@@ -170,3 +170,45 @@ def test_types_of_the_other_collections(spark):
         "stations.capacity.type": 1,
         "stations.name.type": 1,
     }
+
+
+def test_small_keys_are_cut_without_being_ranged(spark, journeys, monkeypatch):
+    monkeypatch.setattr(documents, "_in_parts", lambda *args: pytest.fail("ranged"))
+    happened = h.events(spark, *[h.event(f"e{i}", 1 + i % 2, "GPS", "1,1") for i in range(7)])
+    docs = documents.embed_events(journeys, happened, part_rows=2)
+    found = sorted((r.trip_id, r.part, r.parts, [e.event_id for e in r.events]) for r in docs.collect())
+    assert found == [
+        (1, 0, 2, ["e0", "e2"]),
+        (1, 1, 2, ["e4", "e6"]),
+        (2, 0, 2, ["e1", "e3"]),
+        (2, 1, 2, ["e5"]),
+        (3, 0, 1, []),
+    ]
+
+
+@pytest.mark.parametrize("part_rows", [2, 4, 10])
+def test_ranged_keys_are_cut_like_small_ones(spark, part_rows, monkeypatch):
+    journeys = h.trips(spark, *[h.trip(i, 1, 10, 20) for i in (1, 2, 3, 3)], h.trip(None, 1, 10, 20))
+    happened = h.events(spark, *[h.event(f"e{i:02d}", 1 if i < 13 else 3, "GPS", "1,1") for i in range(17)])
+
+    def cut() -> list:
+        docs = documents.embed_events(journeys, happened, part_rows=part_rows).collect()
+        return sorted((r.trip_id or 0, r.part, r.parts, [e.event_id for e in r.events]) for r in docs)
+
+    small = cut()
+    monkeypatch.setattr(documents, "_WHOLE_ROWS", 5)
+    assert cut() == small and max(parts for _, _, parts, _ in small) == -(-13 // part_rows)
+
+
+def test_type_rules_read_the_text_once(spark, journeys, happened, tmp_path):
+    from tripweave import model
+
+    docs = documents.embed_events(journeys, happened, part_rows=1)
+    documents.documents_as_json(docs).write.parquet(str(tmp_path / "text"))
+    found = quality.check_document_types(spark.read.parquet(str(tmp_path / "text")), "text", model.TRIP_DOCUMENT, "trips")
+    assert h.plan_of(found).count("FileScan") == 1 and h.counts(found) == {}
+
+
+def test_shapes_inside_events_break_their_rule(spark):
+    lines = ['{"trip_id": 1, "events": [null]}', '{"trip_id": 2, "events": [{"event_id": null}]}', '{"trip_id": 3, "events": null}', '{"trip_id": 4, "events": [[]]}', "null", "5", '"x"', "{}"]
+    assert type_rules(spark, lines) == {"trips.json": 3, "trips.events.type": 2}

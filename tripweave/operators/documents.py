@@ -17,6 +17,8 @@ from tripweave.functions.expressions import mean_minutes, minutes_and_micros, nu
 from tripweave.session import cut_lineage, small_side
 
 PART_ROWS = 10_000
+# Matches of a key that may be one array inside a task, however small the parts it is then cut into.
+_WHOLE_ROWS = 10_000
 _PARTS_PER_BLOCK = 10_000
 
 
@@ -38,11 +40,14 @@ def lookup(
     A left row without matches gets an empty array.  Array elements carry
     ``fields`` (all columns of ``right`` if not given) and are ordered by
     ``order_by``, which must be unique among the matches of a key; the parts of
-    a key are in that order too.  The result has the columns of ``left``, then
+    a key are in that order too.  A key of up to ``_WHOLE_ROWS`` matches is put
+    together in one task and cut there; only the matches of larger ones are
+    ranged and numbered over tasks.  The result has the columns of ``left``, then
     ``part``, ``parts`` and ``into``.
     """
     matches = right.where(F.col(right_key).isNotNull())
-    counts = matches.groupBy(right_key).agg(F.count("*").alias("_n")).where(F.col("_n") > part_rows)
+    limit = max(part_rows, _WHOLE_ROWS)
+    counts = matches.groupBy(right_key).agg(F.count("*").alias("_n")).where(F.col("_n") > limit)
     large, n_large = small_side(
         counts.select(F.col(right_key).alias("_key"), F.ceil(F.col("_n") / part_rows).cast("int").alias("_parts"))
     )
@@ -53,16 +58,30 @@ def lookup(
         # The usual case: one shuffle of the matches, which the join uses as well.
         arrays = keyed.repartition("_key").groupBy("_key")
         joined = left.join(_sorted_items(arrays, into), F.col(left_key) == F.col("_key"), "left")
-        joined = joined.withColumn("part", F.lit(0)).withColumn("parts", F.lit(1))
+        joined = joined.withColumn("part", F.lit(0)).withColumn("parts", F.lit(None).cast("int"))
     else:
         heavy = _in_parts(keyed.join(large.select("_key"), "_key", "left_semi"), f"_item.{order_by}", part_rows)
         usual = keyed.join(large.select("_key"), "_key", "left_anti").withColumn("_part", F.lit(0))
         arrays = usual.unionByName(heavy).repartition("_key", "_part").groupBy("_key", "_part")
         base = left.join(large, F.col(left_key) == F.col("_key"), "left").withColumn("parts", null_as("_parts", 1))
-        base = _numbered_parts(base).drop("_key", "_parts")
+        base = _numbered_parts(base).withColumn("parts", F.col("_parts")).drop("_key", "_parts")
         same = (F.col(left_key) == F.col("_key")) & (F.col("part") == F.col("_part"))
         joined = base.join(_sorted_items(arrays, into), same, "left")
-    return joined.select(*left.columns, "part", "parts", F.coalesce(F.col(into), F.array()).alias(into))
+    items = joined.select(*left.columns, "part", "parts", F.coalesce(F.col(into), F.array()).alias(into))
+    if part_rows >= limit:
+        return items.withColumn("parts", null_as("parts", 1))
+    return _cut(items, into, part_rows).select(*left.columns, "part", "parts", into)
+
+
+def _cut(items: DataFrame, into: str, part_rows: int) -> DataFrame:
+    """The rows with ``parts`` null, which hold all matches of their key, cut into rows of ``part_rows`` each."""
+    whole, array = F.col("parts").isNull(), F.col(into)
+    n = F.greatest(F.lit(1), F.ceil(F.size(array) / part_rows).cast("int"))
+    slices = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.slice(array, i * part_rows + 1, part_rows))
+    others = [c for c in items.columns if c not in ("part", "parts", into)]
+    pieces = F.posexplode(F.when(whole, slices).otherwise(F.array(array))).alias("_at", into)
+    cut = items.select(*others, F.col("part").alias("_first"), F.coalesce("parts", n).alias("parts"), pieces)
+    return cut.withColumn("part", F.col("_first") + F.col("_at")).drop("_first", "_at")
 
 
 def _in_parts(matches: DataFrame, order_by: str, part_rows: int) -> DataFrame:

@@ -281,13 +281,17 @@ def document_table_rules(table: str) -> dict[str, Column]:
     return rules
 
 
-def _once_per_document(flagged: DataFrame, key: str, n: int) -> DataFrame:
-    """Flags of documents from the flags f0, f1, ... of their parts; whole documents do not move.  A row
-    that does not say how many parts it has counts as a document."""
+def _count_documents(flagged: DataFrame, key: str, rules: list[str]) -> DataFrame:
+    """(rule, n_violations) of documents from the flags f0, f1, ... of their parts, which are computed once.
+    Whole documents are added up per task, parts are put together by key.  A row that does not say how many
+    parts it has counts as a document."""
     in_parts = F.coalesce(F.col("parts") > 1, F.lit(False))
-    whole = flagged.where(~in_parts).drop(key, "parts")
-    cut = flagged.where(in_parts).groupBy(key).agg(*[F.bool_or(f"f{i}").alias(f"f{i}") for i in range(n)]).drop(key)
-    return whole.unionByName(cut)
+    placed = flagged.withColumn("in_parts", in_parts).withColumn(key, F.when(F.col("in_parts"), F.col(key)))
+    found = placed.groupBy("in_parts", key).agg(*[F.count_if(f"f{i}").alias(f"f{i}") for i in range(len(rules))])
+    n = [F.coalesce(F.sum(F.when(F.col("in_parts"), F.least(F.col(f"f{i}"), F.lit(1))).otherwise(F.col(f"f{i}"))), F.lit(0)) for i in range(len(rules))]
+    counts = found.agg(*[c.alias(f"n{i}") for i, c in enumerate(n)])
+    pairs = [F.struct(F.lit(name).alias("rule"), F.col(f"n{i}").alias("n_violations")) for i, name in enumerate(rules)]
+    return counts.select(F.inline(F.array(*pairs)))
 
 
 def check_documents(docs: DataFrame, users: DataFrame, stations: DataFrame) -> DataFrame:
@@ -297,9 +301,8 @@ def check_documents(docs: DataFrame, users: DataFrame, stations: DataFrame) -> D
     """
     rules = document_rules(docs)
     flags = [broken.alias(f"f{i}") for i, broken in enumerate(rules.values())]
-    flagged = _once_per_document(with_parts(docs).select("trip_id", "parts", *flags), "trip_id", len(rules))
     return (
-        count_violations(flagged, {name: F.col(f"f{i}") for i, name in enumerate(rules)})
+        _count_documents(with_parts(docs).select("trip_id", "parts", *flags), "trip_id", list(rules))
         .unionByName(count_violations(users, document_table_rules("users")))
         .unionByName(count_violations(stations, document_table_rules("stations")))
     )
@@ -345,16 +348,35 @@ def _fits(value: Column, kind: T.DataType) -> Column:
     return (shape == "STRING") & as_text.try_cast(kind).isNotNull()
 
 
+def _fields(value: Column, kind: T.StructType) -> Column:
+    """The fields of a variant as a struct of variants; null if it is no object."""
+    return F.try_variant_get(value, "$", _of_variants(kind))
+
+
+def _of_variants(kind: T.StructType) -> str:
+    return "struct<" + ",".join(f"`{f.name}`:variant" for f in kind.fields) + ">"
+
+
+def _any_field_broken(fields: Column, kind: T.StructType) -> Column:
+    return reduce(lambda a, b: a | b, [_type_broken(fields[f.name], f.dataType) for f in kind.fields])
+
+
 def _type_broken(value: Column, kind: T.DataType) -> Column:
-    """True if the variant ``value`` is there, is not null, and has not the type of ``kind`` throughout."""
-    there = value.isNotNull() & (_json_shape(value) != "VOID")
+    """True if the variant ``value`` is there, is not null, and has not the type of ``kind`` throughout.
+
+    Objects and arrays are taken apart once; the JSON type is asked of plain values only, since that of a
+    nested one would be put together from all that it holds."""
+    there = value.isNotNull() & ~F.is_variant_null(value)
     if isinstance(kind, T.StructType):
-        inside = [_type_broken(F.try_variant_get(value, f"$.{f.name}", "variant"), f.dataType) for f in kind.fields]
-        broken = ~_json_shape(value).startswith("OBJECT") | reduce(lambda a, b: a | b, inside)
+        fields = _fields(value, kind)
+        broken = fields.isNull() | _any_field_broken(fields, kind)
+    elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType):
+        items = F.try_variant_get(value, "$", f"array<{_of_variants(kind.elementType)}>")
+        broken = items.isNull() | F.exists(items, lambda e: e.isNull() | _any_field_broken(e, kind.elementType))
     elif isinstance(kind, T.ArrayType):
         items = F.try_variant_get(value, "$", "array<variant>")
-        wrong = F.exists(items, lambda e: e.isNull() | (_json_shape(e) == "VOID") | _type_broken(e, kind.elementType))
-        broken = ~_json_shape(value).startswith("ARRAY") | F.coalesce(wrong, F.lit(True))
+        wrong = F.exists(items, lambda e: e.isNull() | F.is_variant_null(e) | _type_broken(e, kind.elementType))
+        broken = items.isNull() | F.coalesce(wrong, F.lit(True))
     else:
         broken = ~_fits(value, kind)
     return there & F.coalesce(broken, F.lit(True))
@@ -365,18 +387,15 @@ def check_document_types(raw: DataFrame, text: str, schema: T.StructType, name:
     shape of its type.  Text that is no JSON object breaks ``<name>.json``; fields that are absent or
     null are the business of the required rules.  A document in parts counts once per rule.
     """
-    document = F.try_parse_json(text)
-    is_object = F.coalesce(_json_shape(document).startswith("OBJECT"), F.lit(False))
-    rules = {f"{name}.json": F.col("text").isNotNull() & ~F.col("is_object")}
+    parsed = raw.select(F.col(text).alias("text"), F.try_parse_json(text).alias("d"))
+    parsed = parsed.select("text", "d", _fields(F.col("d"), schema).alias("fields"))
+    # Text that is no object has no fields.
+    rules = {f"{name}.json": F.col("text").isNotNull() & F.col("fields").isNull()}
     for f in schema.fields:
-        value = F.try_variant_get("d", f"$.{f.name}", "variant")
-        rules[f"{name}.{f.name}.type"] = F.coalesce(F.col("is_object") & _type_broken(value, f.dataType), F.lit(False))
-    parsed = raw.select(F.col(text).alias("text"), document.alias("d"), is_object.alias("is_object"))
+        rules[f"{name}.{f.name}.type"] = F.coalesce(_type_broken(F.col("fields")[f.name], f.dataType), F.lit(False))
     flags = [broken.alias(f"f{i}") for i, broken in enumerate(rules.values())]
-    if "parts" in schema.names:
-        key = F.get_json_object("text", f"$.{model.KEYS[name]}").alias("key")
-        parts = F.try_variant_get("d", "$.parts", "int").alias("parts")
-        flagged = _once_per_document(parsed.select(key, parts, *flags), "key", len(rules))
-    else:
-        flagged = parsed.select(*flags)
-    return count_violations(flagged, {rule: F.col(f"f{i}") for i, rule in enumerate(rules)})
+    if "parts" not in schema.names:
+        return count_violations(parsed.select(*flags), {rule: F.col(f"f{i}") for i, rule in enumerate(rules)})
+    parts = F.try_variant_get("d", "$.parts", "int")
+    key = F.when(parts > 1, F.get_json_object("text", f"$.{model.KEYS[name]}")).alias("key")
+    return _count_documents(parsed.select(key, parts.alias("parts"), *flags), "key", list(rules))
