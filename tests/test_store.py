@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tripweave import model
 from tripweave.operators import changes, documents, graph, stored
 from tripweave.sources import store as store_module
-from tripweave.sources.store import Store
+from tripweave.sources.store import Snapshot, Store
 
 
 class Broken(Exception):
@@ -310,3 +310,59 @@ def test_filters_grow_with_the_table_and_outlive_deletes(spark, make):
     assert h.rows(store.snapshot().known("trips", "trip_id", keys)) == [(2,)]
     assert stored.insert(store, "trips", "again", h.trips(spark, h.trip(1, 2, 10, 20)))
     assert h.rows(store.snapshot().known("trips", "trip_id", keys)) == [(1,), (2,)]
+
+
+def test_a_backfill_leaves_rows_in_their_tasks(spark, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path / "store"), stored.layouts(4))
+    docs = documents.embed_events(
+        h.trips(spark, *[h.trip(i, 1, 10, 20) for i in range(20)]),
+        h.events(spark, *[h.event(f"e{i}", i % 20, "BATTERY", str(i)) for i in range(60)]).withColumn("battery_level", F.lit(None).cast("int")),
+        part_rows=2,
+    )
+    store.create({"trip_documents": docs})
+    asked, write = [], Store.write
+    monkeypatch.setattr(Store, "write", lambda self, table, df, **how: asked.append(how) or write(self, table, df, **how))
+    assert stored.backfill_documents(store) == 20
+    assert asked == [{"in_place": True}]
+    levels = {r.event_id: r.battery_level for r in documents.unwind_events(store.read("trip_documents")).collect()}
+    assert levels == {f"e{i}": i for i in range(60)}
+    for bucket, files in enumerate([store.snapshot().of_buckets("trip_documents", [b]) for b in range(4)]):
+        rows = store.snapshot().read("trip_documents", files)
+        assert {r[0] for r in rows.select(store.layouts["trip_documents"].bucket()).collect()} <= {bucket}
+
+
+def test_a_merge_of_keys_alone_does_not_look_for_files(spark, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path / "store"), stored.layouts(4))
+    old = [(f"T:{i}", "S:1", "STARTS_AT") for i in range(10)]
+    store.create({"edges": spark.createDataFrame(old, stored.EDGES)})
+    monkeypatch.setattr(Snapshot, "with_keys", lambda *args: pytest.fail("looked for files"))
+    new = [(f"T:{i}", "S:1", "STARTS_AT") for i in range(5, 15)]
+    stored.merge(store, "edges", spark.createDataFrame(new + new + [(None, "S:1", "STARTS_AT")], stored.EDGES))
+    assert h.rows(store.read("edges")) == sorted({*old, *new})
+
+
+def test_files_of_keys_are_found_by_hashes_of_their_names(spark, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path / "store"), stored.layouts(4))
+    store.create({"events": h.events(spark, *[h.event(f"e{i}", i, "GPS", "1,1") for i in range(40)])
+                  .withColumn("battery_level", F.lit(None).cast("int"))})
+    now = store.snapshot()
+    keys = spark.createDataFrame([(3,), (3,), (99,), (None,)], "trip_id bigint")
+    monkeypatch.setattr(Snapshot, "holding", lambda *args: pytest.fail("names were shuffled"))
+    found = now.with_keys("events", keys)
+    assert len(found) == 1 and 3 in {r.trip_id for r in now.read("events", found).collect()}
+    assert now.with_keys("events", keys.where("trip_id = 99")) == []
+
+
+def test_a_delete_leaves_rows_in_their_tasks(spark, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path / "store"), stored.layouts(4))
+    store.create({
+        "users": h.users(spark, 1, 2),
+        "trips": h.trips(spark, *[h.trip(i, 1 + i % 2, 10, 20) for i in range(20)]),
+        "events": h.events(spark, *[h.event(f"e{i}", i % 20, "GPS", "1,1") for i in range(60)]).withColumn("battery_level", F.lit(None).cast("int")),
+    })
+    asked, write = {}, Store.write
+    monkeypatch.setattr(Store, "write", lambda self, table, df, **how: asked.update({table: how}) or write(self, table, df, **how))
+    stored.delete_users(store, h.users(spark, 2))
+    assert [asked[t] for t in ("users", "trips", "events")] == [{"in_place": True}] * 3
+    left = [store.read(t).count() for t in ("users", "trips", "events")]
+    assert left == [1, 10, 30]

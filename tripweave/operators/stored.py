@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from tripweave import model
 from tripweave.operators import changes, quality
-from tripweave.session import cut_lineage, fresh_folder, small_side
+from tripweave.session import SMALL_KEY_SET, cut_lineage, fresh_folder, small_side
 from tripweave.sources.store import File, Layout, Snapshot, Store, Written, joined
 from tripweave.sources.tables import read_table, write_table
 
@@ -67,14 +67,17 @@ def merge(store: Store, table: str, batch: DataFrame, properties: list[str] | No
     if properties is None:
         properties = [c for c in batch.columns if c in layout.schema.names and c not in key]
     known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key])
-    batch = cut_lineage(batch.where(known).select(*key, *properties, *([sequence] if sequence and sequence not in [*key, *properties] else [])))
-    hit = now.with_keys(table, batch.select(*key))
-    base = now.read(table, hit)
+    batch = batch.where(known).select(*key, *properties, *([sequence] if sequence and sequence not in [*key, *properties] else []))
     if not properties:
-        new = batch.select(*key).distinct().join(base.select(*key), key, "left_anti")
+        # No file is rewritten, so it need not be told which ones hold a key: one join with the buckets' keys.
+        batch = cut_lineage(batch.select(*key).distinct())
+        new = batch.join(now.read(table, now.near(table, batch)).select(*key), key, "left_anti")
         rest = [c for c in layout.schema.names if c not in key]
         store.commit(store.write(table, new.withColumns({c: F.lit(None) for c in rest})))
         return
+    batch = cut_lineage(batch)
+    hit = now.with_keys(table, batch.select(*key))
+    base = now.read(table, hit)
     one = F.struct(*key)
     merged = changes.upsert(base.withColumn("_id", one), batch.withColumn("_id", one), "_id", properties, sequence)
     merged = merged.select(*[F.col("_id")[c].alias(c) if c in key else F.col(c) for c in layout.schema.names])
@@ -87,8 +90,12 @@ def merge(store: Store, table: str, batch: DataFrame, properties: list[str] | No
 def _without(now: Snapshot, table: str, keys: DataFrame) -> tuple[Written, list[File]]:
     """(new files, files that go) for a table without the rows whose values are among ``keys``."""
     hit = now.with_keys(table, keys)
-    left = now.read(table, hit).join(keys.distinct(), keys.columns, "left_anti")
-    return (now.store.write(table, left) if hit else {}), hit
+    if not hit:
+        return {}, hit
+    gone, n = small_side(keys.distinct())
+    left = now.read(table, hit).join(gone, keys.columns, "left_anti")
+    # Keys that are broadcast leave the rows in the tasks that read them.
+    return now.store.write(table, left, in_place=n <= SMALL_KEY_SET), hit
 
 
 def delete_users(store: Store, doomed: DataFrame) -> None:
@@ -120,7 +127,7 @@ def delete_stations(store: Store, doomed: DataFrame) -> None:
 def _rewritten(now: Snapshot, table: str, needs: Column, columns: list[str], change, **counts: Column) -> dict[str, int]:
     """Rewrite the files with a row that ``needs`` a change, and count while writing.
 
-    The files are found on ``columns`` alone.
+    The files are found on ``columns`` alone.  The change is one of single rows, so these are not dealt again.
     """
     rows = now.read(table, with_file=True).select(*columns, "file")
     hit = now.holding(table, rows.where(needs))
@@ -128,7 +135,7 @@ def _rewritten(now: Snapshot, table: str, needs: Column, columns: list[str], cha
         return dict.fromkeys(counts, 0)
     seen = Observation()
     before = now.read(table, hit).observe(seen, *[F.count_if(c).alias(n) for n, c in counts.items()])
-    new = now.store.write(table, change(before))
+    new = now.store.write(table, change(before), in_place=True)
     now.store.commit(new, {table: hit})
     return seen.get
 

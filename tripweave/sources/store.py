@@ -118,14 +118,18 @@ class Store:
 
     # ---- Writing ----
 
-    def write(self, table: str, df: DataFrame) -> Written:
+    def write(self, table: str, df: DataFrame, in_place: bool = False) -> Written:
         """New files with the rows of ``df``, and with the filters of their keys; they count only after a commit.
 
-        Rows are dealt by bucket; one with very many rows is split over several tasks.
+        Rows are dealt by bucket; one with very many rows is split over several tasks.  ``in_place`` says that the
+        rows come from files of this table one by one, without a shuffle: those lie by bucket already and stay
+        in their tasks.
         """
         layout, run = self.layouts[table], f"{self.root}/{table}/run={uuid.uuid4().hex}"
         typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in _nullable(layout.schema).fields])
-        dealt = typed.withColumn(BUCKET, layout.bucket()).hint("rebalance", F.col(BUCKET))
+        dealt = typed.withColumn(BUCKET, layout.bucket())
+        if not in_place:
+            dealt = dealt.hint("rebalance", F.col(BUCKET))
         if layout.sort_by:
             dealt = dealt.sortWithinPartitions(BUCKET, *layout.sort_by)
         dealt.write.partitionBy(BUCKET).parquet(run)
@@ -222,15 +226,21 @@ class Snapshot:
         """The files that hold a row whose values are among ``keys``, columns of the table.
 
         If the keys have all columns that the table is dealt by, only the buckets they fall in are looked
-        at, and of those only the key columns.
+        at, and of those only the key columns.  A file goes through the join as a hash of its name; should
+        two names share one, both files are taken.
         """
         layout, columns = self.store.layouts[table], keys.columns
         keys, n = small_side(keys.distinct())
         if not n:
             return []
         some = self.near(table, keys) if set(layout.bucket_by) <= set(columns) else self.files[table]
-        rows = self.read(table, some, with_file=True).select(*columns, "file")
-        return self.holding(table, rows.join(keys, columns, "left_semi"))
+        if not some:
+            return []
+        rows = self.read(table, some, with_file=True).select(*columns, F.xxhash64("file").alias("file"))
+        hashes = {row[0] for row in rows.join(keys, columns, "left_semi").select("file").distinct().collect()}
+        named = self.store.spark.createDataFrame([(f.path,) for f in some], "path string").select("path", F.xxhash64("path"))
+        paths = {path for path, its_hash in named.collect() if its_hash in hashes}
+        return [f for f in some if f.path in paths]
 
 
 def _file_of() -> Column:
