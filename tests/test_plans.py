@@ -246,3 +246,10 @@ def test_components_compute_their_roots_once(spark, monkeypatch):
     # One cut for the pairs of each round, and the roots only every few rounds and at the end.
     assert pairs + roots == len(cuts) and roots <= (pairs - 1) // 3 + 1
     assert {r.component for r in found.collect()} == {0}
+
+
+def test_mixed_documents_are_nested_once(stored, monkeypatch):
+    plans, write = [], registry.write_version
+    monkeypatch.setattr(registry, "write_version", lambda df, *args: plans.append(h.plan_of(df)) or write(df, *args))
+    registry.on_tables()["io_documents_versions"](stored)
+    assert len(plans) == 3 and not any("Exchange" in plan or "/events" in plan for plan in plans)

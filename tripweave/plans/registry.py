@@ -738,7 +738,7 @@ def _mixed_documents(t: Tables) -> DataFrame:
     do not; the cheapest have levels although they are of the first version."""
     spark, cost = t["trips_raw"].sparkSession, F.col("total_cost")
     folder = fresh_folder(spark, "versions")
-    docs = documents.embed_events(t["trips_raw"], t["events"])
+    docs = _stored_state(documents.embed_events(t["trips_raw"], t["events"]))  # read by three writes
     filled, old = changes.backfill_battery_nested(docs), F.coalesce(cost < LOADED_FIRST, F.lit(False))
     write_version(docs.where(old & (cost >= REPEATED_BELOW)), folder, 1)
     write_version(filled.where(old & (cost < REPEATED_BELOW)), folder, 1)
