@@ -157,6 +157,31 @@ def test_components_of_text_keys_compare_as_text(spark):
     assert labels_of(graph.connected_components(links, places)) == {"10": "10", "9": "10", "8": "8"}
 
 
+def test_rounds_of_components_move_numbers_of_known_size(spark, monkeypatch):
+    """Text keys stay out of the rounds, and no round inherits the size that was estimated for the joins before it."""
+    seen, moves = [], graph._moves
+
+    def sized(pairs, rounds):
+        seen.append((dict(pairs.dtypes), int(str(pairs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))))
+        return moves(pairs, rounds)
+
+    monkeypatch.setattr(graph, "_moves", sized)
+    names = [f"T:{i}" for i in range(60)]
+    places = spark.createDataFrame([(n,) for n in names], "station_id string")
+    links = spark.createDataFrame(list(zip(names, names[1:], strict=False)), "src string, dst string")
+    assert labels_of(graph.connected_components(links, places)) == dict.fromkeys(names, "T:0")
+    assert len(seen) > 1
+    assert all(types == {"a": "bigint", "b": "bigint"} and size < 1 << 20 for types, size in seen)
+
+
+def test_components_of_repeated_and_missing_keys(spark):
+    """Each row of the stations keeps its row, and a missing key is linked to nothing."""
+    places = spark.createDataFrame([("b",), ("b",), ("a",), (None,), (None,), ("c",)], "station_id string")
+    links = spark.createDataFrame([("b", "a"), (None, "c"), ("c", "z"), ("z", "a")], "src string, dst string")
+    found = h.rows(graph.connected_components(links, places))
+    assert found == [("a", "a"), ("b", "a"), ("b", "a"), ("c", "c"), (None, None), (None, None)]
+
+
 def test_empty_graph(spark):
     nothing, nowhere = edges_of(spark, []), h.stations(spark)
     assert graph.pagerank(nothing, nowhere).collect() == []

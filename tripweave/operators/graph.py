@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripweave.operators.relational import station_counts
-from tripweave.session import cut_lineage, fixed_plan, small_side
+from tripweave.session import cut_lineage, fixed_plan, fresh_folder, small_side
+from tripweave.sources.tables import read_table, write_table
 
 # ---- Fixed values of the ranking -------------------------------------------
 DAMPING = 0.85
@@ -252,17 +253,32 @@ def top_ranked(ranked: DataFrame, k: int = 3, digits: int = 8) -> DataFrame:
     return rounded.orderBy(F.col("rank").desc(), "station_id").limit(k)
 
 
-def undirected_pairs(edges: DataFrame, stations: DataFrame) -> DataFrame:
-    """Distinct (a, b) with a < b of linked, known, different stations."""
-    nodes = stations.select("station_id")
-    return (
-        edges.where(F.col("src") != F.col("dst"))
-        .select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"))
-        .distinct()
-        .join(nodes.withColumnRenamed("station_id", "a"), "a", "left_semi")
-        .join(nodes.withColumnRenamed("station_id", "b"), "b", "left_semi")
-        .select("a", "b")
-    )
+def undirected_pairs(edges: DataFrame, stations: DataFrame, number: str = "station_id") -> DataFrame:
+    """Distinct (a, b) with a < b of linked, known, different stations, each named by its column ``number``."""
+    known = stations.select("station_id", F.col(number).alias("number")).dropDuplicates(["station_id"])
+    ends = [known.select(F.col("station_id").alias(c), F.col("number").alias(f"{c}_number")) for c in ("src", "dst")]
+    a, b = F.col("src_number"), F.col("dst_number")
+    linked = edges.where(F.col("src") != F.col("dst")).select("src", "dst").join(ends[0], "src").join(ends[1], "dst")
+    return linked.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
+
+
+def _stored(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and continue from files.
+
+    Not by a checkpoint: that keeps the size that was estimated for it, for a join the product of its sides.  Round
+    on round the numbers get millions of digits, and planning takes longer than the work.  Files have a real size.
+    """
+    folder = fresh_folder(df.sparkSession, "graph")
+    write_table(df, folder)
+    return read_table(df.sparkSession, folder, df.schema)
+
+
+def _numbered(stations: DataFrame) -> DataFrame:
+    """(station_id, number, rows): every different key with a number, stored.  Numbers ascend with the keys,
+    since they follow the ranges that the keys are dealt into and their order in each."""
+    spread = stations.select("station_id").repartitionByRange("station_id")
+    keys = spread.groupBy("station_id").agg(F.count("*").alias("rows")).sortWithinPartitions("station_id")
+    return _stored(keys.select("station_id", F.monotonically_increasing_id().alias("number"), "rows"))
 
 
 def connected_components(edges: DataFrame, stations: DataFrame) -> DataFrame:
@@ -277,33 +293,38 @@ def connected_components(edges: DataFrame, stations: DataFrame) -> DataFrame:
     rounds, and the work of all rounds together is a small multiple of the
     first.  There is no limit on rounds: in every round each linked group loses
     at least one station.
+
+    Keys are numbered in their order first, so the rounds move pairs of integers, whatever the keys are.  Each
+    round stores its moves; they are followed from the last round back, so every round is joined with
+    its own stations only.
     """
-    labels = stations.select("station_id", F.col("station_id").alias("component"))
-    pairs = cut_lineage(undirected_pairs(edges, stations))
-    roots, rounds = None, 0
+    nodes = _numbered(stations)
+    pairs = _stored(undirected_pairs(edges, nodes, "number"))
+    moves = []
     while not pairs.isEmpty():
-        move = _moves(pairs, rounds)
+        move = _stored(_moves(pairs, len(moves)))
+        moves.append(move)
         to_a = move.select("a", F.col("root").alias("ra"))
         to_b = move.select(F.col("a").alias("b"), F.col("root").alias("rb"))
         moved = pairs.join(to_a, "a").join(to_b, "b").where(F.col("ra") != F.col("rb"))
-        # Every linked station moves or stays in the first round; later rounds move their roots on.
-        if roots is None:
-            roots = move
-        else:
-            further = move.select(F.col("a").alias("root"), F.col("root").alias("last"))
-            roots = roots.join(further, "root", "left").select("a", F.coalesce("last", "root").alias("root"))
-        rounds += 1
-        if rounds % _MOVES_PER_PLAN == 0:
-            roots = cut_lineage(roots)
-        pairs = cut_lineage(moved.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct())
-    if roots is None:
-        return labels
-    roots = cut_lineage(roots)  # used twice below
-    smallest = roots.groupBy("root").agg(F.min("a").alias("component"))
-    found = roots.join(smallest, "root").select(F.col("a").alias("station_id"), F.col("component").alias("found"))
-    return labels.join(found, "station_id", "left").select(
-        "station_id", F.coalesce("found", "component").alias("component")
-    )
+        pairs = _stored(moved.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct())
+    if not moves:
+        return stations.select("station_id", F.col("station_id").alias("component"))
+    roots = moves.pop()
+    for i, move in enumerate(reversed(moves), 1):
+        further = roots.select(F.col("a").alias("root"), F.col("root").alias("last"))
+        roots = move.join(further, "root", "left").select("a", F.coalesce("last", "root").alias("root"))
+        if i % _MOVES_PER_PLAN == 0:
+            roots = _stored(roots)
+    roots = _stored(roots)  # used twice below
+    # The least number is that of the least key.
+    smallest = roots.groupBy("root").agg(F.min("a").alias("number"))
+    names = smallest.join(nodes, "number").select("root", F.col("station_id").alias("found"))
+    found = nodes.join(roots.join(names, "root").select(F.col("a").alias("number"), "found"), "number", "left")
+    found = found.select("station_id", F.coalesce("found", "station_id").alias("component"))
+    if nodes.where(F.col("rows") > 1).isEmpty():
+        return found
+    return stations.select("station_id").join(found, F.equal_null(stations["station_id"], found["station_id"])).select(stations["station_id"], "component")
 
 
 def merged_components(labels: DataFrame, edges: DataFrame, stations: DataFrame) -> DataFrame:
@@ -318,7 +339,7 @@ def merged_components(labels: DataFrame, edges: DataFrame, stations: DataFrame)
     ends = [known.select(F.col("station_id").alias(c), F.col("component").alias(f"{c}_root")) for c in ("src", "dst")]
     linked = edges.where(F.col("src") != F.col("dst")).select("src", "dst").join(ends[0], "src").join(ends[1], "dst")
     linked = linked.where(F.col("src_root") != F.col("dst_root")).select(F.col("src_root").alias("src"), F.col("dst_root").alias("dst"))
-    linked = cut_lineage(linked.distinct())
+    linked = _stored(linked.distinct())
     touched = linked.select(F.explode(F.array("src", "dst")).alias("station_id")).distinct()
     moved = connected_components(linked, touched).where(F.col("station_id") != F.col("component"))
     moved, _n = small_side(moved.select(F.col("station_id").alias("component"), F.col("component").alias("joined")))
