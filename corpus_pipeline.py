@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tripweave.llm import bpe, decontamination, near_duplicates, secrets, toxicity
 from tripweave.llm.columns import read
-from tripweave.session import fresh_folder
+from tripweave.session import fresh_folder, small_batches
 from tripweave.sources.tables import read_table, write_table
 
 
@@ -58,5 +58,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stored(spark: SparkSession, docs: DataFrame, name: str) -> DataFrame:
     folder = fresh_folder(spark, f"stage-{name}")
-    write_table(docs, folder)
+    with small_batches(spark):
+        write_table(docs, folder)
     return read_table(spark, folder, docs.schema)

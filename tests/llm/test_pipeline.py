@@ -11,6 +11,7 @@ from test_secrets import base
 
 import corpus_pipeline
 from tripweave.llm import bpe
+from tripweave.session import ARROW_ROWS, BATCH_ROWS
 
 SF = "/root/testdata/sf0.001"
 
@@ -103,3 +104,16 @@ def test_stages_keep_columns_with_clashing_names(spark):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, more, SF)
         assert out.columns == more.columns and all(r[n] == r.doc_id for r in out.collect() for n in names), name
+
+
+def test_stages_send_small_batches_and_restore_the_setting(spark, monkeypatch):
+    before, seen, write = spark.conf.get(ARROW_ROWS), [], corpus_pipeline.write_table
+    monkeypatch.setattr(corpus_pipeline, "write_table", lambda df, path: seen.append(int(spark.conf.get(ARROW_ROWS))) or write(df, path))
+
+    def sizes(batches):
+        for batch in batches:
+            yield batch.slice(0, 0) if batch.num_rows <= BATCH_ROWS else batch
+
+    many = spark.range(0, 4 * BATCH_ROWS, 1, 1)
+    assert corpus_pipeline._stored(spark, many.mapInArrow(sizes, many.schema), "batches").count() == 0
+    assert seen == [BATCH_ROWS] and spark.conf.get(ARROW_ROWS) == before

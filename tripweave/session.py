@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+# Rows of texts that go to Python at once, where stages follow each other in one session.
+BATCH_ROWS = 500
 
 # Key sets up to this many rows and bytes may be broadcast.
 SMALL_KEY_SET = 1_000_000
@@ -78,7 +82,23 @@ def fixed_plan(spark: SparkSession, partitions: int) -> Iterator[None]:
     whose partitions have to match.  Without adaptive execution several rounds are one
     job, instead of one for each shuffle.
     """
-    wanted = {SHUFFLE_PARTITIONS: str(partitions), "spark.sql.adaptive.enabled": "false"}
+    with _set_inside(spark, {SHUFFLE_PARTITIONS: str(partitions), "spark.sql.adaptive.enabled": "false"}):
+        yield
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> Iterator[None]:
+    """Run what is inside the block with at most so many rows in a batch for Python.
+
+    A batch of long texts is held several times at once, by the task and by its worker; Spark's 10,000 rows may be all
+    rows of a task.
+    """
+    with _set_inside(spark, {ARROW_ROWS: str(min(rows, int(spark.conf.get(ARROW_ROWS))))}):
+        yield
+
+
+@contextmanager
+def _set_inside(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
     before = {key: spark.conf.get(key) for key in wanted}
     for key, value in wanted.items():
         spark.conf.set(key, value)
