@@ -2,10 +2,12 @@
 
 import random
 import re
+import time
 
 import duckdb
 import pytest
 from conftest import SMALL
+from pyspark.sql import functions as F
 from tools.compare import rows_of
 
 from tripweave.llm import licenses, plans
@@ -103,6 +105,28 @@ def test_same_as_sql(spark):
     assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(columns, expected.fetchall())
 
 
+RANGES = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def test_words_of_every_character(spark):
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    rows = [("".join(f"{chr(c)}a{chr(c)} " for c in points[at : at + 4096]),) for at in range(0, len(points), 4096)]
+    found = [F.regexp_extract_all("text", F.lit(p), F.lit(0)) for p in (licenses.WORD, RANGES)]
+    assert spark.createDataFrame(rows, "text string").where(~found[0].eqNullSafe(found[1])).count() == 0
+
+
+def test_words_are_found_without_asking_range_after_range(spark):
+    docs = spark.range(0, 200, 1, 1).select(F.concat(F.lit(prose(3, 4000)), F.col("id").cast("string")).alias("text")).localCheckpoint()
+
+    def seconds(pattern):
+        began = time.perf_counter()
+        docs.agg(F.sum(F.size(F.regexp_extract_all("text", F.lit(pattern), F.lit(0))))).first()
+        return time.perf_counter() - began
+
+    took = [(seconds(licenses.WORD), seconds(RANGES)) for _ in range(4)]
+    assert min(t for t, _ in took) < 0.7 * min(t for _, t in took)
+
+
 def test_no_rows(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     assert licenses.licenses(docs).count() == 0

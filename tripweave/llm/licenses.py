@@ -17,6 +17,7 @@ from __future__ import annotations
 import json
 import math
 import re
+import string
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,7 +26,9 @@ from pyspark.sql import functions as F
 from tripweave.llm.columns import pick
 from tripweave.session import cut_lineage
 
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # a word before A-Z become a-z
+# A word before A-Z become a-z: [^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+ by what it holds.  Java looks single characters
+# up in a table, and asks ranges one after the other for each character.
+WORD = f"[{string.digits}{string.ascii_letters}\\x{{80}}-\\x{{10FFFF}}]+"
 
 
 class Template(NamedTuple):
