@@ -2,6 +2,7 @@
 
 import io
 import random
+import string
 import struct
 import zlib
 
@@ -9,10 +10,12 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import regex
 from conftest import SMALL
 from tokenizers import Tokenizer
 
 from tripweave.llm import token_files as tf
+from tripweave.llm.chunks import chunks_of
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -61,6 +64,25 @@ def test_the_library_as_it_is():
     assert got[0].tolist() == [64, 220, 50256, 275]
 
 
+def test_signs_are_cut_off_words():
+    """So a word is the same chunk whatever follows it, and is encoded once."""
+    assert chunks_of(" word, word. (x-ray2) it's") == [" word", ",", " word", ".", " (", "x", "-", "ray2", ")", " it", "'s"]
+    split = regex.compile(public_tokenizers.PATTERN).findall
+    draw = random.Random(9)
+    for alphabet in ("ab1 '.,-\n", string.printable, "as tdlmrev'\u2019\u00e9.1"):
+        for _ in range(3000):
+            text = "".join(draw.choice(alphabet) for _ in range(draw.randrange(40)))
+            assert [m for c in chunks_of(text) for m in split(c)] == split(text)
+
+
+def test_a_remembered_word_is_not_split_again():
+    encode, asked = tf.Encoder(PATH), []
+    split = encode.split
+    encode.split = lambda chunk: asked.append(chunk) or split(chunk)
+    encode(pa.array([f"word{sign} alone{sign}" for sign in ".,;:!?)"]))
+    assert set(asked) <= set(".,;:!?)")
+
+
 def test_whole_table(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     tokens = tf.write_tokens(docs, PATH)

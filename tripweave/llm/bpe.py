@@ -239,8 +239,9 @@ class TextEncoder:
         ids, decoded = encode_by_chunks(texts, self._chunks, ("<u4", "u1"))
         return ids, decoded
 
-    def _chunks(self, chunks: list[str]) -> list[tuple[bytes, bytes]]:
-        return encoded(chunks, self.split, self._words, _joined_parts, self.memory)
+    def _chunks(self, chunks: list[str]) -> tuple[list[bytes], list[bytes]]:
+        values = encoded(chunks, self.split, self._words, _joined_parts, self.memory)
+        return [ids for ids, _ in values], [decoded for _, decoded in values]
 
     def _words(self, new: list[str]) -> Iterator[tuple[bytes, bytes]]:
         ids = self.words.encode([w.encode() for w in new])

@@ -15,6 +15,7 @@ import json
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from typing import NamedTuple
@@ -38,7 +39,7 @@ from tripweave.session import cut_lineage, fresh_folder
 MAGIC = b"TIDS"
 BLOCK_IDS = 1 << 16
 END_ID = 2
-SLICE = 4 << 20  # bytes of text that a task encodes at once
+SLICE = 8 << 20  # bytes of text that a task encodes at once
 LIBRARY_BATCH = 1000  # texts in one call of the library
 REMEMBERED_BYTES = 320 << 20  # words, chunks and their ids that a worker remembers
 
@@ -190,8 +191,8 @@ class Encoder:
         parts, named = iter(pieces.parts()), self.whole(texts.filter(pa.array(apart)).to_pylist())
         return [np.frombuffer(next(named), "<u4") if a else next(parts) for a in apart.tolist()]
 
-    def _chunks(self, chunks: list[str]) -> list[tuple[bytes]]:
-        return [(v,) for v in encoded(chunks, self._matches, self._words, b"".join, self.memory)]
+    def _chunks(self, chunks: list[str]) -> list[list[bytes]]:
+        return [encoded(chunks, self._matches, self._words, b"".join, self.memory)]
 
     def _matches(self, chunk: str) -> list[str]:
         return self.split(chunk) if _latin(chunk) else [chunk]
@@ -199,11 +200,15 @@ class Encoder:
     def _words(self, new: list[str]) -> Iterator[bytes]:
         rest = self.whole([w for w in new if not _latin(w)])
         for word in new:
-            if not _latin(word):
+            if word.isascii():
+                # Of what is printable, the space alone has another name.
+                name = word.replace(" ", _NAMES[32]) if word.isprintable() else word.translate(_NAMES)
+            elif _latin(word):
+                name = word.encode().decode("latin-1").translate(_NAMES)
+            else:
                 yield next(rest)
                 continue
-            ids = [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(_NAMES))]
-            yield struct.pack(f"<{len(ids)}I", *ids)
+            yield array("I", [t.id for t in self.model.tokenize(name)]).tobytes()
 
 
 def _latin(text: str) -> bool:
