@@ -159,3 +159,22 @@ def test_links_of_ten_thousand_texts(spark):
     assert all(got[i][1] <= expected[i][1] for i in expected)
     assert sum(n for _, n in got.values()) >= nd.RECALL * sum(n for _, n in expected.values())
     assert sum(got[i] != expected[i] for i in expected) <= 2
+
+
+def test_texts_and_sets_go_to_python_in_small_batches(spark, monkeypatch):
+    seen, cut = [], nd.cut_lineage
+
+    def spied(df):
+        seen.append(int(df.sparkSession.conf.get(ARROW_ROWS)))
+        return cut(df)
+
+    monkeypatch.setattr(nd, "cut_lineage", spied)
+    before = spark.conf.get(ARROW_ROWS)
+    docs = spark.createDataFrame([(i, f"a b c d e f {i // 2}") for i in range(8)], "doc_id bigint, text string")
+    assert sorted(r.class_id for r in nd.near_duplicates(docs).collect()) == [0, 0, 2, 2, 4, 4, 6, 6]
+    assert len(seen) > 3 and max(seen) <= BATCH_ROWS and spark.conf.get(ARROW_ROWS) == before
+
+
+def test_rows_as_a_binary_column():
+    for rows in (np.arange(12, dtype="<i4").reshape(3, 4), np.zeros((0, 4), np.uint8), np.arange(6, dtype=np.uint8).reshape(2, 3)[::-1]):
+        assert nd._binary(rows).to_pylist() == [r.tobytes() for r in rows]

@@ -34,7 +34,7 @@ from tripweave.llm.columns import pick, slices
 # Bytes of words in one recursive query.
 BATCH_BYTES = 400_000
 # Bytes of words and their ids that a task remembers, and of text that it encodes at once.
-REMEMBERED_BYTES = 240 << 20
+REMEMBERED_BYTES = 160 << 20
 SLICE = 4 << 20
 # Words with more bytes are cut into blocks of so many.
 SHORT = 64

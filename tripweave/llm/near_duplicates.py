@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from tripweave.llm.columns import in_plain_names, pick, slices, text_buffers
 from tripweave.llm.words import mix, windows, words
 from tripweave.operators.graph import connected_components
-from tripweave.session import cut_lineage
+from tripweave.session import cut_lineage, small_batches
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
@@ -36,6 +36,8 @@ RECALL = 0.999
 
 # Sorted paths that are searched at once; a range that may go on beyond them counts as longer than all of them.
 _PATHS = 1 << 20
+# Of what they give, rows that are sent at once.
+_ROWS = 1 << 14
 # Texts of a node in one block; a task holds two blocks.
 BLOCK = 512
 # Candidate pairs that a task looks at in one step.
@@ -157,7 +159,7 @@ def _signed(docs: DataFrame) -> DataFrame:
             values, at = shingles(*text_buffers(batch.column("text")))
             sig = signatures(values, at)
             columns = [pa.array(x) for x in digests(values, at)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns, pa.array([s.tobytes() for s in sig], pa.binary())], names=["doc_id", "d1", "d2", "n", "sig"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns, _binary(sig)], names=["doc_id", "d1", "d2", "n", "sig"])
 
     return docs.mapInArrow(sign, "doc_id bigint, d1 bigint, d2 bigint, n bigint, sig binary")
 
@@ -234,6 +236,13 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return data.reshape(len(column), -1) if len(data) else np.zeros((len(column), 0), np.uint8)
 
 
+def _binary(rows: np.ndarray) -> pa.Array:
+    """A binary column of the bytes of each row, without a Python object for each."""
+    width = rows.shape[1] * rows.itemsize
+    offsets = np.arange(len(rows) + 1, dtype=np.int32) * np.int32(width)
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(rows))])
+
+
 def _may_link(threshold: float) -> Callable:
     """The rows of a node that have a candidate in it."""
 
@@ -325,18 +334,19 @@ def _depths(classes: DataFrame, threshold: float) -> DataFrame:
             held.append(batch)
             n += batch.num_rows
             if n >= _PATHS:
-                yield searched(held)
+                yield from searched(held)
                 held, n = [], 0
         if n:
-            yield searched(held)
+            yield from searched(held)
 
-    def searched(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+    def searched(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(held)
         path = table.column("path").to_numpy().view(np.uint64)
         found = np.minimum(crowds_of(path), np.iinfo(np.int32).max).astype("<i4")
-        data = [row.tobytes() for row in found]
         tree = (path >> np.uint64(8 * DEPTH)).astype(np.int32)
-        return pa.RecordBatch.from_arrays([table.column("id").combine_chunks(), pa.array(tree), pa.array(data, pa.binary())], names=["id", "tree", "crowd"])
+        told = pa.RecordBatch.from_arrays([table.column("id").combine_chunks(), pa.array(tree), _binary(found)], names=["id", "tree", "crowd"])
+        for at in range(0, told.num_rows, _ROWS):
+            yield told.slice(at, _ROWS)
 
     def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -344,7 +354,7 @@ def _depths(classes: DataFrame, threshold: float) -> DataFrame:
                 continue
             data = text_buffers(batch.column("crowds").flatten().field("crowd"))[0]
             found = shortened(data.view("<i4").reshape(batch.num_rows, TREES, DEPTH).astype(np.int64), threshold)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([d.tobytes() for d in found], pa.binary())], names=["id", "depth"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), _binary(found)], names=["id", "depth"])
 
     # Paths are numbers below 2**63, so their order is that of the labels.
     sorted_paths = classes.select("id", "sig").mapInArrow(paths, "id bigint, path bigint").repartitionByRange("path", "id").sortWithinPartitions("path", "id")
@@ -373,8 +383,14 @@ def _entries(classes: DataFrame) -> DataFrame:
 def _grouped(docs: DataFrame, threshold: float) -> DataFrame:
     """(doc_id, class_id, n_links, first, d1, d2, n) of every row of ``docs`` (doc_id, text).
 
-    ``first``: the row's class of equal sets is the one that names the group.
+    ``first``: the row's class of equal sets is the one that names the group.  All that goes to Python is computed
+    here, so that its rows, which hold texts and sets, go there in small batches.
     """
+    with small_batches(docs.sparkSession):
+        return _grouped_at_once(docs, threshold)
+
+
+def _grouped_at_once(docs: DataFrame, threshold: float) -> DataFrame:
     signed = cut_lineage(_signed(docs))
     key = ["d1", "d2", "n"]
     # Texts with equal sets are copies: one of them stands for all.
