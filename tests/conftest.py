@@ -20,6 +20,8 @@ def spark(tmp_path_factory):
             "spark.driver.memory": "4g",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints")),
             "spark.ui.showConsoleProgress": "false",
+            # Plans name whole paths, however long that of the temp folder is.
+            "spark.sql.maxMetadataStringLength": "1000",
         },
     )
     session.sparkContext.setLogLevel("ERROR")
